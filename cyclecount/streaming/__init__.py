@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analytics this library re-expresses read whole files in batch; they have no
+streaming source, watermark or stateful operator. Nothing is built here on purpose;
+every operator takes and returns batch DataFrames, which Structured Streaming could
+wrap via ``foreachBatch`` if counts ever arrived as a stream.
+"""
