@@ -96,3 +96,119 @@ FROM per""",
     "latest_cost": with_(COSTS, LATEST_COST) + "\nSELECT * FROM latest_cost",
     "stock_valued": with_(STOCK, COSTS, LATEST_COST, VALUED) + "\nSELECT * FROM valued",
 }
+
+# --------------------------------------------------------------------------- counts
+
+
+def counts_raw(history_end: str = "2001-02-01") -> str:
+    return f"""
+counts_raw AS (
+  SELECT CAST(NULL AS VARCHAR) AS "NOK",
+         CASE WHEN l_linestatus = 'F' THEN 'FECHADO' ELSE 'ABERTO' END AS "Status",
+         CAST(l_partkey AS VARCHAR) AS "Código",
+         CAST(l_suppkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS "Locação",
+         CAST(l_orderkey AS VARCHAR) AS "UdE",
+         CAST(l_linenumber AS VARCHAR) AS "Compartimento",
+         CASE l_returnflag WHEN 'A' THEN 'ANULADO' WHEN 'R' THEN 'FECHADO' ELSE 'PENDENTE' END
+           AS "Status Inventario",
+         strftime(l_shipdate, '%-d/%-m/%Y %-H:%M') AS "Atualização",
+         CAST(CAST(ROUND(l_tax * 100) AS INTEGER) AS VARCHAR) AS "Contagem",
+         CASE WHEN l_discount = 0 THEN NULL
+              ELSE CAST(CAST(l_quantity * (1 - l_discount) AS DECIMAL(18,2)) AS VARCHAR) END AS "Física",
+         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "Quantidade Fisica",
+         replace(format('{{:,}}', unit // 100), ',', '.') || ',' || lpad(CAST(unit % 100 AS VARCHAR), 2, '0')
+           AS "Custo",
+         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "Lógica"
+  FROM (SELECT *, CAST(ROUND(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT) AS unit
+        FROM lineitem WHERE l_shipdate < TIMESTAMP '{history_end}')
+)"""
+
+
+COUNTS_TYPED = r"""
+closed AS (
+  SELECT * FROM counts_raw
+  WHERE "Código" IS NOT NULL AND "Locação" IS NOT NULL AND "UdE" IS NOT NULL
+    AND ("NOK" IS NULL OR "NOK" = '') AND "Status" = 'FECHADO'
+),
+typed AS (
+  SELECT right('0000000000000' || "Código", 13) AS "Código",
+         "Locação", split_part("Locação", '.', 1) AS "Estante",
+         CAST(trunc(TRY_CAST(trim("UdE") AS DOUBLE)) AS BIGINT) AS "UdE",
+         CAST(trunc(TRY_CAST(trim("Compartimento") AS DOUBLE)) AS BIGINT) AS "Compartimento",
+         "Status Inventario",
+         try_strptime(trim("Atualização"), '%d/%m/%Y %H:%M') AS ts,
+         CAST(trunc(TRY_CAST(trim("Contagem") AS DOUBLE)) AS INTEGER) AS "Contagem",
+         TRY_CAST(trim("Física") AS DECIMAL(18,3)) AS "Física",
+         TRY_CAST(trim("Quantidade Fisica") AS DECIMAL(18,3)) AS "Quantidade Fisica",
+         TRY_CAST(trim("Lógica") AS DECIMAL(18,3)) AS "Lógica",
+         TRY_CAST(replace(replace(trim("Custo"), '.', ''), ',', '.') AS DECIMAL(18,2)) AS "Custo"
+  FROM closed
+),
+typed2 AS (
+  SELECT *, CAST(ts AS DATE) AS "Data INV", CAST(year(ts) AS INTEGER) AS "Ano",
+         CAST(month(ts) AS INTEGER) AS "Mês"
+  FROM typed
+),
+last_counts AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (
+      PARTITION BY "Data INV", "Código", "Locação", "UdE", "Compartimento", "Status Inventario"
+      ORDER BY "Contagem" DESC NULLS LAST, ts DESC NULLS LAST, "Física" DESC NULLS LAST,
+               "Quantidade Fisica" DESC NULLS LAST, "Lógica" DESC NULLS LAST, "Custo" DESC NULLS LAST,
+               "Estante" DESC NULLS LAST, "Ano" DESC NULLS LAST, "Mês" DESC NULLS LAST) AS rn
+    FROM typed2
+    WHERE "Data INV" IS NOT NULL AND "Código" IS NOT NULL AND "Locação" IS NOT NULL AND "UdE" IS NOT NULL
+      AND "Compartimento" IS NOT NULL AND "Status Inventario" IS NOT NULL)
+  WHERE rn = 1
+),
+valued_counts AS (
+  SELECT "Código", "Data INV", "Ano", "Mês", "Locação", "Status Inventario",
+         CASE "Status Inventario" WHEN 'ANULADO' THEN 'Custo Evitado'
+              WHEN 'FECHADO' THEN 'Valor Consultivado' ELSE '-' END AS "Status Controle",
+         "Lógica", qf AS "Quantidade Fisica",
+         CAST(round_even("Custo", 2) AS DECIMAL(18,2)) AS "Custo",
+         CAST(round_even(book, 2) AS DECIMAL(18,2)) AS "Valor Logica",
+         CAST(round_even(counted, 2) AS DECIMAL(18,2)) AS "Valor Fisico",
+         CAST(round_even(counted - book, 2) AS DECIMAL(18,2)) AS "Vlr Delta",
+         CAST(round_even(abs(counted - book), 2) AS DECIMAL(18,2)) AS "Delta ABS"
+  FROM (SELECT *, COALESCE("Física", "Quantidade Fisica") AS qf,
+               CAST("Custo" AS DECIMAL(38,2)) * CAST("Lógica" AS DECIMAL(38,3)) AS book,
+               CAST("Custo" AS DECIMAL(38,2)) * CAST(COALESCE("Física", "Quantidade Fisica") AS DECIMAL(38,3))
+                 AS counted
+        FROM last_counts)
+),
+counts_daily AS (
+  SELECT "Código", "Data INV", "Ano", "Mês",
+         CAST(COALESCE(SUM("Lógica"), 0) AS DECIMAL(18,3)) AS "Lógica",
+         CAST(COALESCE(SUM("Quantidade Fisica"), 0) AS DECIMAL(18,3)) AS "Quantidade Fisica",
+         CAST(COALESCE(SUM("Valor Logica"), 0) AS DECIMAL(18,2)) AS "Valor Logica",
+         CAST(COALESCE(SUM("Valor Fisico"), 0) AS DECIMAL(18,2)) AS "Valor Fisico",
+         CAST(COALESCE(SUM("Vlr Delta"), 0) AS DECIMAL(18,2)) AS "Vlr Delta",
+         CAST(COALESCE(SUM("Delta ABS"), 0) AS DECIMAL(18,2)) AS "Delta ABS"
+  FROM valued_counts GROUP BY 1, 2, 3, 4
+)"""
+
+COUNTS_BASE = with_(counts_raw(), COUNTS_TYPED)
+
+ORACLE.update(
+    {
+        "counts_last": COUNTS_BASE
+        + """
+SELECT "Data INV", "Código", "Locação", "UdE", "Compartimento", "Status Inventario", "Contagem",
+       strftime(ts, '%Y-%m-%d %H:%M') AS "Atualização", "Física", "Quantidade Fisica", "Lógica", "Custo",
+       "Estante", "Ano", "Mês"
+FROM last_counts""",
+        "counts_valued": COUNTS_BASE + "\nSELECT * FROM valued_counts",
+        "counts_daily": COUNTS_BASE + "\nSELECT * FROM counts_daily",
+        "delta_summary": COUNTS_BASE
+        + """
+SELECT "Ano", "Mês", "Status Controle", COUNT(*) AS n_counts,
+       CAST(COALESCE(SUM(CASE WHEN "Vlr Delta" > 0 THEN "Vlr Delta" END), 0) AS DECIMAL(18,2)) AS positive_delta,
+       CAST(COALESCE(SUM(CASE WHEN "Vlr Delta" < 0 THEN "Vlr Delta" END), 0) AS DECIMAL(18,2)) AS negative_delta,
+       CAST(COALESCE(SUM("Vlr Delta"), 0) AS DECIMAL(18,2)) AS net_delta,
+       CAST(COALESCE(SUM("Delta ABS"), 0) AS DECIMAL(18,2)) AS abs_delta,
+       CAST(round_even(CAST(COALESCE(SUM("Delta ABS"), 0) AS DECIMAL(38,2)) * CAST(0.18 AS DECIMAL(6,4)), 2)
+            AS DECIMAL(18,2)) AS tax
+FROM valued_counts GROUP BY 1, 2, 3""",
+    }
+)

@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cyclecount.operators import abc
+from pyspark.sql import functions as F
+
+from cyclecount.operators import abc, counts
 from cyclecount.plans import demo
 from cyclecount.session import ensure_checkpoint_dir
 
@@ -58,3 +60,31 @@ def q_latest_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stock_valued(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 + J1 + P12: per-item stock totals valued at the latest cost."""
     return abc.stock_valued(demo.stock(spark, sf_dir), demo.costs(spark, sf_dir))
+
+
+# ------------------------------------------------------------------------ counts
+
+
+@register("counts_last")
+def q_counts_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + F2 + P2-P9 + W2: last count per six-part key of the closed count rows."""
+    last = counts.last_counts(demo.counts(spark, sf_dir))
+    return last.withColumn("Atualização", F.date_format("Atualização", "yyyy-MM-dd HH:mm"))
+
+
+@register("counts_valued")
+def q_counts_valued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valued last counts (control label, counted quantity, values, deltas)."""
+    return counts.clean_counts(demo.counts(spark, sf_dir))
+
+
+@register("counts_daily")
+def q_counts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item and count date sums of quantities and values."""
+    return counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir)))
+
+
+@register("delta_summary")
+def q_delta_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive / negative / net / absolute deltas and tax per month and control label."""
+    return counts.delta_summary(counts.clean_counts(demo.counts(spark, sf_dir)))
