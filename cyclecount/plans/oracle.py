@@ -212,3 +212,206 @@ SELECT "Ano", "Mês", "Status Controle", COUNT(*) AS n_counts,
 FROM valued_counts GROUP BY 1, 2, 3""",
     }
 )
+
+# --------------------------------------------------------------------------- movements
+
+DEMO_TYPES = ["AF", "AO", "NF", "NO", "RF", "RO"]  # the types present in the driver data
+
+
+def std_code(x: str) -> str:
+    inner = f"regexp_replace(trim({x}), '^0+', '')"
+    return f"CASE WHEN {inner} = '' THEN '0' ELSE {inner} END"
+
+
+def mov_rows(history_end: str = "2001-02-01") -> str:
+    return f"""
+mov_src AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS "Ano", CAST(month(l_shipdate) AS INTEGER) AS "Mes",
+         lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS "CD_ARTICOLO",
+         l_returnflag || l_linestatus AS "Tipo_Movimento",
+         CAST(1.0 AS DOUBLE) AS "Qtd_Movimentos", l_quantity AS "Total_Qtde"
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '{history_end}'
+),
+mov_dedup AS (
+  SELECT DISTINCT "Ano", "Mes", {std_code('"CD_ARTICOLO"')} AS "Código", "Tipo_Movimento",
+         "Qtd_Movimentos", "Total_Qtde"
+  FROM mov_src
+),
+mov_rows AS (
+  SELECT CAST(trunc(COALESCE(TRY_CAST(CAST("Ano" AS VARCHAR) AS DOUBLE), 0)) AS INTEGER) AS "Ano",
+         CAST(trunc(COALESCE(TRY_CAST(CAST("Mes" AS VARCHAR) AS DOUBLE), 0)) AS INTEGER) AS "Mês",
+         "Código", "Tipo_Movimento",
+         COALESCE(TRY_CAST(CAST("Qtd_Movimentos" AS VARCHAR) AS DECIMAL(18,3)), 0) AS "Qtd_Movimentos",
+         COALESCE(TRY_CAST(CAST("Total_Qtde" AS VARCHAR) AS DECIMAL(18,3)), 0) AS "Total_Qtde"
+  FROM mov_dedup WHERE "Código" IS NOT NULL AND "Tipo_Movimento" IS NOT NULL
+)"""
+
+
+def _pivot_cols(types) -> str:
+    a = [
+        f'CAST(COALESCE(SUM(CASE WHEN "Tipo_Movimento" = \'{t}\' THEN "Total_Qtde" END), 0) AS DECIMAL(18,3))'
+        f' AS "{t}_Total_Qtde_Mensal"'
+        for t in types
+    ]
+    b = [
+        f'CAST(COALESCE(SUM(CASE WHEN "Tipo_Movimento" = \'{t}\' THEN "Qtd_Movimentos" END), 0) AS DECIMAL(18,3))'
+        f' AS "{t}_Qtd_Movimentos_Mensal"'
+        for t in types
+    ]
+    return ",\n         ".join(a + b)
+
+
+MOV_TOTALS = """
+         CAST(SUM("Total_Qtde") AS DECIMAL(18,3)) AS "Total_Geral_Qtde_Mensal",
+         CAST(SUM("Qtd_Movimentos") AS DECIMAL(18,3)) AS "Total_Geral_Qtd_Movimentos_Mensal",
+         CAST(COUNT(DISTINCT "Tipo_Movimento") AS BIGINT) AS "Num_Tipos_Mov_Mensal" """
+
+
+def mov_features(history_end: str = "2001-02-01") -> str:
+    return mov_rows(history_end) + f""",
+mov_features AS (
+  SELECT "Código", "Ano", "Mês",
+         {_pivot_cols(DEMO_TYPES)},
+         {MOV_TOTALS}
+  FROM mov_rows GROUP BY 1, 2, 3
+)"""
+
+
+ORACLE.update(
+    {
+        "movement_by_type": "WITH "
+        + mov_rows()
+        + """
+SELECT "Código", "Ano", "Mês", "Tipo_Movimento",
+       CAST(SUM("Total_Qtde") AS DECIMAL(18,3)) AS "Total_Qtde_Mov",
+       CAST(SUM("Qtd_Movimentos") AS DECIMAL(18,3)) AS "Qtd_Mov_Count"
+FROM mov_rows GROUP BY 1, 2, 3, 4""",
+        "movement_totals": "WITH "
+        + mov_rows()
+        + f"""
+SELECT "Código", "Ano", "Mês", {MOV_TOTALS} FROM mov_rows GROUP BY 1, 2, 3""",
+        "movement_pivot": "WITH " + mov_features() + "\nSELECT * FROM mov_features",
+    }
+)
+
+# --------------------------------------------------------------------------- categories / features
+
+ABC_ITEMS = f"""
+abc_items AS (
+  SELECT code AS "Código", CAST(SUM("Lógica_ABC") AS DECIMAL(18,3)) AS "Lógica_ABC",
+         MAX("Custo_Unitário") AS "Custo_Unitário", CAST(SUM("Valor_Estoque") AS DECIMAL(18,2)) AS "Valor_Estoque",
+         CAST(SUM("Qtde_Locacao") AS BIGINT) AS "Qtde_Locacao",
+         first("Curva_ABC" ORDER BY "Valor_Estoque" DESC, "Curva_ABC" ASC) AS "Curva_ABC"
+  FROM (SELECT *, {std_code('"Código"')} AS code FROM curve) GROUP BY code
+)"""
+
+
+def history(history_end: str) -> str:
+    return (
+        with_(STOCK, COSTS, LATEST_COST, VALUED, CURVE, ABC_ITEMS, counts_raw(history_end), COUNTS_TYPED)
+        + ", "
+        + mov_features(history_end)
+        + f""",
+daily_std AS (SELECT * REPLACE ({std_code('"Código"')} AS "Código") FROM counts_daily),
+hist_codes AS (SELECT "Código" FROM daily_std UNION SELECT "Código" FROM mov_rows),
+with_hist AS (SELECT DISTINCT "Código" FROM abc_items WHERE "Código" IN (SELECT "Código" FROM hist_codes)),
+without_hist AS (
+  SELECT DISTINCT "Código" FROM abc_items WHERE "Código" NOT IN (SELECT "Código" FROM hist_codes))"""
+    )
+
+
+EARLY = history("1995-03-01")
+FULL = history("2001-02-01")
+
+FEATURE_BASE = """,
+base AS (
+  SELECT d.*, COALESCE(a."Curva_ABC", 'Unknown') AS "Curva_ABC",
+         COALESCE(a."Lógica_ABC", CAST(0 AS DECIMAL(18,3))) AS "Lógica_ABC",
+         COALESCE(a."Custo_Unitário", CAST(0 AS DECIMAL(18,2))) AS "Custo_Unitário",
+         COALESCE(a."Valor_Estoque", CAST(0 AS DECIMAL(18,2))) AS "Valor_Estoque"
+  FROM daily_std d LEFT JOIN abc_items a ON a."Código" = d."Código"
+  WHERE d."Código" IN (SELECT "Código" FROM with_hist)
+),
+tf AS (
+  SELECT *,
+    COALESCE(CASE WHEN isfinite(pct * 100.0) THEN pct * 100.0 END, 0.0) AS "Tendencia_Anual",
+    COALESCE(CASE WHEN n3 > 0 THEN CAST(s3 AS DOUBLE) / CAST(n3 AS DOUBLE) END, 0.0) AS "Media_Movel_3M",
+    COALESCE(CASE WHEN n6 > 0 THEN CAST(s6 AS DOUBLE) / CAST(n6 AS DOUBLE) END, 0.0) AS "Media_Movel_6M"
+  FROM (
+    SELECT *,
+      CASE WHEN prev12 IS NULL OR prev12 = 0 THEN NULL
+           ELSE CAST("Quantidade Fisica" AS DOUBLE) / CAST(prev12 AS DOUBLE) - 1.0 END AS pct
+    FROM (
+      SELECT *,
+        lag("Quantidade Fisica", 12) OVER w AS prev12,
+        SUM("Quantidade Fisica") OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS s3,
+        COUNT("Quantidade Fisica") OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS n3,
+        SUM("Quantidade Fisica") OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS s6,
+        COUNT("Quantidade Fisica") OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS n6
+      FROM base
+      WINDOW w AS (PARTITION BY "Código" ORDER BY make_date("Ano", "Mês", 1), "Data INV",
+                   "Quantidade Fisica", "Lógica")))
+),
+cls_m AS (
+  SELECT "Curva_ABC", COUNT("Quantidade Fisica") AS n, SUM("Quantidade Fisica") AS s,
+         SUM("Quantidade Fisica" * "Quantidade Fisica") AS s2
+  FROM tf GROUP BY 1
+),
+cls AS (
+  SELECT "Curva_ABC",
+    COALESCE(CASE WHEN n > 0 THEN CAST(s AS DOUBLE) / CAST(n AS DOUBLE) END,
+             CASE WHEN gn > 0 THEN CAST(gs AS DOUBLE) / CAST(gn AS DOUBLE) END) AS "Media_ABC",
+    COALESCE(CASE WHEN n > 1 THEN sqrt(CAST(CAST((n * s2 - s * s) * 1000000 AS DECIMAL(38,0)) AS DOUBLE)
+                                     / CAST(n * (n - 1) AS DOUBLE) / 1000000.0) END,
+             CASE WHEN gn > 1 THEN sqrt(CAST(CAST((gn * gs2 - gs * gs) * 1000000 AS DECIMAL(38,0)) AS DOUBLE)
+                                     / CAST(gn * (gn - 1) AS DOUBLE) / 1000000.0) END) AS "Desvio_ABC"
+  FROM (SELECT *, SUM(n) OVER () AS gn, SUM(s) OVER () AS gs, SUM(s2) OVER () AS gs2 FROM cls_m)
+)"""
+
+MOV_COLS = ", ".join(
+    [f'COALESCE(m."{t}_Total_Qtde_Mensal", 0) AS "{t}_Total_Qtde_Mensal"' for t in DEMO_TYPES]
+    + [f'COALESCE(m."{t}_Qtd_Movimentos_Mensal", 0) AS "{t}_Qtd_Movimentos_Mensal"' for t in DEMO_TYPES]
+    + [
+        f'COALESCE(m."{c}", 0) AS "{c}"'
+        for c in ["Total_Geral_Qtde_Mensal", "Total_Geral_Qtd_Movimentos_Mensal", "Num_Tipos_Mov_Mensal"]
+    ]
+)
+
+FEATURES = (
+    FULL
+    + FEATURE_BASE
+    + f""",
+features AS (
+  SELECT tf."Código", tf."Data INV", tf."Ano", tf."Mês", tf."Lógica", tf."Quantidade Fisica",
+         tf."Valor Logica", tf."Valor Fisico", tf."Vlr Delta", tf."Delta ABS",
+         tf."Curva_ABC", tf."Lógica_ABC", tf."Custo_Unitário", tf."Valor_Estoque",
+         tf."Tendencia_Anual", tf."Media_Movel_3M", tf."Media_Movel_6M",
+         COALESCE(cls."Media_ABC", 0.0) AS "Media_ABC", COALESCE(cls."Desvio_ABC", 0.0) AS "Desvio_ABC",
+         {MOV_COLS}
+  FROM tf LEFT JOIN cls ON cls."Curva_ABC" = tf."Curva_ABC"
+  LEFT JOIN mov_features m ON m."Código" = tf."Código" AND m."Ano" = tf."Ano" AND m."Mês" = tf."Mês"
+)"""
+)
+
+ORACLE.update(
+    {
+        "items_with_history": EARLY + "\nSELECT * FROM with_hist",
+        "items_without_history": EARLY + "\nSELECT * FROM without_hist",
+        "item_category": EARLY
+        + """
+SELECT "Código", "Curva_ABC", "Lógica_ABC",
+       CASE WHEN "Código" IN (SELECT "Código" FROM daily_std) THEN 'Já Inventariado'
+            ELSE 'Nunca Inventariado' END AS "Inventario",
+       CASE WHEN "Código" IN (SELECT "Código" FROM mov_rows) THEN 'Movimentação Recente'
+            ELSE 'Sem Movimentação' END AS "Movimentacao"
+FROM abc_items WHERE "Lógica_ABC" > 0""",
+        "trend_12": FULL
+        + FEATURE_BASE
+        + '\nSELECT "Código", "Data INV", "Quantidade Fisica", "Tendencia_Anual" FROM tf',
+        "moving_averages": FULL
+        + FEATURE_BASE
+        + '\nSELECT "Código", "Data INV", "Quantidade Fisica", "Media_Movel_3M", "Media_Movel_6M" FROM tf',
+        "class_stats": FULL + FEATURE_BASE + "\nSELECT * FROM cls",
+        "features": FEATURES + "\nSELECT * FROM features",
+    }
+)

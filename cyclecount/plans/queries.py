@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cyclecount.operators import abc, counts
+from cyclecount.operators import abc, categories, counts, features, movements, stats
 from cyclecount.plans import demo
 from cyclecount.session import ensure_checkpoint_dir
 
@@ -88,3 +88,107 @@ def q_counts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_delta_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positive / negative / net / absolute deltas and tax per month and control label."""
     return counts.delta_summary(counts.clean_counts(demo.counts(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------- movements
+
+
+@register("movement_by_type")
+def q_movement_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 + G4: de-duplicated movements summed per item, month and type."""
+    return movements.by_type(movements.movement_rows(demo.movements(spark, sf_dir)))
+
+
+@register("movement_totals")
+def q_movement_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G6 + G7: total quantity, total count and distinct types per item and month."""
+    return movements.totals(movements.movement_rows(demo.movements(spark, sf_dir)))
+
+
+@register("movement_pivot")
+def q_movement_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movement feature table (types pivoted to columns, 0 filled, totals)."""
+    return movements.movement_features(demo.movements(spark, sf_dir))
+
+
+# -------------------------------------------------------------------- categories
+
+
+def _history_inputs(spark: SparkSession, sf_dir: str, history_end: str):
+    """(ABC items, counted codes, moved codes) for a history window ending at ``history_end``."""
+    curve = abc.abc_curve(demo.stock(spark, sf_dir), demo.costs(spark, sf_dir))
+    items = features.abc_items(curve)
+    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir, history_end)))
+    counted = features.standardized_daily(daily)
+    moved = movements.movement_rows(demo.movements(spark, sf_dir, history_end))
+    return curve, items, daily, counted, moved
+
+
+@register("items_with_history")
+def q_items_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock items counted or moved in the (short) history window."""
+    _prep(spark)
+    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    return categories.items_with_history(items, counted, moved)
+
+
+@register("items_without_history")
+def q_items_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock items neither counted nor moved in the (short) history window."""
+    _prep(spark)
+    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    return categories.items_without_history(items, counted, moved)
+
+
+@register("item_category")
+def q_item_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eligible items labelled counted/never counted and moved/not moved."""
+    _prep(spark)
+    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    return categories.item_category(items, counted, moved)
+
+
+# ---------------------------------------------------------------------- features
+
+
+def _feature_inputs(spark: SparkSession, sf_dir: str):
+    curve, items, daily, counted, moved = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    with_hist = categories.items_with_history(items, counted, moved)
+    mov_feat = movements.movement_features(demo.movements(spark, sf_dir, demo.HISTORY_END))
+    return curve, items, daily, with_hist, mov_feat
+
+
+def _base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve, items, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
+    return features.with_abc(features.standardized_daily(daily), items).join(with_hist, "Código", "left_semi")
+
+
+@register("trend_12")
+def q_trend_12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item, percent change of the counted quantity against 12 rows back."""
+    _prep(spark)
+    tf = features.time_features(_base_rows(spark, sf_dir))
+    return tf.select("Código", "Data INV", "Quantidade Fisica", "Tendencia_Anual")
+
+
+@register("moving_averages")
+def q_moving_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item, mean of the 3 and 6 previous rows (current row excluded)."""
+    _prep(spark)
+    tf = features.time_features(_base_rows(spark, sf_dir))
+    return tf.select("Código", "Data INV", "Quantidade Fisica", "Media_Movel_3M", "Media_Movel_6M")
+
+
+@register("class_stats")
+def q_class_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G8 + G9: mean and sample std of the counted quantity per ABC class (global fallback)."""
+    _prep(spark)
+    return features.class_stats(_base_rows(spark, sf_dir))
+
+
+@register("features")
+def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full feature table of items with history."""
+    _prep(spark)
+    curve, _, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
+    return features.build_features(daily, curve, mov_feat, with_hist)
