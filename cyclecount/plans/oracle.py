@@ -415,3 +415,152 @@ FROM abc_items WHERE "Lógica_ABC" > 0""",
         "features": FEATURES + "\nSELECT * FROM features",
     }
 )
+
+# --------------------------------------------------------------------------- planning / forecasting
+
+MODEL_NAMES = ["GBT Depthwise", "GBT Subsampled", "Linear Regression", "Ridge", "Lasso", "Decision Tree"]
+MODELS_VALUES = ", ".join(f"('{m}', {i})" for i, m in enumerate(MODEL_NAMES))
+
+CAPACITY = """,
+cap_ym AS (
+  SELECT year("Data INV") AS y, month("Data INV") AS "Mês", SUM(COALESCE("Lógica", 0)) AS s
+  FROM daily_std WHERE "Data INV" IS NOT NULL GROUP BY 1, 2
+),
+cap_m AS (SELECT "Mês", SUM(s) AS ss, COUNT(*) AS ny FROM cap_ym GROUP BY 1),
+capacity AS (
+  SELECT CAST(r.m AS INTEGER) AS "Mês",
+         COALESCE(CAST(ss AS DOUBLE) / CAST(ny AS DOUBLE), 0.0) AS "Media_Logica",
+         CAST(trunc(COALESCE(CAST(ss AS DOUBLE) / CAST(ny AS DOUBLE), 0.0) * 0.9) AS BIGINT) AS "Capacidade"
+  FROM range(1, 13) r(m) LEFT JOIN cap_m ON cap_m."Mês" = r.m
+)"""
+
+ITEMS_TO_COUNT = """,
+items_to_count AS (
+  SELECT "Código", COALESCE("Curva_ABC", 'Unknown') AS "Curva_ABC",
+         COALESCE("Valor_Estoque", CAST(0 AS DECIMAL(18,2))) AS "Valor_Estoque", "Lógica_ABC",
+         CAST(CASE COALESCE("Curva_ABC", 'Unknown') WHEN 'A' THEN 3 WHEN 'B' THEN 2 WHEN 'C' THEN 1 ELSE 0 END
+              AS INTEGER) AS "Prioridade_Curva",
+         CAST(round_even("Lógica_ABC", 0) AS BIGINT) AS "Qtd_Int"
+  FROM abc_items
+  WHERE "Lógica_ABC" > 0
+    AND "Código" NOT IN (SELECT "Código" FROM daily_std WHERE year("Data INV") = 2001)
+)"""
+
+LAST_ROW = """,
+last_row AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY "Código" ORDER BY "Ano" DESC, "Mês" DESC, "Data INV" DESC,
+                                 "Quantidade Fisica" DESC, "Lógica" DESC) AS rn
+    FROM features) WHERE rn = 1
+)"""
+
+FALLBACK = f""",
+fallback AS (
+  SELECT a."Código", mn.name AS "Model_Name", CAST(a."Lógica_ABC" AS DOUBLE) AS "Previsao_Quantidade"
+  FROM abc_items a, (VALUES {MODELS_VALUES}) mn(name, ord)
+  WHERE a."Lógica_ABC" > 0 AND a."Código" IN (SELECT "Código" FROM without_hist)
+),
+fc_info AS (
+  SELECT f.*, COALESCE(a."Curva_ABC", 'Unknown') AS "Curva_ABC",
+         COALESCE(a."Lógica_ABC", CAST(0 AS DECIMAL(18,3))) AS "Lógica_ABC",
+         COALESCE(a."Custo_Unitário", CAST(0 AS DECIMAL(18,2))) AS "Custo_Unitário",
+         COALESCE(a."Valor_Estoque", CAST(0 AS DECIMAL(18,2))) AS "Valor_Estoque"
+  FROM fallback f LEFT JOIN abc_items a ON a."Código" = f."Código"
+),
+valuation AS (
+  SELECT "Código", "Model_Name", "Curva_ABC", "Lógica_ABC", "Custo_Unitário", "Valor_Estoque",
+         q AS "Previsao_Quantidade",
+         CAST(round_even(v, 2) AS DECIMAL(18,2)) AS "Valor Fisico Previsto",
+         CAST(round_even(v - "Valor_Estoque", 2) AS DECIMAL(18,2)) AS "Vlr Delta Previsto",
+         CAST(round_even(abs(v - "Valor_Estoque"), 2) AS DECIMAL(18,2)) AS "Delta ABS Previsto",
+         CAST(round_even(abs(v - "Valor_Estoque") * CAST(0.18 AS DECIMAL(6,4)), 2) AS DECIMAL(18,2))
+           AS "TOTAL IMPOSTO Previsto"
+  FROM (SELECT *, CAST(CAST("Custo_Unitário" AS DECIMAL(38,2)) * CAST(q AS DECIMAL(38,3)) AS DECIMAL(38,5)) AS v
+        FROM (SELECT *, CAST(COALESCE(greatest(0.0, "Previsao_Quantidade"), 0.0) AS DECIMAL(18,3)) AS q
+              FROM fc_info))
+)"""
+
+ORACLE.update(
+    {
+        "capacity_by_month": FULL + CAPACITY + "\nSELECT * FROM capacity",
+        "items_to_count": FULL + ITEMS_TO_COUNT + "\nSELECT * FROM items_to_count",
+        "last_feature_row": FEATURES + LAST_ROW + "\nSELECT * FROM last_row",
+        "fallback_forecast": EARLY + FALLBACK + "\nSELECT * FROM fallback",
+        "forecast_valuation": EARLY + FALLBACK + "\nSELECT * FROM valuation",
+    }
+)
+
+# --------------------------------------------------------------------------- validation
+
+YTD = (
+    with_(counts_raw("9999-01-01"))
+    + f""",
+fc_src AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS "Código", CAST(year(l_shipdate) AS INTEGER) AS "Ano_Previsto",
+         CAST(month(l_shipdate) AS INTEGER) AS "Mês_Previsto",
+         CAST(l_quantity AS DECIMAL(18,3)) AS q,
+         CAST(CAST(l_quantity * (1 - l_tax) AS DECIMAL(18,2)) AS DECIMAL(18,3)) AS qa
+  FROM lineitem WHERE l_linestatus = 'O'
+),
+forecasts AS (
+  SELECT 'Logica' AS "Model_Name", "Código", "Ano_Previsto", "Mês_Previsto", q AS "Previsao_Quantidade" FROM fc_src
+  UNION ALL
+  SELECT 'Ajustado', "Código", "Ano_Previsto", "Mês_Previsto", qa FROM fc_src
+),
+raw_ts AS (
+  SELECT *, try_strptime(trim("Atualização"), '%d/%m/%Y %H:%M') AS ts FROM counts_raw
+),
+latest AS (SELECT year(max(ts)) AS y, month(max(ts)) AS m FROM raw_ts),
+actual AS (
+  SELECT {std_code('"Código"')} AS "Código",
+         CAST(SUM(COALESCE(TRY_CAST(trim("Quantidade Fisica") AS DECIMAL(18,3)), 0)) AS DECIMAL(18,3)) AS "Real_YTD"
+  FROM raw_ts, latest
+  WHERE "Código" IS NOT NULL AND "Atualização" IS NOT NULL AND "Quantidade Fisica" IS NOT NULL
+    AND ts IS NOT NULL AND year(ts) = latest.y AND month(ts) <= latest.m
+  GROUP BY 1
+),
+prev AS (
+  SELECT "Model_Name", "Código", CAST(SUM(p) AS DECIMAL(18,3)) AS "Prev_YTD"
+  FROM (SELECT CAST("Model_Name" AS VARCHAR) AS "Model_Name", {std_code('"Código"')} AS "Código",
+               CAST(trunc(COALESCE(TRY_CAST(CAST("Ano_Previsto" AS VARCHAR) AS DOUBLE), -1)) AS INTEGER) AS fy,
+               CAST(trunc(COALESCE(TRY_CAST(CAST("Mês_Previsto" AS VARCHAR) AS DOUBLE), -1)) AS INTEGER) AS fm,
+               COALESCE(TRY_CAST(CAST("Previsao_Quantidade" AS VARCHAR) AS DECIMAL(18,3)), 0) AS p
+        FROM forecasts), latest
+  WHERE fy = latest.y AND fm <= latest.m
+  GROUP BY 1, 2
+),
+models AS (SELECT DISTINCT "Model_Name" FROM forecasts WHERE "Model_Name" IS NOT NULL),
+detail AS (
+  SELECT "Model_Name", "Código", "Real_YTD", p AS "Prev_YTD",
+         CAST(p - "Real_YTD" AS DECIMAL(18,3)) AS "Erro",
+         CAST(abs(p - "Real_YTD") AS DECIMAL(18,3)) AS "Erro_Abs",
+         CASE WHEN "Real_YTD" > 0
+              THEN CAST(abs(p - "Real_YTD") AS DOUBLE) / CAST("Real_YTD" AS DOUBLE) * 100.0 END AS "APE"
+  FROM (SELECT a."Código", a."Real_YTD", mo."Model_Name",
+               CAST(COALESCE(pr."Prev_YTD", 0) AS DECIMAL(18,3)) AS p
+        FROM actual a CROSS JOIN models mo
+        LEFT JOIN prev pr ON pr."Model_Name" = mo."Model_Name" AND pr."Código" = a."Código")
+),
+metrics AS (
+  SELECT "Model_Name",
+         CAST(SUM("Erro_Abs") AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS "MAE",
+         CASE WHEN SUM("Real_YTD") <> 0
+              THEN CAST(SUM("Erro_Abs") AS DOUBLE) / CAST(SUM("Real_YTD") AS DOUBLE) * 100.0 END AS "WMAPE",
+         round(AVG("APE"), 6) AS "MAPE",
+         CAST(SUM("Real_YTD") AS DECIMAL(18,3)) AS "Total_Real",
+         CAST(SUM("Prev_YTD") AS DECIMAL(18,3)) AS "Total_Previsto",
+         CAST(SUM("Prev_YTD") - SUM("Real_YTD") AS DECIMAL(18,3)) AS "Diferenca_Total"
+  FROM detail GROUP BY 1
+)"""
+)
+
+ORACLE.update(
+    {
+        "ytd_detail": YTD + "\nSELECT * FROM detail",
+        "ytd_metrics": YTD + "\nSELECT * FROM metrics",
+        "best_model": YTD
+        + """
+SELECT "Model_Name", "MAE" FROM metrics WHERE "MAE" IS NOT NULL
+ORDER BY "MAE", "Model_Name" LIMIT 1""",
+    }
+)

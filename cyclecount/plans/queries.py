@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cyclecount.operators import abc, categories, counts, features, movements, stats
+from cyclecount.operators import abc, categories, counts, features, forecasting, movements, planning, stats, validation
 from cyclecount.plans import demo
 from cyclecount.session import ensure_checkpoint_dir
 
@@ -192,3 +192,109 @@ def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     _prep(spark)
     curve, _, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
     return features.build_features(daily, curve, mov_feat, with_hist)
+
+
+# ---------------------------------------------------------------------- planning
+
+
+def _planning_inputs(spark: SparkSession, sf_dir: str):
+    curve, items, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
+    daily_std = features.standardized_daily(daily)
+    return curve, items, daily, daily_std, with_hist, mov_feat
+
+
+@register("capacity_by_month")
+def q_capacity_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly counting capacity = int(0.9 x mean monthly book quantity)."""
+    _prep(spark)
+    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir)))
+    return planning.capacity_by_month(features.standardized_daily(daily))
+
+
+@register("items_to_count")
+def q_items_to_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 + J11: eligible items not yet counted in the as-of year, with priority."""
+    _prep(spark)
+    _, items, _, daily_std, _, _ = _planning_inputs(spark, sf_dir)
+    return planning.items_to_count(items, daily_std, demo.AS_OF_YEAR)
+
+
+def _allocation(spark: SparkSession, sf_dir: str) -> planning.Allocation:
+    _, items, _, daily_std, _, _ = _planning_inputs(spark, sf_dir)
+    todo = planning.items_to_count(items, daily_std, demo.AS_OF_YEAR)
+    cap = planning.capacity_map(planning.capacity_by_month(daily_std))
+    return planning.allocate(spark, todo, cap, demo.AS_OF_YEAR, demo.AS_OF_MONTH)
+
+
+@register("allocation")
+def q_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: items placed into planning months under the monthly capacity (greedy with skips)."""
+    _prep(spark)
+    return _allocation(spark, sf_dir).allocation
+
+
+@register("plan_summary")
+def q_plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: per planning month: items placed, pieces placed, capacity."""
+    _prep(spark)
+    return _allocation(spark, sf_dir).summary
+
+
+# ------------------------------------------------------------------- forecasting
+
+
+@register("last_feature_row")
+def q_last_feature_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each item's most recent feature row."""
+    return forecasting.last_feature_row(q_features(spark, sf_dir))
+
+
+def _fallback(spark: SparkSession, sf_dir: str):
+    from cyclecount.learning import models as learning_models
+
+    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    without = categories.items_without_history(items, counted, moved)
+    eligible = items.where(F.col("Lógica_ABC") > 0).join(without, "Código", "left_semi")
+    return items, forecasting.fallback_forecast(eligible, list(learning_models.MODEL_NAMES))
+
+
+@register("fallback_forecast")
+def q_fallback_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items without history forecast at their book quantity under every model name."""
+    _prep(spark)
+    return _fallback(spark, sf_dir)[1]
+
+
+@register("forecast_valuation")
+def q_forecast_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 + P24 + P25: forecasts with item info, forecast value, delta, absolute delta, tax."""
+    _prep(spark)
+    items, fc = _fallback(spark, sf_dir)
+    return forecasting.valuation(forecasting.with_item_info(fc, items))
+
+
+# -------------------------------------------------------------------- validation
+
+
+def _ytd(spark: SparkSession, sf_dir: str):
+    raw = demo.counts(spark, sf_dir, history_end=None)
+    year, month = validation.latest_year_month(raw)
+    return validation.ytd_validation(raw, demo.forecasts(spark, sf_dir), year, month)
+
+
+@register("ytd_detail")
+def q_ytd_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 / J12 + P26: per model and counted item: YTD actual, forecast, error, APE."""
+    return _ytd(spark, sf_dir)[0]
+
+
+@register("ytd_metrics")
+def q_ytd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model MAE, WMAPE, MAPE (rounded to 1e-6), totals and difference."""
+    return _ytd(spark, sf_dir)[1].withColumn("MAPE", F.round("MAPE", 6))
+
+
+@register("best_model")
+def q_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model with the lowest YTD MAE."""
+    return _ytd(spark, sf_dir)[2]
