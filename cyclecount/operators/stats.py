@@ -77,20 +77,29 @@ def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFram
 
 
 def constant_features(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Numeric feature columns whose sample std is 0 (or undefined), in one pass."""
+    """Numeric columns whose sample std is 0, i.e. at least two values, all equal.
+
+    Tested as ``min == max`` over the non-null values: exact for every numeric
+    type, one aggregate pass for all columns. Output: feature, n, value.
+    """
     aggs = []
     for i, c in enumerate(cols):
-        aggs += moment_aggs(C.col(c), f"_c{i}")
+        x = C.col(c).cast("double")
+        aggs += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
     row_df = df.agg(*aggs)
     stacked = [
         F.struct(
             F.lit(c).alias("feature"),
-            std_of(F.col(f"_c{i}_n"), F.col(f"_c{i}_s"), F.col(f"_c{i}_s2")).alias("std"),
+            F.col(f"_n{i}").alias("n"),
+            F.col(f"_lo{i}").alias("lo"),
+            F.col(f"_hi{i}").alias("hi"),
         )
         for i, c in enumerate(cols)
     ]
-    long = row_df.select(F.explode(F.array(*stacked)).alias("r")).select("r.feature", "r.std")
-    return long.where(F.col("std").isNull() | (F.col("std") == 0))
+    long = row_df.select(F.explode(F.array(*stacked)).alias("r")).select("r.*")
+    return long.where((F.col("n") >= 2) & (F.col("lo") == F.col("hi"))).select(
+        "feature", "n", F.col("lo").alias("value")
+    )
 
 
 def feature_correlation(df: DataFrame, cols: list[str], target: str, k: int = 30) -> DataFrame:

@@ -564,3 +564,53 @@ SELECT "Model_Name", "MAE" FROM metrics WHERE "MAE" IS NOT NULL
 ORDER BY "MAE", "Model_Name" LIMIT 1""",
     }
 )
+
+# --------------------------------------------------------------------------- data profile
+
+FEATURE_NUMERIC = (
+    ["Ano", "Lógica", "Valor Logica", "Tendencia_Anual", "Media_Movel_3M", "Media_Movel_6M",
+     "Media_ABC", "Desvio_ABC"]
+    + [f"{t}_Total_Qtde_Mensal" for t in DEMO_TYPES]
+    + [f"{t}_Qtd_Movimentos_Mensal" for t in DEMO_TYPES]
+    + ["Total_Geral_Qtde_Mensal", "Total_Geral_Qtd_Movimentos_Mensal", "Num_Tipos_Mov_Mensal"]
+)
+
+_CONST = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, COUNT(CAST("{c}" AS DOUBLE)) AS n, MIN(CAST("{c}" AS DOUBLE)) AS lo,
+       MAX(CAST("{c}" AS DOUBLE)) AS hi FROM features"""
+    for c in FEATURE_NUMERIC
+)
+
+_CORR = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, corr(CAST("{c}" AS DOUBLE), CAST("Quantidade Fisica" AS DOUBLE)) AS c FROM train"""
+    for c in FEATURE_NUMERIC
+)
+
+ORACLE.update(
+    {
+        "target_profile": FEATURES
+        + """
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT "Quantidade Fisica") AS n_distinct,
+       COUNT(*) FILTER (WHERE "Quantidade Fisica" = 0) AS n_zeros,
+       CAST(SUM("Quantidade Fisica") AS DOUBLE) / CAST(COUNT("Quantidade Fisica") AS DOUBLE) AS mean,
+       sqrt(CAST(CAST((COUNT("Quantidade Fisica") * SUM("Quantidade Fisica" * "Quantidade Fisica")
+                        - SUM("Quantidade Fisica") * SUM("Quantidade Fisica")) * 1000000 AS DECIMAL(38,0)) AS DOUBLE)
+            / CAST(COUNT("Quantidade Fisica") * (COUNT("Quantidade Fisica") - 1) AS DOUBLE) / 1000000.0) AS std,
+       CAST(MIN("Quantidade Fisica") AS DECIMAL(18,3)) AS min,
+       quantile_cont(CAST("Quantidade Fisica" AS DOUBLE), 0.25) AS p25,
+       quantile_cont(CAST("Quantidade Fisica" AS DOUBLE), 0.5) AS p50,
+       quantile_cont(CAST("Quantidade Fisica" AS DOUBLE), 0.75) AS p75,
+       CAST(MAX("Quantidade Fisica") AS DECIMAL(18,3)) AS max
+FROM features""",
+        "constant_features": FEATURES
+        + f"""
+SELECT feature, n, lo AS value FROM ({_CONST}) WHERE n >= 2 AND lo = hi""",
+        "feature_correlation": FEATURES
+        + f""",
+train AS (SELECT * FROM features WHERE "Ano" < (SELECT MAX("Ano") FROM features)),
+cors AS (SELECT * FROM ({_CORR}) WHERE c IS NOT NULL AND NOT isnan(c))
+SELECT feature, round(c, 6) AS corr, 'top' AS side FROM (SELECT * FROM cors ORDER BY c DESC, feature LIMIT 30)
+UNION ALL
+SELECT feature, round(c, 6) AS corr, 'bottom' AS side FROM (SELECT * FROM cors ORDER BY c ASC, feature LIMIT 30)""",
+    }
+)

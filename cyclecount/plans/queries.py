@@ -298,3 +298,109 @@ def q_ytd_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model with the lowest YTD MAE."""
     return _ytd(spark, sf_dir)[2]
+
+
+# ---------------------------------------------------------------------- learning
+
+# Demo search effort: 3 seeded candidates per model over 2 month folds (the
+# library default is the reference's 50 x 5; see SearchBudget).
+DEMO_BUDGET = None
+_FITTED: dict = {}
+
+
+def _fitted(spark: SparkSession, sf_dir: str):
+    from cyclecount.learning import scoring
+    from cyclecount.learning.train import SearchBudget
+
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        _prep(spark)
+        feats = q_features(spark, sf_dir).checkpoint(eager=True)
+        budget = DEMO_BUDGET or SearchBudget(max_candidates=3, max_splits=2, parallelism=4)
+        _FITTED.clear()
+        _FITTED[key] = (feats, scoring.fit(feats, budget))
+    return _FITTED[key]
+
+
+@register("model_metrics")
+def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model MAE, RMSE, R2 on the last year, CV MAE and chosen params."""
+    from cyclecount.learning import scoring
+
+    _, fitted = _fitted(spark, sf_dir)
+    return scoring.metrics(spark, fitted)
+
+
+@register("feature_importance")
+def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top 20 features of each model by importance or coefficient magnitude."""
+    from cyclecount.learning import scoring
+
+    _, fitted = _fitted(spark, sf_dir)
+    return scoring.importances(spark, fitted)
+
+
+def _eligible_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    with_hist = categories.items_with_history(items, counted, moved)
+    return items.where(F.col("Lógica_ABC") > 0).join(with_hist, "Código", "left_semi")
+
+
+@register("ml_forecast")
+def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trained model on each eligible item's last feature row, clipped at 0."""
+    from cyclecount.learning import scoring
+
+    feats, fitted = _fitted(spark, sf_dir)
+    return scoring.score_items(feats, _eligible_with_history(spark, sf_dir), fitted)
+
+
+@register("forecast_plan")
+def q_forecast_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and fallback forecasts of the allocated items, valued, with month and tax."""
+    from cyclecount.learning import scoring
+
+    feats, fitted = _fitted(spark, sf_dir)
+    names = scoring.trained_names(fitted)
+    _, items, _, daily_std, with_hist, _ = _planning_inputs(spark, sf_dir)
+    eligible = items.where(F.col("Lógica_ABC") > 0)
+    ml = scoring.score_items(feats, eligible.join(with_hist, "Código", "left_semi"), fitted)
+    fb = forecasting.fallback_forecast(eligible.join(with_hist, "Código", "left_anti"), names)
+    alloc = _allocation(spark, sf_dir).allocation
+    return forecasting.forecast_plan(ml.unionByName(fb), items, alloc)
+
+
+# ------------------------------------------------------------------ data profile
+
+
+@register("target_profile")
+def q_target_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, distinct values, zeros, mean, std, min, quartiles, max of the target."""
+    _prep(spark)
+    return stats.target_profile(q_features(spark, sf_dir))
+
+
+def _numeric_features(df: DataFrame) -> list[str]:
+    from cyclecount.learning.train import feature_columns
+
+    return feature_columns(df)[0]
+
+
+@register("constant_features")
+def q_constant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric feature columns with a single value (sample std 0)."""
+    _prep(spark)
+    f = q_features(spark, sf_dir)
+    return stats.constant_features(f, _numeric_features(f))
+
+
+@register("feature_correlation")
+def q_feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G18 + O5: Pearson correlation of each feature with the target on the training years; top/bottom 30."""
+    from cyclecount.learning.train import TARGET, temporal_split
+
+    _prep(spark)
+    f = q_features(spark, sf_dir)
+    train_rows, _, _ = temporal_split(f)
+    out = stats.feature_correlation(train_rows, _numeric_features(f), TARGET, k=30)
+    return out.withColumn("corr", F.round("corr", 6))
