@@ -614,3 +614,33 @@ UNION ALL
 SELECT feature, round(c, 6) AS corr, 'bottom' AS side FROM (SELECT * FROM cors ORDER BY c ASC, feature LIMIT 30)""",
     }
 )
+
+# --------------------------------------------------------------------------- scalar functions
+
+ORACLE.update(
+    {
+        "standardize_codes": f"""
+SELECT l_orderkey, l_linenumber, raw, {std_code('raw')} AS code
+FROM (SELECT l_orderkey, l_linenumber, ' ' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') || ' ' AS raw FROM lineitem)""",
+        "fixed_codes": """
+SELECT l_orderkey, l_linenumber, raw, right('0000000000000' || raw, 13) AS fixed,
+       split_part(loc, '.', 1) AS rack,
+       right('0000000000000' || raw, 13) || '_' || loc || '_' || (CASE WHEN l_returnflag <> 'N' THEN l_returnflag END)
+         AS key
+FROM (SELECT *, CAST(l_orderkey AS VARCHAR) || CAST(l_partkey AS VARCHAR) || CAST(l_suppkey AS VARCHAR) AS raw,
+             CAST(l_suppkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS loc
+      FROM lineitem)""",
+        "parse_ptbr": """
+SELECT l_orderkey, l_linenumber, text,
+       TRY_CAST(replace(replace(text, '.', ''), ',', '.') AS DECIMAL(18,2)) AS value
+FROM (SELECT l_orderkey, l_linenumber,
+             replace(format('{:,}', cents // 100), ',', '.') || ',' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+               AS text
+      FROM (SELECT *, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem))""",
+        "parse_timestamps": """
+SELECT o_orderkey, text, CAST(ts AS DATE) AS date, CAST(year(ts) AS INTEGER) AS year,
+       CAST(month(ts) AS INTEGER) AS month, make_date(year(ts), month(ts), 1) AS month_start
+FROM (SELECT o_orderkey, text, try_strptime(text, '%d/%m/%Y %H:%M') AS ts
+      FROM (SELECT o_orderkey, strftime(o_orderdate, '%-d/%-m/%Y %-H:%M') AS text FROM orders))""",
+    }
+)

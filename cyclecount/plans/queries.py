@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from cyclecount.functions import columns as C
 from cyclecount.operators import abc, categories, counts, features, forecasting, movements, planning, stats, validation
 from cyclecount.plans import demo
 from cyclecount.session import ensure_checkpoint_dir
@@ -404,3 +405,61 @@ def q_feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_rows, _, _ = temporal_split(f)
     out = stats.feature_correlation(train_rows, _numeric_features(f), TARGET, k=30)
     return out.withColumn("corr", F.round("corr", 6))
+
+
+# ------------------------------------------------------------- scalar functions
+
+
+@register("standardize_codes")
+def q_standardize_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero-padded, space-wrapped part keys -> standardized codes (one row per line item)."""
+    li = demo.table(spark, sf_dir, "lineitem")
+    raw = F.concat(F.lit(" "), F.lpad(F.col("l_partkey").cast("string"), 9, "0"), F.lit(" "))
+    return li.select("l_orderkey", "l_linenumber", raw.alias("raw"), C.standardize_code(raw).alias("code"))
+
+
+@register("fixed_codes")
+def q_fixed_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + P8 + P9: 13-wide codes (last 13 characters), rack of a location, null-propagating key."""
+    li = demo.table(spark, sf_dir, "lineitem")
+    raw = F.concat(F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+                   F.col("l_suppkey").cast("string"))
+    loc = F.concat(F.col("l_suppkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        raw.alias("raw"),
+        C.fixed_code(raw).alias("fixed"),
+        C.rack(loc).alias("rack"),
+        C.count_key(C.fixed_code(raw), loc, F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))).alias("key"),
+    )
+
+
+@register("parse_ptbr")
+def q_parse_ptbr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pt-BR money text (thousands '.', decimal ',') of the line price -> decimal."""
+    li = demo.table(spark, sf_dir, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    text = F.concat(
+        F.translate(F.format_number((cents / F.lit(100)).cast("long"), 0), ",", "."),
+        F.lit(","),
+        F.lpad((cents % 100).cast("string"), 2, "0"),
+    )
+    return li.select("l_orderkey", "l_linenumber", text.alias("text"), C.parse_money_ptbr(text).alias("value"))
+
+
+@register("parse_timestamps")
+def q_parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 + P6 + P7: minute text -> timestamp -> date, year, month, first of month."""
+    o = demo.table(spark, sf_dir, "orders")
+    text = F.date_format("o_orderdate", "d/M/yyyy H:mm")
+    ts = C.parse_minute_ts(text)
+    parts = C.date_parts(ts)
+    return o.select(
+        "o_orderkey",
+        text.alias("text"),
+        parts["date"].alias("date"),
+        parts["year"].alias("year"),
+        parts["month"].alias("month"),
+        C.month_start(parts["year"], parts["month"]).alias("month_start"),
+    )
