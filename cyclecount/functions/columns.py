@@ -48,9 +48,12 @@ def _c(c: Column | str) -> Column:
     return col(c) if isinstance(c, str) else c
 
 
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def strip_ws(col: Column | str) -> Column:
-    """Trim leading/trailing whitespace of any kind (``str.strip``), not only spaces."""
-    return F.regexp_replace(_c(col).cast("string"), r"^\s+|\s+$", "")
+    """Trim leading/trailing whitespace (``str.strip``'s set), not only spaces."""
+    return F.btrim(_c(col).cast("string"), F.lit(WHITESPACE))
 
 
 def standardize_code(col: Column | str) -> Column:
