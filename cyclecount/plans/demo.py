@@ -28,12 +28,13 @@ FORECAST_MODELS = ("Logica", "Ajustado")
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. When it arrives as fewer files than the cluster has task
     slots (one small file per table in the test data, a single row group each), the
-    rows are spread round-robin once so the parsing work runs in parallel; tables
-    made of many files are read as they are, without a shuffle."""
+    rows are hash-spread once on the table's key column (first column) so the
+    parsing work runs in parallel; tables made of many files are read as they are,
+    without a shuffle."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     slots = spark.sparkContext.defaultParallelism
     if len(df.inputFiles()) < slots:
-        df = df.repartition(slots)
+        df = df.repartition(slots, F.col(df.columns[0]))
     return df
 
 
