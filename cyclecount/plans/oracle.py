@@ -644,3 +644,43 @@ FROM (SELECT o_orderkey, text, try_strptime(text, '%d/%m/%Y %H:%M') AS ts
       FROM (SELECT o_orderkey, strftime(o_orderdate, '%-d/%-m/%Y %-H:%M') AS text FROM orders))""",
     }
 )
+
+# --------------------------------------------------------------------------- J13, P18
+
+_WIDE = ",\n       ".join(
+    f"""max(CASE WHEN "Model_Name" = '{m}' THEN "{c}" END) AS "{m}_{c}\""""
+    for m in ["Ajustado", "Logica"]
+    for c in ["Prev_YTD", "Erro", "Erro_Abs", "APE"]
+)
+
+EXPECTED_MOV_COLS = (
+    [f"{t}_Total_Qtde_Mensal" for t in [
+        "Entrada na Quarentena", "Entrada no Estoque", "Movimentação Interna",
+        "Movimentação com Quarentena", "Saída da Quarentena", "Saída por Venda"]]
+    + [f"{t}_Qtd_Movimentos_Mensal" for t in [
+        "Entrada na Quarentena", "Entrada no Estoque", "Movimentação Interna",
+        "Movimentação com Quarentena", "Saída da Quarentena", "Saída por Venda"]]
+    + ["Total_Geral_Qtde_Mensal", "Total_Geral_Qtd_Movimentos_Mensal", "Num_Tipos_Mov_Mensal"]
+)
+
+ORACLE.update(
+    {
+        "ytd_detail_wide": YTD
+        + f"""
+SELECT "Código", "Real_YTD",
+       {_WIDE}
+FROM detail GROUP BY "Código", "Real_YTD\"""",
+        "features_without_movements": FULL
+        + FEATURE_BASE
+        + """
+SELECT tf."Código", tf."Data INV", tf."Ano", tf."Mês", tf."Lógica", tf."Quantidade Fisica",
+       tf."Valor Logica", tf."Valor Fisico", tf."Vlr Delta", tf."Delta ABS",
+       tf."Curva_ABC", tf."Lógica_ABC", tf."Custo_Unitário", tf."Valor_Estoque",
+       tf."Tendencia_Anual", tf."Media_Movel_3M", tf."Media_Movel_6M",
+       COALESCE(cls."Media_ABC", 0.0) AS "Media_ABC", COALESCE(cls."Desvio_ABC", 0.0) AS "Desvio_ABC",
+       """
+        + ", ".join(f'CAST(0.0 AS DOUBLE) AS "{c}"' for c in EXPECTED_MOV_COLS)
+        + """
+FROM tf LEFT JOIN cls ON cls."Curva_ABC" = tf."Curva_ABC\"""",
+    }
+)

@@ -463,3 +463,21 @@ def q_parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts["month"].alias("month"),
         C.month_start(parts["year"], parts["month"]).alias("month_start"),
     )
+
+
+@register("ytd_detail_wide")
+def q_ytd_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The YTD detail with one column group (forecast, error, |error|, APE) per model."""
+    raw = demo.counts(spark, sf_dir, history_end=None)
+    fc = demo.forecasts(spark, sf_dir)
+    year, month = validation.latest_year_month(raw)
+    detail, _, _ = validation.ytd_validation(raw, fc, year, month)
+    return validation.widen_by_model(detail, validation.model_names(fc))
+
+
+@register("features_without_movements")
+def q_features_without_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 + P18: the feature table when no movement export exists (expected movement columns are 0)."""
+    _prep(spark)
+    curve, _, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
+    return features.build_features(daily, curve, None, with_hist)
