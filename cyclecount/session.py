@@ -63,8 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the checkpoint folder, setting one only where none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Local runs (tests, bench) without one get a fresh scratch folder.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    a cluster session without one is an error (a driver-local folder would not be
+    readable by executors). Local-mode runs (tests, bench) without one get a
+    fresh scratch folder.
     """
     current = checkpoint_dir(spark)
     if current:
@@ -72,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir() or current
     if fallback is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         fallback = tempfile.mkdtemp(prefix="cyclecount-ckpt-")
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir() or fallback
