@@ -113,7 +113,8 @@ def build_features(
     items = abc_items(curve)
     base = with_abc(standardized_daily(daily), items).join(with_history, "Código", "left_semi")
     tf = time_features(base)
-    tf = tf.join(F.broadcast(class_stats(tf)), "Curva_ABC", "left")
+    # class statistics need only class and target: taken from the rows before the windows
+    tf = tf.join(F.broadcast(class_stats(base)), "Curva_ABC", "left")
     if mov_features is not None:
         mcols = [c for c in mov_features.columns if c not in movements.KEYS]
         mf = mov_features.join(with_history, "Código", "left_semi")

@@ -27,6 +27,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_pfx_bucket"
 
@@ -155,8 +156,13 @@ def with_buckets(
     cuts = cut_points(df, keys, n_rows, rows_per_bucket, max_buckets)
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     if not cuts:
-        return df.withColumn(BUCKET, F.lit(0))
-    return df.withColumn(BUCKET, _bucket_expr(keys, cuts, dtypes))
+        return df.select("*", F.lit(0).cast("int").alias(BUCKET, metadata={"single": True}))
+    return df.select("*", _bucket_expr(keys, cuts, dtypes).alias(BUCKET, metadata={"single": False}))
+
+
+def _is_single(df: DataFrame) -> bool:
+    """True when the bucket column is the constant 0 (no cut points were needed)."""
+    return bool(df.schema[BUCKET].metadata.get("single", False))
 
 
 def running_sum(
@@ -181,27 +187,33 @@ def running_sum(
     val = F.col(value) if isinstance(value, str) else value
     b = df if BUCKET in df.columns else with_buckets(df, keys, n_rows, rows_per_bucket, max_buckets)
     b = b.withColumn("_pfx_v", val)
-    totals = b.groupBy(BUCKET).agg(F.sum("_pfx_v").alias("_pfx_t"))
-    # k <= max_buckets rows: one small window and a broadcast of a bounded table.
-    offsets = totals.select(
-        BUCKET,
-        F.coalesce(
-            F.sum("_pfx_t").over(
-                Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0).cast(totals.schema["_pfx_t"].dataType),
-        ).alias("_pfx_off"),
-        F.sum("_pfx_t").over(Window.partitionBy()).alias("_pfx_total"),
-    )
     w = (
         Window.partitionBy(BUCKET)
         .orderBy(*sort_columns(keys))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    res = (
-        b.join(F.broadcast(offsets), BUCKET, "inner")
-        .withColumn(out, F.col("_pfx_off") + F.sum("_pfx_v").over(w))
-        .drop("_pfx_v", "_pfx_off")
-    )
-    res = res.withColumnRenamed("_pfx_total", total_out) if total_out else res.drop("_pfx_total")
+    single = isinstance(b.schema[BUCKET].dataType, T.IntegerType) and _is_single(b)
+    if single:
+        # one bucket (at most rows_per_bucket rows): no offsets, no join
+        res = b.withColumn(out, F.sum("_pfx_v").over(w))
+        if total_out:
+            res = res.withColumn(total_out, F.sum("_pfx_v").over(Window.partitionBy(BUCKET)))
+        res = res.drop("_pfx_v")
+    else:
+        totals = b.groupBy(BUCKET).agg(F.sum("_pfx_v").alias("_pfx_t"))
+        # k <= max_buckets rows: one small window and a broadcast of a bounded table.
+        offsets = totals.select(
+            BUCKET,
+            F.coalesce(
+                F.sum("_pfx_t").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
+                F.lit(0).cast(totals.schema["_pfx_t"].dataType),
+            ).alias("_pfx_off"),
+            F.sum("_pfx_t").over(Window.partitionBy()).alias("_pfx_total"),
+        )
+        res = (
+            b.join(F.broadcast(offsets), BUCKET, "inner")
+            .withColumn(out, F.col("_pfx_off") + F.sum("_pfx_v").over(w))
+            .drop("_pfx_v", "_pfx_off")
+        )
+        res = res.withColumnRenamed("_pfx_total", total_out) if total_out else res.drop("_pfx_total")
     return res if keep_bucket else res.drop(BUCKET)

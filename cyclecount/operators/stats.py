@@ -8,7 +8,7 @@ streaming variance update does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
@@ -113,6 +113,18 @@ def feature_correlation(df: DataFrame, cols: list[str], target: str, k: int = 30
     stacked = [F.struct(F.lit(c).alias("feature"), F.col(f"_r{i}").alias("corr")) for i, c in enumerate(cols)]
     long = row_df.select(F.explode(F.array(*stacked)).alias("r")).select("r.feature", "r.corr")
     long = long.where(F.col("corr").isNotNull() & ~F.isnan("corr") & (F.col("feature") != target))
-    top = long.orderBy(F.desc("corr"), "feature").limit(k).withColumn("side", F.lit("top"))
-    bottom = long.orderBy(F.asc("corr"), "feature").limit(k).withColumn("side", F.lit("bottom"))
-    return top.unionByName(bottom)
+    # one row per feature reaches these windows: a bounded single partition
+    ranked = long.select(
+        "feature",
+        "corr",
+        F.row_number().over(Window.orderBy(F.desc("corr"), "feature")).alias("_top"),
+        F.row_number().over(Window.orderBy(F.asc("corr"), "feature")).alias("_bottom"),
+    )
+    sides = F.filter(
+        F.array(
+            F.when(F.col("_top") <= k, F.lit("top")),
+            F.when(F.col("_bottom") <= k, F.lit("bottom")),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    return ranked.select("feature", "corr", F.explode(sides).alias("side"))
