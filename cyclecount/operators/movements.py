@@ -59,9 +59,15 @@ def movement_rows(mov: DataFrame, dedup: bool = True) -> DataFrame:
     ).dropna(subset=["Código", "Tipo_Movimento"])
 
 
-def movement_types(rows: DataFrame) -> list[str]:
-    """Distinct movement types present (a bounded categorical list), sorted."""
-    types = [r[0] for r in rows.select("Tipo_Movimento").distinct().limit(MAX_TYPES + 1).collect()]
+def movement_types(mov: DataFrame) -> list[str]:
+    """Distinct movement types present (a bounded categorical list), sorted.
+
+    Read from the raw rows (those with a code and a type, as the feature rows
+    keep): the same set as after de-duplication, without its shuffle.
+    """
+    t = mov.where(C.standardize_code("CD_ARTICOLO").isNotNull() & C.col("Tipo_Movimento").isNotNull())
+    t = t.select(C.col("Tipo_Movimento").cast("string").alias("t")).distinct()
+    types = [r[0] for r in t.limit(MAX_TYPES + 1).collect()]
     if len(types) > MAX_TYPES:
         raise ValueError(f"more than {MAX_TYPES} movement types: not a categorical column")
     return sorted(types)
@@ -100,7 +106,7 @@ def movement_features(mov: DataFrame, types: list[str] | None = None, dedup: boo
     """
     rows = movement_rows(mov, dedup)
     if types is None:
-        types = movement_types(rows)
+        types = movement_types(mov)
     t = F.col("Tipo_Movimento")
     zero = F.lit(0).cast(C.QTY)
     aggs = [

@@ -48,9 +48,46 @@ def mean_std_by(df: DataFrame, x: str, by: list[str], mean_name: str, std_name:
     )
 
 
+def exact_quantiles(
+    df: DataFrame, col: str, probs: list[float], rows_per_bucket: int = 2_000_000
+) -> list[float | None]:
+    """Exact linear-interpolated quantiles (position p * (n - 1)) without a one-task buffer.
+
+    The values are ranked by the two-phase running count (``prefix``), and only
+    the rows at the needed ranks (at most two per probability) are read back.
+    """
+    from cyclecount.operators import prefix
+
+    v = df.select(C.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    n = v.count()
+    if n == 0:
+        return [None for _ in probs]
+    # equal values are interchangeable for the result; a row id only makes the order total
+    v = v.withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ranked = prefix.running_sum(
+        v, [prefix.SortKey("_v"), prefix.SortKey("_id")], F.lit(1).cast("long"), "_rank",
+        n_rows=n, rows_per_bucket=rows_per_bucket,
+    )
+    need = set()
+    pos = []
+    for p in probs:
+        rn = p * (n - 1)
+        lo = int(rn // 1)
+        hi = min(n - 1, lo + (1 if rn > lo else 0))
+        pos.append((rn, lo, hi))
+        need |= {lo + 1, hi + 1}
+    at = {int(r["_rank"]): float(r["_v"]) for r in ranked.where(F.col("_rank").isin(sorted(need))).collect()}
+    out = []
+    for rn, lo, hi in pos:
+        a, b = at[lo + 1], at[hi + 1]
+        out.append(a if hi == lo else a + (b - a) * (rn - lo))
+    return out
+
+
 def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFrame:
-    """One row: rows, distinct values, mean, std, min, quartiles, max, zeros."""
+    """One row: rows, distinct values, zeros, mean, std, min, quartiles, max."""
     x = C.col(target)
+    q25, q50, q75 = exact_quantiles(df, target, [0.25, 0.5, 0.75])
     agg = df.agg(
         *moment_aggs(x, "_t"),
         F.count(F.lit(1)).alias("n_rows"),
@@ -58,9 +95,6 @@ def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFram
         F.count_if(x == 0).alias("n_zeros"),
         F.min(x).cast(C.QTY).alias("min"),
         F.max(x).cast(C.QTY).alias("max"),
-        F.percentile(x.cast("double"), F.lit(0.25)).alias("p25"),
-        F.percentile(x.cast("double"), F.lit(0.5)).alias("p50"),
-        F.percentile(x.cast("double"), F.lit(0.75)).alias("p75"),
     )
     return agg.select(
         "n_rows",
@@ -69,9 +103,9 @@ def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFram
         mean_of(F.col("_t_n"), F.col("_t_s")).alias("mean"),
         std_of(F.col("_t_n"), F.col("_t_s"), F.col("_t_s2")).alias("std"),
         "min",
-        "p25",
-        "p50",
-        "p75",
+        F.lit(q25).cast("double").alias("p25"),
+        F.lit(q50).cast("double").alias("p50"),
+        F.lit(q75).cast("double").alias("p75"),
         "max",
     )
 

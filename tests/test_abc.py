@@ -66,3 +66,16 @@ def test_classes_invariant_under_partitioning(spark):
     b = {r["Código"]: r["Curva_ABC"] for r in abc.classify(base.repartition(16), rows_per_bucket=50).collect()}
     assert a == b
     assert sum(1 for v in a.values() if v == "A") > 0
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from cyclecount.operators import stats
+
+    vals = [float((i * 7919) % 1000) / 10 for i in range(4001)] + [5.0] * 2000
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = stats.exact_quantiles(df, "x", probs, rows_per_bucket=500)
+    exp = [float(np.percentile(vals, p * 100)) for p in probs]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got, exp)), (got, exp)
