@@ -313,7 +313,7 @@ def _fitted(spark: SparkSession, sf_dir: str):
     from cyclecount.learning import scoring
     from cyclecount.learning.train import SearchBudget
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         _prep(spark)
         feats = q_features(spark, sf_dir).checkpoint(eager=True)
