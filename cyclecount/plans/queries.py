@@ -116,20 +116,24 @@ def q_movement_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history_inputs(spark: SparkSession, sf_dir: str, history_end: str):
-    """(ABC items, counted codes, moved codes) for a history window ending at ``history_end``."""
+    """(curve, ABC items, daily counts, counted codes, moved codes, movement features)
+    for a history window ending at ``history_end``; each stage is computed once per call."""
     curve = abc.abc_curve(demo.stock(spark, sf_dir), demo.costs(spark, sf_dir))
-    items = features.abc_items(curve)
-    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir, history_end)))
+    # read by the history sets and again by the features: written once
+    items = features.abc_items(curve).checkpoint(eager=True)
+    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir, history_end))).checkpoint(eager=True)
     counted = features.standardized_daily(daily)
-    moved = movements.movement_rows(demo.movements(spark, sf_dir, history_end))
-    return curve, items, daily, counted, moved
+    # the feature table's codes are exactly the moved items
+    mov_feat = movements.movement_features(demo.movements(spark, sf_dir, history_end)).checkpoint(eager=True)
+    moved = mov_feat.select("Código")
+    return curve, items, daily, counted, moved, mov_feat
 
 
 @register("items_with_history")
 def q_items_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock items counted or moved in the (short) history window."""
     _prep(spark)
-    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
     return categories.items_with_history(items, counted, moved)
 
 
@@ -137,7 +141,7 @@ def q_items_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_items_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock items neither counted nor moved in the (short) history window."""
     _prep(spark)
-    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
     return categories.items_without_history(items, counted, moved)
 
 
@@ -145,7 +149,7 @@ def q_items_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_item_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligible items labelled counted/never counted and moved/not moved."""
     _prep(spark)
-    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
     return categories.item_category(items, counted, moved)
 
 
@@ -153,9 +157,8 @@ def q_item_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feature_inputs(spark: SparkSession, sf_dir: str):
-    curve, items, daily, counted, moved = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    curve, items, daily, counted, moved, mov_feat = _history_inputs(spark, sf_dir, demo.HISTORY_END)
     with_hist = categories.items_with_history(items, counted, moved)
-    mov_feat = movements.movement_features(demo.movements(spark, sf_dir, demo.HISTORY_END))
     return curve, items, daily, with_hist, mov_feat
 
 
@@ -253,7 +256,7 @@ def q_last_feature_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fallback(spark: SparkSession, sf_dir: str):
     from cyclecount.learning import models as learning_models
 
-    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
     without = categories.items_without_history(items, counted, moved)
     eligible = items.where(F.col("Lógica_ABC") > 0).join(without, "Código", "left_semi")
     return items, forecasting.fallback_forecast(eligible, list(learning_models.MODEL_NAMES))
@@ -342,7 +345,7 @@ def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _eligible_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, _, counted, moved = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.HISTORY_END)
     with_hist = categories.items_with_history(items, counted, moved)
     return items.where(F.col("Lógica_ABC") > 0).join(with_hist, "Código", "left_semi")
 
