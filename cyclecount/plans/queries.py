@@ -115,18 +115,30 @@ def q_movement_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- categories
 
 
-def _history_inputs(spark: SparkSession, sf_dir: str, history_end: str):
-    """(curve, ABC items, daily counts, counted codes, moved codes, movement features)
-    for a history window ending at ``history_end``; each stage is computed once per call."""
+def _stock_and_counts(spark: SparkSession, sf_dir: str, history_end: str):
+    """(curve, ABC items, daily counts); items and daily are read more than once
+    downstream, so each is written once per call."""
     curve = abc.abc_curve(demo.stock(spark, sf_dir), demo.costs(spark, sf_dir))
-    # read by the history sets and again by the features: written once
     items = features.abc_items(curve).checkpoint(eager=True)
     daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir, history_end))).checkpoint(eager=True)
+    return curve, items, daily
+
+
+def _history_inputs(spark: SparkSession, sf_dir: str, history_end: str, feature_table: bool = False):
+    """(curve, ABC items, daily counts, counted codes, moved codes, movement features)
+    for a history window ending at ``history_end``; each stage is computed once per call.
+
+    With ``feature_table`` the movement feature table is built (and written once),
+    and the moved codes are taken from it; otherwise they come from the
+    de-duplicated movement rows and no feature table is built."""
+    curve, items, daily = _stock_and_counts(spark, sf_dir, history_end)
     counted = features.standardized_daily(daily)
-    # the feature table's codes are exactly the moved items
-    mov_feat = movements.movement_features(demo.movements(spark, sf_dir, history_end)).checkpoint(eager=True)
-    moved = mov_feat.select("Código")
-    return curve, items, daily, counted, moved, mov_feat
+    mov = demo.movements(spark, sf_dir, history_end)
+    if feature_table:
+        # the feature table's codes are exactly the moved items
+        mov_feat = movements.movement_features(mov).checkpoint(eager=True)
+        return curve, items, daily, counted, mov_feat.select("Código"), mov_feat
+    return curve, items, daily, counted, movements.movement_rows(mov), None
 
 
 @register("items_with_history")
@@ -157,7 +169,9 @@ def q_item_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feature_inputs(spark: SparkSession, sf_dir: str):
-    curve, items, daily, counted, moved, mov_feat = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    curve, items, daily, counted, moved, mov_feat = _history_inputs(
+        spark, sf_dir, demo.HISTORY_END, feature_table=True
+    )
     with_hist = categories.items_with_history(items, counted, moved)
     return curve, items, daily, with_hist, mov_feat
 
@@ -202,9 +216,9 @@ def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _planning_inputs(spark: SparkSession, sf_dir: str):
-    curve, items, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
-    daily_std = features.standardized_daily(daily)
-    return curve, items, daily, daily_std, with_hist, mov_feat
+    """(ABC items, standardized daily counts) of the full history."""
+    _, items, daily = _stock_and_counts(spark, sf_dir, demo.HISTORY_END)
+    return items, features.standardized_daily(daily)
 
 
 @register("capacity_by_month")
@@ -219,12 +233,12 @@ def q_capacity_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_items_to_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 + J11: eligible items not yet counted in the as-of year, with priority."""
     _prep(spark)
-    _, items, _, daily_std, _, _ = _planning_inputs(spark, sf_dir)
+    items, daily_std = _planning_inputs(spark, sf_dir)
     return planning.items_to_count(items, daily_std, demo.AS_OF_YEAR)
 
 
 def _allocation(spark: SparkSession, sf_dir: str) -> planning.Allocation:
-    _, items, _, daily_std, _, _ = _planning_inputs(spark, sf_dir)
+    items, daily_std = _planning_inputs(spark, sf_dir)
     todo = planning.items_to_count(items, daily_std, demo.AS_OF_YEAR)
     cap = planning.capacity_map(planning.capacity_by_month(daily_std))
     return planning.allocate(spark, todo, cap, demo.AS_OF_YEAR, demo.AS_OF_MONTH)
@@ -366,7 +380,7 @@ def q_forecast_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     feats, fitted = _fitted(spark, sf_dir)
     names = scoring.trained_names(fitted)
-    _, items, _, daily_std, with_hist, _ = _planning_inputs(spark, sf_dir)
+    _, items, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
     eligible = items.where(F.col("Lógica_ABC") > 0)
     ml = scoring.score_items(feats, eligible.join(with_hist, "Código", "left_semi"), fitted)
     fb = forecasting.fallback_forecast(eligible.join(with_hist, "Código", "left_anti"), names)
