@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
 from cyclecount.operators import abc, categories, counts, features, forecasting, movements, planning, stats, validation
-from cyclecount.plans import demo
+from cyclecount.plans import demo, pipeline
 from cyclecount.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -380,12 +380,10 @@ def q_forecast_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     feats, fitted = _fitted(spark, sf_dir)
     names = scoring.trained_names(fitted)
-    _, items, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
-    eligible = items.where(F.col("Lógica_ABC") > 0)
-    ml = scoring.score_items(feats, eligible.join(with_hist, "Código", "left_semi"), fitted)
-    fb = forecasting.fallback_forecast(eligible.join(with_hist, "Código", "left_anti"), names)
+    _, items, _, with_hist, _ = _feature_inputs(spark, sf_dir)
+    fc = pipeline.forecasting_inputs(items, with_hist, feats, fitted, names)
     alloc = _allocation(spark, sf_dir).allocation
-    return forecasting.forecast_plan(ml.unionByName(fb), items, alloc)
+    return forecasting.forecast_plan(fc, items, alloc)
 
 
 # ------------------------------------------------------------------ data profile
