@@ -17,3 +17,23 @@ def test_oracle_keys_are_queries():
 def test_every_query_has_a_docstring():
     for name, fn in E.queries().items():
         assert fn.__doc__, name
+
+
+def test_oracle_outputs_have_no_decimals():
+    """The static list of decimal outputs must cover every SQL twin (fast: DuckDB only)."""
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ["lineitem", "part", "orders"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    for name, sql in E.oracle_sql().items():
+        rel = con.sql(sql)
+        bad = [c for c, t in zip(rel.columns, rel.types) if str(t).startswith("DECIMAL")]
+        assert not bad, (name, bad)
+
+
+def test_query_outputs_have_no_decimals(spark):
+    from pyspark.sql import types as T
+
+    df = E.queries()["counts_daily"](spark, "/root/testdata/sf0.001")
+    assert not [f for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
