@@ -1,6 +1,7 @@
-"""Decimal output columns of each SQL-checked query (fixed data, taken from the
-Spark schemas). Both sides of the correctness check cast them to DOUBLE at the
-contract boundary; inside, every sum and product stays exact decimal."""
+"""Decimal and date output columns of each SQL-checked query (fixed data, taken
+from the Spark schemas). At the contract boundary both sides of the correctness
+check cast decimals to DOUBLE and dates to ISO ``yyyy-MM-dd`` text; inside, every
+sum and product stays exact decimal."""
 
 DECIMAL_OUTPUTS: dict[str, list[str]] = {
     'abc_curve': ["Lógica_ABC", "Custo_Unitário", "Valor_Estoque"],
@@ -39,3 +40,15 @@ DECIMAL_OUTPUTS: dict[str, list[str]] = {
     'ytd_detail_wide': ["Real_YTD", "Ajustado_Prev_YTD", "Ajustado_Erro", "Ajustado_Erro_Abs", "Logica_Prev_YTD", "Logica_Erro", "Logica_Erro_Abs"],
     'features_without_movements': ["Lógica", "Quantidade Fisica", "Valor Logica", "Valor Fisico", "Vlr Delta", "Delta ABS", "Lógica_ABC", "Custo_Unitário", "Valor_Estoque"],
 }
+
+DATE_OUTPUTS: dict[str, list[str]] = {
+    'counts_last': ["Data INV"],
+    'counts_valued': ["Data INV"],
+    'counts_daily': ["Data INV"],
+    'trend_12': ["Data INV"],
+    'moving_averages': ["Data INV"],
+    'features': ["Data INV"],
+    'last_feature_row': ["Data INV"],
+    'parse_timestamps': ["date", "month_start"],
+    'features_without_movements': ["Data INV"],
+}

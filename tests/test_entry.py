@@ -28,7 +28,7 @@ def test_oracle_outputs_have_no_decimals():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         rel = con.sql(sql)
-        bad = [c for c, t in zip(rel.columns, rel.types) if str(t).startswith("DECIMAL")]
+        bad = [c for c, t in zip(rel.columns, rel.types) if str(t).startswith(("DECIMAL", "DATE"))]
         assert not bad, (name, bad)
 
 
@@ -36,4 +36,5 @@ def test_query_outputs_have_no_decimals(spark):
     from pyspark.sql import types as T
 
     df = E.queries()["counts_daily"](spark, "/root/testdata/sf0.001")
-    assert not [f for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
+    assert not [f for f in df.schema.fields if isinstance(f.dataType, (T.DecimalType, T.DateType))]
+    assert dict(df.dtypes)["Data INV"] == "string"
