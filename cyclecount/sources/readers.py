@@ -95,7 +95,9 @@ def read_movements(spark: SparkSession, folder: str, by_file: bool = False) -> D
     and aligns by name (for a handful of files with different headers).
     """
     if not by_file:
-        df = spark.read.options(**MOVEMENT_FILE_OPTIONS, inferSchema="false", pathGlobFilter="*.csv").csv(folder)
+        df = spark.read.options(
+            **MOVEMENT_FILE_OPTIONS, inferSchema="false", enforceSchema="false", pathGlobFilter="*.csv"
+        ).csv(folder)
         return _require(df, ["CD_ARTICOLO"], "movements").select(
             *[C.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in MOVEMENT_COLS]
         )

@@ -50,6 +50,19 @@ def test_movement_folder(spark, tmp_dir):
     assert readers.read_movements(spark, f"{tmp_dir}/mov", by_file=True).count() == 2
 
 
+def test_movement_files_with_different_headers(spark, tmp_dir):
+    import pytest
+
+    write(f"{tmp_dir}/mv/a.csv", "Ano,Mes,CD_ARTICOLO,Tipo_Movimento,Qtd_Movimentos,Total_Qtde\n2024,1,1,X,1,3\n",
+          "utf-8")
+    write(f"{tmp_dir}/mv/b.csv", "CD_ARTICOLO,Ano,Mes,Tipo_Movimento,Total_Qtde\n2,2024,2,Y,4\n", "utf-8")
+    with pytest.raises(Exception):
+        readers.read_movements(spark, f"{tmp_dir}/mv").collect()
+    got = sorted((r["CD_ARTICOLO"], r["Mes"], r["Qtd_Movimentos"])
+                 for r in readers.read_movements(spark, f"{tmp_dir}/mv", by_file=True).collect())
+    assert got == [("1", "1", "1"), ("2", "2", None)]
+
+
 def test_forecast_plan_round_trip(spark, tmp_dir):
     from cyclecount.operators.forecasting import PLAN_COLS
 
