@@ -160,7 +160,7 @@ def with_buckets(
     return df.select("*", _bucket_expr(keys, cuts, dtypes).alias(BUCKET, metadata={"single": False}))
 
 
-def _is_single(df: DataFrame) -> bool:
+def is_single(df: DataFrame) -> bool:
     """True when the bucket column is the constant 0 (no cut points were needed)."""
     return bool(df.schema[BUCKET].metadata.get("single", False))
 
@@ -192,7 +192,7 @@ def running_sum(
         .orderBy(*sort_columns(keys))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    single = isinstance(b.schema[BUCKET].dataType, T.IntegerType) and _is_single(b)
+    single = isinstance(b.schema[BUCKET].dataType, T.IntegerType) and is_single(b)
     if single:
         # one bucket (at most rows_per_bucket rows): no offsets, no join
         res = b.withColumn(out, F.sum("_pfx_v").over(w))
