@@ -104,13 +104,15 @@ def build_features(
     mov_features: DataFrame | None,
     with_history: DataFrame,
     placeholder_types: tuple[str, ...] = movements.EXPECTED_TYPES,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table for items with history.
 
     daily: counts_daily (13-wide codes); curve: the ABC curve; mov_features: the
-    movement feature table (or None); with_history: one-column ``Código`` frame.
+    movement feature table (or None); with_history: one-column ``Código`` frame;
+    items: ``abc_items(curve)`` when the caller already has it materialized.
     """
-    items = abc_items(curve)
+    items = abc_items(curve) if items is None else items
     base = with_abc(standardized_daily(daily), items).join(with_history, "Código", "left_semi")
     tf = time_features(base)
     # class statistics need only class and target: taken from the rows before the windows

@@ -176,8 +176,10 @@ def _feature_inputs(spark: SparkSession, sf_dir: str):
 
 
 def _base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve, items, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
-    return features.with_abc(features.standardized_daily(daily), items).join(with_hist, "Código", "left_semi")
+    """Daily counts of items with history, with their ABC info (no movement features)."""
+    _, items, daily, counted, moved, _ = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    with_hist = categories.items_with_history(items, counted, moved)
+    return features.with_abc(counted, items).join(with_hist, "Código", "left_semi")
 
 
 @register("trend_12")
@@ -207,8 +209,8 @@ def q_class_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full feature table of items with history."""
     _prep(spark)
-    curve, _, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
-    return features.build_features(daily, curve, mov_feat, with_hist)
+    curve, items, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
+    return features.build_features(daily, curve, mov_feat, with_hist, items=items)
 
 
 # ---------------------------------------------------------------------- planning
@@ -494,5 +496,5 @@ def q_ytd_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_features_without_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C6 + P18: the feature table when no movement export exists (expected movement columns are 0)."""
     _prep(spark)
-    curve, _, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
-    return features.build_features(daily, curve, None, with_hist)
+    curve, items, daily, with_hist, _ = _feature_inputs(spark, sf_dir)
+    return features.build_features(daily, curve, None, with_hist, items=items)
