@@ -1,7 +1,8 @@
 """Training, evaluation and scoring of the counted-quantity regressors.
 
 Everything runs on ``pyspark.ml``: preprocessing statistics come from one
-aggregate, models are Spark estimators, and metrics are one grouped aggregate.
+aggregate, models are Spark estimators, and each model's test metrics are one
+aggregate over its predictions.
 The hyperparameter search is a seeded random search over expanding time folds
 cut at month boundaries; fits run concurrently from a small thread pool, as
 ``CrossValidator(parallelism=...)`` does.

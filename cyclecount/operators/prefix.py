@@ -14,7 +14,8 @@ module computes the same column in two phases:
    offset to an ordinary window running sum ``partition by bucket``.
 
 ``k`` is bounded by ``max_buckets``; the offsets table is therefore small by
-construction and is broadcast (or inlined as a literal map).
+construction and is broadcast. When one bucket suffices (at most
+``rows_per_bucket`` rows) no offsets are needed and the window runs directly.
 """
 
 from __future__ import annotations
