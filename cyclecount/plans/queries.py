@@ -414,7 +414,7 @@ def q_constant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("feature_correlation")
 def q_feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G18 + O5: Pearson correlation of each feature with the target on the training years; top/bottom 30."""
+    """G18 + O5: Pearson correlation (rounded to 1e-6) of each feature with the target on the training years; top/bottom 30."""
     from cyclecount.learning.train import TARGET, temporal_split
 
     _prep(spark)
