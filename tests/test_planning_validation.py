@@ -84,3 +84,31 @@ def test_ytd_metrics_fixture(spark):
 def test_latest_year_month(spark):
     df = spark.createDataFrame([("1/2/2024 3:05",), ("31/12/2024 23:59",), ("bad",)], "`Atualização` string")
     assert validation.latest_year_month(df) == (2024, 12)
+
+
+def test_delta_summary_signs_and_tax(spark):
+    from cyclecount.operators import counts
+
+    rows = [(2024, 1, "Valor Consultivado", Decimal("10.00"), Decimal("10.00")),
+            (2024, 1, "Valor Consultivado", Decimal("-4.50"), Decimal("4.50")),
+            (2024, 1, "Custo Evitado", Decimal("0.10"), Decimal("0.10"))]
+    df = spark.createDataFrame(
+        rows, "Ano int, `Mês` int, `Status Controle` string, `Vlr Delta` decimal(18,2), `Delta ABS` decimal(18,2)"
+    )
+    got = {r["Status Controle"]: r for r in counts.delta_summary(df).collect()}
+    c = got["Valor Consultivado"]
+    assert (c["n_counts"], c["positive_delta"], c["negative_delta"], c["net_delta"], c["abs_delta"]) == (
+        2, Decimal("10.00"), Decimal("-4.50"), Decimal("5.50"), Decimal("14.50"))
+    assert c["tax"] == Decimal("2.61")  # 14.50 x 0.18 = 2.61
+    assert got["Custo Evitado"]["tax"] == Decimal("0.02")  # 0.018 -> half-even to cents
+
+
+def test_widen_by_model(spark):
+    detail = spark.createDataFrame(
+        [("A", "1", Decimal("10"), Decimal("8"), Decimal("-2"), Decimal("2"), 20.0),
+         ("B", "1", Decimal("10"), Decimal("10"), Decimal("0"), Decimal("0"), 0.0)],
+        "Model_Name string, `Código` string, Real_YTD decimal(18,3), Prev_YTD decimal(18,3), "
+        "Erro decimal(18,3), Erro_Abs decimal(18,3), APE double",
+    )
+    (r,) = validation.widen_by_model(detail, ["A", "B"]).collect()
+    assert r["A_Prev_YTD"] == Decimal("8.000") and r["B_Erro"] == Decimal("0.000") and r["A_APE"] == 20.0
