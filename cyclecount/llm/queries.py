@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import mixing
+from cyclecount.llm import mixing, secrets
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op7_secret_scan": secrets.op7_secret_scan,
 }
 
 ORACLE = {
