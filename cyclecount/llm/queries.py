@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import mixing, secrets, simhash
+from cyclecount.llm import mixing, packing, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op6_simhash_groups": simhash.op6_simhash_groups,
     "op7_secret_scan": secrets.op7_secret_scan,
+    "op9_pack_sequences": packing.op9_pack_sequences,
 }
 
 ORACLE = {
