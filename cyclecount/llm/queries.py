@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, mixing, packing, secrets, simhash
+from cyclecount.llm import arrow_ids, mixing, packing, quality, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_quality_scores": quality.op3_quality_scores,
     "op4_arrow_ids": arrow_ids.op4_arrow_ids,
     "op6_simhash_groups": simhash.op6_simhash_groups,
     "op7_secret_scan": secrets.op7_secret_scan,
