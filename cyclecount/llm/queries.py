@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, mixing, packing, quality, secrets, simhash
+from cyclecount.llm import arrow_ids, knn, mixing, packing, quality, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,8 +11,10 @@ REGISTRY = {
     "op6_simhash_groups": simhash.op6_simhash_groups,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op9_pack_sequences": packing.op9_pack_sequences,
+    "op10_top_k": knn.op10_top_k,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op10_top_k": knn.OP10_SQL,
 }
