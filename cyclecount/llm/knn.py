@@ -219,9 +219,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v
+  SELECT DISTINCT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND (c.vec_id <> q.vec_id OR c.v <> q.v))
