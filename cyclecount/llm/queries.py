@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, knn, mixing, packing, quality, secrets, simhash
+from cyclecount.llm import arrow_ids, iblt, knn, mixing, packing, quality, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_paragraph_sketches": iblt.op2_paragraph_sketches,
     "op3_quality_scores": quality.op3_quality_scores,
     "op4_arrow_ids": arrow_ids.op4_arrow_ids,
     "op6_simhash_groups": simhash.op6_simhash_groups,
