@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclecount.llm import tokens
-from cyclecount.llm.common import bounded_batches, materialize, table
+from cyclecount.llm.common import bounded_batches, materialize, open_folder, table
 from cyclecount.session import scratch_path
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -36,15 +36,6 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 SEQUENCE, BATCH = 2048, 256
 
 
-def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a folder named the way Hadoop names it."""
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:") :]
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 class ShardWriter:
     """Writes one shard: ids cut into equal-length sequences, and the documents' places."""
 

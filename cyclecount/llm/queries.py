@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, iblt, knn, mixing, packing, quality, secrets, simhash
+from cyclecount.llm import arrow_ids, iblt, knn, mixing, packing, quality, runlength, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ REGISTRY = {
     "op4_arrow_ids": arrow_ids.op4_arrow_ids,
     "op6_simhash_groups": simhash.op6_simhash_groups,
     "op7_secret_scan": secrets.op7_secret_scan,
+    "op8_repeated_passages": runlength.op8_repeated_passages,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_top_k": knn.op10_top_k,
 }
