@@ -21,19 +21,17 @@ empty table gives an empty result. Keys must be whole numbers. Other columns are
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclecount.llm.common import bounded_batches, materialize, open_folder, table
+from cyclecount.llm.common import bounded_batches, materialize, table
+from cyclecount.llm.parts import Part, chunks
 from cyclecount.session import scratch_path
 
 LENGTH, ANCHOR = 50, 16
@@ -199,30 +197,6 @@ def solve_bucket(strings: list[list[bytes]], keys: list[np.ndarray]) -> list[np.
 # --- the parts' texts -----------------------------------------------------------------
 
 
-class Part:
-    """The texts of one part, in a file of the shared folder."""
-
-    def __init__(self, folder: str, part: int):
-        self.fs, self.path = open_folder(folder)
-        self.file = f"{self.path}/part-{part:07d}.parquet"
-
-    def write(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pass the batches on and keep them in the file, named when it is complete."""
-        self.fs.create_dir(self.path, recursive=True)
-        temp, writer = f"{self.path}/_{uuid.uuid4().hex}", None
-        for batch in batches:
-            writer = writer or pq.ParquetWriter(temp, batch.schema, filesystem=self.fs, compression="zstd")
-            writer.write_batch(batch)
-            yield batch
-        if writer:
-            writer.close()
-            self.fs.move(temp, self.file)
-
-    def read(self) -> Iterator[pa.RecordBatch]:
-        with self.fs.open_input_file(self.file) as source:
-            yield from pq.ParquetFile(source).iter_batches(batch_size=500)
-
-
 class Stretches:
     """The distinct stretches of a part's texts around the wanted anchors, numbered within
     their bucket by first appearance, with the smallest key that has each."""
@@ -286,20 +260,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Keep the part's texts; per bucket, its distinct anchors, the lowest bit telling
         whether several of its documents have them."""
-        part, empty = TaskContext.get().partitionId(), True
-        found = []
-        for batch in Part(folder, part).write(batches):
-            empty = False
-            found += [np.unique(anchors(b)) for b in batch.column(2).to_pylist()]
-        if empty:
-            return
-        hashes, docs_with = np.unique(np.concatenate(found), return_counts=True)
-        packed = (hashes << np.uint64(1)) | (docs_with > 1).astype(np.uint64)
-        ends = np.searchsorted(bucket_of(hashes, buckets), np.arange(buckets + 1))
-        for b in range(buckets):
-            if b == 0 or ends[b] < ends[b + 1]:  # bucket 0 always: it tells of the part
-                blob = packed[ends[b] : ends[b + 1]].astype("<u8").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([part]), pa.array([blob], pa.binary())], ["bucket", "part", "blob"])
+        for part, kept in chunks(batches):
+            Part(folder, part).write(kept)
+            found = [np.unique(anchors(b.as_buffer().to_pybytes())) for k in kept for b in k.column(2)]
+            hashes, docs_with = np.unique(np.concatenate(found), return_counts=True)
+            packed = (hashes << np.uint64(1)) | (docs_with > 1).astype(np.uint64)
+            ends = np.searchsorted(bucket_of(hashes, buckets), np.arange(buckets + 1))
+            sent = [b for b in range(buckets) if b == 0 or ends[b] < ends[b + 1]]  # 0 always: it tells of the part
+            blobs = [packed[ends[b] : ends[b + 1]].astype("<u8").tobytes() for b in sent]
+            columns = [pa.array(sent, pa.int64()), pa.array([part] * len(sent), pa.int64()), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "part", "blob"])
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
         """The anchors of each part that several documents have."""

@@ -29,7 +29,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
 
-    def _raw(self, pieces: Sequence[str]) -> list[bytes]:
+    def raw(self, pieces: Sequence[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
@@ -41,7 +41,7 @@ class Encoder:
         fresh: dict[str, bytes] = {}
         for at in range(0, len(new), 10_000):
             block = new[at : at + 10_000]
-            fresh.update(zip(block, self._raw(block), strict=True))
+            fresh.update(zip(block, self.raw(block), strict=True))
         if len(memo) + len(fresh) <= MEMO:
             memo.update(fresh)
             fresh = memo
@@ -51,7 +51,7 @@ class Encoder:
             fresh = {**fresh, **{p: memo[p] for part in parts if part is not None for p in part if p in memo}}
         else:
             fresh = memo
-        whole = iter(self._raw([t for t, part in zip(texts, parts, strict=True) if part is None]))
+        whole = iter(self.raw([t for t, part in zip(texts, parts, strict=True) if part is None]))
         return [next(whole) if part is None else b"".join([fresh[p] for p in part]) for part in parts]
 
 
