@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, iblt, knn, mixing, packing, quality, runlength, secrets, simhash
+from cyclecount.llm import arrow_ids, iblt, knn, lm, mixing, packing, quality, runlength, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_paragraph_sketches": iblt.op2_paragraph_sketches,
     "op3_quality_scores": quality.op3_quality_scores,
     "op4_arrow_ids": arrow_ids.op4_arrow_ids,
+    "op5_language_model": lm.op5_language_model,
     "op6_simhash_groups": simhash.op6_simhash_groups,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_repeated_passages": runlength.op8_repeated_passages,
