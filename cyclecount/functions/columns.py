@@ -35,8 +35,14 @@ FIXED_CODE_WIDTH = 13
 DEFAULT_TAX_RATE = 0.18
 # ---------------------------------------------------------------------------
 
+# Results: money in cents and quantities; totals of them; unit costs as they are given.
 MONEY = "decimal(18,2)"
-QTY = "decimal(18,3)"
+QTY = "decimal(20,6)"
+COST = "decimal(20,8)"
+MONEY_TOTAL = "decimal(28,2)"
+QTY_TOTAL = "decimal(28,6)"
+# Parts of keys that are whole numbers of any length.
+WHOLE = "decimal(38,0)"
 
 
 def col(name: str) -> Column:
@@ -87,9 +93,11 @@ def to_quantity(col: Column | str) -> Column:
     return to_number(col, QTY)
 
 
-def parse_money_ptbr(col: Column | str, dtype: str = MONEY) -> Column:
-    """Pt-BR money text ``1.234,56`` -> 1234.56 (drop ``.``, ``,`` -> ``.``)."""
-    text = F.regexp_replace(F.regexp_replace(strip_ws(col), r"\.", ""), ",", ".")
+def parse_money_ptbr(col: Column | str, dtype: str = COST, locale: str = "pt-BR") -> Column:
+    """Pt-BR money text ``1.234,56`` -> 1234.56 (drop ``.``, ``,`` -> ``.``), to all its
+    decimals. ``locale="en"`` reads ``1,234.56``."""
+    group, point = (r"\.", ",") if locale == "pt-BR" else (",", r"\.")
+    text = F.regexp_replace(F.regexp_replace(strip_ws(col), group, ""), point, ".")
     return text.try_cast(dtype)
 
 
@@ -150,8 +158,15 @@ def money(amount: Column) -> Column:
 
 
 def value_of(cost: Column | str, qty: Column | str) -> Column:
-    """Cost x quantity in exact decimals, rounded half-even to cents."""
-    return money(_c(cost).cast(MONEY) * _c(qty).cast(QTY))
+    """Cost x quantity in exact decimals, rounded once, half-even, to cents."""
+    return money(_c(cost).cast(COST) * _c(qty).cast(QTY))
+
+
+def to_whole(col: Column | str, dtype: str = "int", fill: int | None = None) -> Column:
+    """Whole number from text or number (``2024.0`` -> 2024); NaN, infinities, what
+    doesn't fit and bad text -> NULL (then the optional fill value)."""
+    parsed = to_number(col).try_cast(dtype)
+    return parsed if fill is None else F.coalesce(parsed, F.lit(fill).cast(dtype))
 
 
 def round_half_even_long(col: Column | str) -> Column:

@@ -187,12 +187,12 @@ def _gbt_subsampled(params, seed):
     )
 
 
-# Search spaces: ("int", lo, hi) | ("uniform", lo, hi) | ("log", lo, hi) | ("choice", [...]).
-# Tree counts are scaled to Spark's per-iteration cost (one distributed pass per tree).
+# The search spaces, ("int", lo, hi) | ("uniform", lo, hi) | ("log", lo, hi) |
+# ("choice", [...]).
 SPACES: dict[str, dict[str, tuple]] = {
-    "GBT Depthwise": {"maxIter": ("int", 10, 50), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3)},
+    "GBT Depthwise": {"maxIter": ("int", 100, 500), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3)},
     "GBT Subsampled": {
-        "maxIter": ("int", 10, 50),
+        "maxIter": ("int", 100, 1000),
         "maxDepth": ("int", 5, 15),
         "minInstancesPerNode": ("int", 10, 100),
         "stepSize": ("uniform", 0.01, 0.3),
@@ -266,6 +266,7 @@ class Trained:
     model: Any
     params: dict[str, Any]
     cv_mae: float | None
+    error: str | None = None
 
 
 def _builder(name: str, n_rows: int, label_sd: float, seed: int) -> Callable[[dict], Any]:
@@ -280,12 +281,15 @@ def _builder(name: str, n_rows: int, label_sd: float, seed: int) -> Callable[[di
 
 
 def train_models(
-    design: DataFrame, budget: SearchBudget = SearchBudget(), names: tuple[str, ...] = MODEL_NAMES
+    design: DataFrame,
+    budget: SearchBudget = SearchBudget(),
+    names: tuple[str, ...] = MODEL_NAMES,
+    spaces: dict[str, dict[str, tuple]] | None = None,
 ) -> dict[str, Trained]:
     """M5-M9: search each model's space on time folds (objective MAE), refit the best.
 
     ``design`` has ``features``, ``label``, ``Ano``, ``Mês`` and is the training
-    split. A failing model is reported with no model (M10 gives it null metrics).
+    split. A failing model is reported with no model and its error (M10 gives it null metrics).
     """
     design = design.select("features", "label", "Ano", "Mês").persist(StorageLevel.MEMORY_AND_DISK)
     stats = design.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
@@ -301,9 +305,10 @@ def train_models(
         for name in names:
             build = _builder(name, n_rows, label_sd, budget.seed)
             n_iter = min(budget.max_candidates, max(2, n_rows // max(1, len(folds) or 1)))
-            cands = sample_candidates(SPACES[name], n_iter, rng)
+            cands = sample_candidates((spaces or SPACES)[name], n_iter, rng)
+            jobs: dict = {}
             try:
-                def score(params, fold):
+                def score(params, fold, build=build):
                     tr_end, va_end = fold
                     m = build(params).fit(design.where(key <= tr_end))
                     return _mae(m.transform(design.where((key > tr_end) & (key <= va_end))))
@@ -322,8 +327,10 @@ def train_models(
                 results[name] = Trained(
                     name, model, cands[best_i], None if math.isinf(best_score) or math.isnan(best_score) else best_score
                 )
-            except Exception:  # noqa: BLE001 - a failed model gets null metrics, as in the reference
-                results[name] = Trained(name, None, {}, None)
+            except Exception as e:  # noqa: BLE001 - a failed model gets null metrics, as in the reference
+                for job in jobs.values():
+                    job.cancel()
+                results[name] = Trained(name, None, {}, None, f"{type(e).__name__}: {e}"[:500])
     finally:
         pool.shutdown(wait=True)
         design.unpersist()
@@ -353,7 +360,8 @@ def evaluate(trained: dict[str, Trained], test: DataFrame | None, names: tuple[s
                 rmse = math.sqrt(float(agg["mse"]))
                 ss_tot = float(agg["var"] or 0.0) * (agg["n"] - 1)
                 r2 = 1.0 - float(agg["ss_res"]) / ss_tot if ss_tot > 0 else None
-        rows.append((name, order, mae, rmse, r2, None if t is None else t.cv_mae, str(t.params if t else {})))
+        cv, error = (None, None) if t is None else (t.cv_mae, t.error)
+        rows.append((name, order, mae, rmse, r2, cv, str(t.params if t else {}), error))
     return rows
 
 
@@ -367,6 +375,7 @@ def metrics_frame(spark, rows) -> DataFrame:
             T.StructField("R2", T.DoubleType()),
             T.StructField("CV_MAE", T.DoubleType()),
             T.StructField("Params", T.StringType()),
+            T.StructField("Error", T.StringType()),
         ]
     )
     return spark.createDataFrame(rows, schema)

@@ -33,9 +33,9 @@ def latest_cost(
     """
     c = costs.select(
         C.strip_ws(item).alias("_item"),
-        C.to_number(cost, C.MONEY).alias("_cost"),
-        C.to_number(year, "int").alias("_y"),
-        C.to_number(month, "int").alias("_m"),
+        C.to_number(cost, C.COST).alias("_cost"),
+        C.to_whole(year).alias("_y"),
+        C.to_whole(month).alias("_m"),
     ).where(F.col("_item").isNotNull())
     return c.groupBy("_item").agg(
         F.max_by("_cost", F.struct("_y", "_m", "_cost")).alias(out_cost)
@@ -61,7 +61,7 @@ def stock_by_item(
         C.col(location).cast("string").alias("_loc"),
     ).where(F.col("Código").isNotNull() & F.col("Descrição").isNotNull())
     return s.groupBy("Código", "Descrição").agg(
-        F.coalesce(F.sum("_qty"), F.lit(0)).cast(C.QTY).alias("Lógica_ABC"),
+        F.coalesce(F.sum("_qty"), F.lit(0)).cast(C.QTY_TOTAL).alias("Lógica_ABC"),
         F.countDistinct("_loc").alias("Qtde_Locacao"),
     )
 
@@ -84,7 +84,7 @@ def stock_valued(stock: DataFrame, costs: DataFrame, **names) -> DataFrame:
         "Descrição",
         "Qtde_Locacao",
         "Lógica_ABC",
-        F.coalesce(F.col("Custo Médio"), F.lit(0).cast(C.MONEY)).alias("Custo_Unitário"),
+        F.coalesce(F.col("Custo Médio"), F.lit(0).cast(C.COST)).alias("Custo_Unitário"),
         F.coalesce(C.value_of("Custo Médio", "Lógica_ABC"), F.lit(0).cast(C.MONEY)).alias("Valor_Estoque"),
     )
 
@@ -95,18 +95,15 @@ def classify(
     cut_b: Decimal = DEFAULT_CUT_B,
     value: str = "Valor_Estoque",
     order_tiebreak: tuple[str, ...] = ("Código", "Descrição"),
-    rows_per_bucket: int = 2_000_000,
 ) -> DataFrame:
     """G2 + W3 + classes: share, running share by value descending, class A/B/C.
 
     A is ``running value <= cut_a * total``, B ``<= cut_b * total``, else C
     (compared in exact decimals). With total <= 0 every share is 0 and every item
-    is A. ``valued`` is read several times; pass a materialized frame at scale.
+    is A. ``valued`` is written once, by ranges of its order.
     """
     order = [prefix.SortKey(value, False)] + [prefix.SortKey(c, True) for c in order_tiebreak]
-    run = prefix.running_sum(
-        valued, order, value, "_cum", rows_per_bucket=rows_per_bucket, total_out="_total"
-    )
+    run = prefix.running_sum(valued, order, value, "_cum", total_out="_total")
     total = F.col("_total")
     positive = total > 0
     cum = F.col("_cum")
@@ -133,28 +130,23 @@ def abc_curve(
     costs: DataFrame,
     cut_a: Decimal = DEFAULT_CUT_A,
     cut_b: Decimal = DEFAULT_CUT_B,
-    materialize: bool = True,
     **names,
 ) -> DataFrame:
     """The ABC curve of the current stock.
 
     Columns: Código, Descrição, Qtde_Locacao, Lógica_ABC, Custo_Unitário,
     Valor_Estoque, Pct_Individual, Pct_Acumulada, Curva_ABC (one row per
-    item and description). The per-item table is checkpointed once
-    (``materialize``) because the running share reads it several times.
+    item and description).
     """
-    valued = stock_valued(stock, costs, **names)
-    if materialize:
-        valued = valued.checkpoint(eager=True)
-    return classify(valued, cut_a, cut_b)
+    return classify(stock_valued(stock, costs, **names), cut_a, cut_b)
 
 
 def class_summary(curve: DataFrame) -> DataFrame:
     """Items, stock value and value share per ABC class."""
     per = curve.groupBy("Curva_ABC").agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.sum("Lógica_ABC").cast(C.QTY).alias("total_qty"),
-        F.sum("Valor_Estoque").cast(C.MONEY).alias("total_value"),
+        F.sum("Lógica_ABC").cast(C.QTY_TOTAL).alias("total_qty"),
+        F.sum("Valor_Estoque").cast(C.MONEY_TOTAL).alias("total_value"),
     )
     # at most four class rows reach this window, so one partition is bounded
     t = F.sum("total_value").over(Window.partitionBy())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
@@ -13,6 +13,12 @@ def codes(df: DataFrame, code: str = "Código") -> DataFrame:
     return df.select(C.col(code).alias("Código")).where(F.col("Código").isNotNull()).distinct()
 
 
+def active_since(rows: DataFrame, since: str, date: Column, code: str = "Código") -> DataFrame:
+    """Items whose latest date, over all rows, is not before ``since`` (``yyyy-MM-dd``)."""
+    latest = rows.groupBy(C.col(code).alias("Código")).agg(F.max(date).alias("_latest"))
+    return latest.where(F.col("_latest") >= F.lit(since).cast("date")).select("Código")
+
+
 def history_codes(counted: DataFrame, moved: DataFrame) -> DataFrame:
     """Codes that were counted or moved (distinct)."""
     return codes(counted).union(codes(moved)).distinct()

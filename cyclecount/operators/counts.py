@@ -37,14 +37,14 @@ def typed_counts(raw: DataFrame) -> DataFrame:
         C.fixed_code("Código").alias("Código"),
         C.col("Locação").cast("string").alias("Locação"),
         C.rack("Locação").alias("Estante"),
-        C.to_number("UdE").cast("long").alias("UdE"),
-        C.to_number("Compartimento").cast("long").alias("Compartimento"),
+        C.to_number("UdE", C.WHOLE).alias("UdE"),
+        C.to_number("Compartimento", C.WHOLE).alias("Compartimento"),
         C.col("Status Inventario").cast("string").alias("Status Inventario"),
         ts.alias("Atualização"),
         F.to_date(ts).alias("Data INV"),
         F.year(ts).alias("Ano"),
         F.month(ts).alias("Mês"),
-        C.to_number("Contagem").cast("int").alias("Contagem"),
+        C.to_whole("Contagem").alias("Contagem"),
         C.to_quantity("Física").alias("Física"),
         C.to_quantity("Quantidade Fisica").alias("Quantidade Fisica"),
         C.to_quantity("Lógica").alias("Lógica"),
@@ -81,12 +81,12 @@ def last_counts(raw: DataFrame) -> DataFrame:
 def value_counts(last: DataFrame, drop_cancelled: bool = False) -> DataFrame:
     """Control label, counted quantity, book/counted value and deltas.
 
-    Money is exact decimal arithmetic rounded half-even to cents; the deltas are
+    Unit costs keep all their decimals; money is rounded once, half-even, to cents; the deltas are
     taken from the unrounded values. ``drop_cancelled`` removes ANULADO counts (the
     reference's filter compares the wrong column and keeps them; default keeps).
     """
     qty = C.counted_quantity("Física", "Quantidade Fisica")
-    cost = C.col("Custo").cast(C.MONEY)
+    cost = C.col("Custo").cast(C.COST)
     book_raw = cost * C.col("Lógica").cast(C.QTY)
     counted_raw = cost * qty.cast(C.QTY)
     delta_raw = counted_raw - book_raw
@@ -115,7 +115,7 @@ def daily_counts(valued: DataFrame) -> DataFrame:
     """Per (item, count date, year, month) sums of the six measures (NULL sum -> 0)."""
     aggs = []
     for m in MEASURES:
-        dtype = C.QTY if m in ("Lógica", "Quantidade Fisica") else C.MONEY
+        dtype = C.QTY_TOTAL if m in ("Lógica", "Quantidade Fisica") else C.MONEY_TOTAL
         aggs.append(F.coalesce(F.sum(C.col(m)), F.lit(0)).cast(dtype).alias(m))
     return valued.groupBy("Código", "Data INV", "Ano", "Mês").agg(*aggs)
 
@@ -138,11 +138,11 @@ def delta_summary(
     d = C.col("Vlr Delta")
     return valued.groupBy(*[C.col(b) for b in by]).agg(
         F.count(F.lit(1)).alias("n_counts"),
-        F.coalesce(F.sum(F.when(d > 0, d)), F.lit(0)).cast(C.MONEY).alias("positive_delta"),
-        F.coalesce(F.sum(F.when(d < 0, d)), F.lit(0)).cast(C.MONEY).alias("negative_delta"),
-        F.coalesce(F.sum(d), F.lit(0)).cast(C.MONEY).alias("net_delta"),
-        F.coalesce(F.sum(C.col("Delta ABS")), F.lit(0)).cast(C.MONEY).alias("abs_delta"),
-        C.money(F.coalesce(F.sum(C.col("Delta ABS")), F.lit(0)) * F.lit(tax_rate).cast("decimal(6,4)")).alias(
-            "tax"
-        ),
+        F.coalesce(F.sum(F.when(d > 0, d)), F.lit(0)).cast(C.MONEY_TOTAL).alias("positive_delta"),
+        F.coalesce(F.sum(F.when(d < 0, d)), F.lit(0)).cast(C.MONEY_TOTAL).alias("negative_delta"),
+        F.coalesce(F.sum(d), F.lit(0)).cast(C.MONEY_TOTAL).alias("net_delta"),
+        F.coalesce(F.sum(C.col("Delta ABS")), F.lit(0)).cast(C.MONEY_TOTAL).alias("abs_delta"),
+        F.bround(F.coalesce(F.sum(C.col("Delta ABS")), F.lit(0)).cast(C.MONEY_TOTAL) * F.lit(tax_rate).cast("decimal(6,4)"), 2)
+        .cast(C.MONEY_TOTAL)
+        .alias("tax"),
     )

@@ -24,9 +24,9 @@ def abc_items(curve: DataFrame) -> DataFrame:
     """
     c = curve.withColumn("Código", C.standardize_code("Código"))
     return c.groupBy("Código").agg(
-        F.sum("Lógica_ABC").cast(C.QTY).alias("Lógica_ABC"),
+        F.sum("Lógica_ABC").cast(C.QTY_TOTAL).alias("Lógica_ABC"),
         F.max("Custo_Unitário").alias("Custo_Unitário"),
-        F.sum("Valor_Estoque").cast(C.MONEY).alias("Valor_Estoque"),
+        F.sum("Valor_Estoque").cast(C.MONEY_TOTAL).alias("Valor_Estoque"),
         F.sum("Qtde_Locacao").alias("Qtde_Locacao"),
         F.max_by("Curva_ABC", F.struct(F.col("Valor_Estoque"), -F.ascii("Curva_ABC"))).alias("Curva_ABC"),
     )
@@ -44,7 +44,7 @@ def with_abc(daily_std: DataFrame, items: DataFrame) -> DataFrame:
         {
             "Curva_ABC": F.coalesce("Curva_ABC", F.lit(C.UNKNOWN_CLASS)),
             "Lógica_ABC": F.coalesce("Lógica_ABC", F.lit(0).cast(C.QTY)),
-            "Custo_Unitário": F.coalesce("Custo_Unitário", F.lit(0).cast(C.MONEY)),
+            "Custo_Unitário": F.coalesce("Custo_Unitário", F.lit(0).cast(C.COST)),
             "Valor_Estoque": F.coalesce("Valor_Estoque", F.lit(0).cast(C.MONEY)),
         }
     )

@@ -25,7 +25,6 @@ EXPECTED_TYPES = (
 QTY_SUFFIX = "_Total_Qtde_Mensal"
 COUNT_SUFFIX = "_Qtd_Movimentos_Mensal"
 TOTAL_COLS = ["Total_Geral_Qtde_Mensal", "Total_Geral_Qtd_Movimentos_Mensal", "Num_Tipos_Mov_Mensal"]
-MAX_TYPES = 1000
 KEYS = ["Código", "Ano", "Mês"]
 
 
@@ -50,8 +49,8 @@ def movement_rows(mov: DataFrame, dedup: bool = True) -> DataFrame:
     if dedup:
         m = m.dropDuplicates()
     return m.select(
-        C.to_number("Ano", fill=0).cast("int").alias("Ano"),
-        C.to_number("Mês", fill=0).cast("int").alias("Mês"),
+        C.to_whole("Ano", fill=0).alias("Ano"),
+        C.to_whole("Mês", fill=0).alias("Mês"),
         "Código",
         "Tipo_Movimento",
         F.coalesce(C.to_quantity("Qtd_Movimentos"), F.lit(0).cast(C.QTY)).alias("Qtd_Movimentos"),
@@ -60,24 +59,22 @@ def movement_rows(mov: DataFrame, dedup: bool = True) -> DataFrame:
 
 
 def movement_types(mov: DataFrame) -> list[str]:
-    """Distinct movement types present (a bounded categorical list), sorted.
+    """Distinct movement types present, sorted: the columns of the wide table. Where types
+    are many, keep the long form of ``by_type``, or widen over a list of one's own.
 
     Read from the raw rows (those with a code and a type, as the feature rows
     keep): the same set as after de-duplication, without its shuffle.
     """
     t = mov.where(C.standardize_code("CD_ARTICOLO").isNotNull() & C.col("Tipo_Movimento").isNotNull())
     t = t.select(C.col("Tipo_Movimento").cast("string").alias("t")).distinct()
-    types = [r[0] for r in t.limit(MAX_TYPES + 1).collect()]
-    if len(types) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} movement types: not a categorical column")
-    return sorted(types)
+    return sorted(r[0] for r in t.collect())
 
 
 def by_type(rows: DataFrame) -> DataFrame:
     """Per (item, year, month, type): summed quantity and summed movement count."""
     return rows.groupBy(*KEYS, "Tipo_Movimento").agg(
-        F.sum("Total_Qtde").cast(C.QTY).alias("Total_Qtde_Mov"),
-        F.sum("Qtd_Movimentos").cast(C.QTY).alias("Qtd_Mov_Count"),
+        F.sum("Total_Qtde").cast(C.QTY_TOTAL).alias("Total_Qtde_Mov"),
+        F.sum("Qtd_Movimentos").cast(C.QTY_TOTAL).alias("Qtd_Mov_Count"),
     )
 
 
@@ -88,8 +85,8 @@ def totals(rows: DataFrame) -> DataFrame:
 
 def _total_aggs():
     return [
-        F.sum("Total_Qtde").cast(C.QTY).alias("Total_Geral_Qtde_Mensal"),
-        F.sum("Qtd_Movimentos").cast(C.QTY).alias("Total_Geral_Qtd_Movimentos_Mensal"),
+        F.sum("Total_Qtde").cast(C.QTY_TOTAL).alias("Total_Geral_Qtde_Mensal"),
+        F.sum("Qtd_Movimentos").cast(C.QTY_TOTAL).alias("Total_Geral_Qtd_Movimentos_Mensal"),
         # at most one entry per movement type: a bounded set, no Expand for DISTINCT
         F.size(F.collect_set("Tipo_Movimento")).cast("long").alias("Num_Tipos_Mov_Mensal"),
     ]
@@ -110,10 +107,10 @@ def movement_features(mov: DataFrame, types: list[str] | None = None, dedup: boo
     t = F.col("Tipo_Movimento")
     zero = F.lit(0).cast(C.QTY)
     aggs = [
-        F.coalesce(F.sum(F.when(t == ty, F.col("Total_Qtde"))), zero).cast(C.QTY).alias(f"{ty}{QTY_SUFFIX}")
+        F.coalesce(F.sum(F.when(t == ty, F.col("Total_Qtde"))), zero).cast(C.QTY_TOTAL).alias(f"{ty}{QTY_SUFFIX}")
         for ty in types
     ] + [
-        F.coalesce(F.sum(F.when(t == ty, F.col("Qtd_Movimentos"))), zero).cast(C.QTY).alias(f"{ty}{COUNT_SUFFIX}")
+        F.coalesce(F.sum(F.when(t == ty, F.col("Qtd_Movimentos"))), zero).cast(C.QTY_TOTAL).alias(f"{ty}{COUNT_SUFFIX}")
         for ty in types
     ]
     return rows.groupBy(*KEYS).agg(*aggs, *_total_aggs())

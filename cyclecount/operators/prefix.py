@@ -1,36 +1,29 @@
 """Global running sums without a single-partition window.
 
-``sum(v) over (order by k rows unbounded preceding)`` with no ``partition by``
-plans as ``Exchange SinglePartition``: every row goes through one task. This
-module computes the same column in two phases:
-
-1. Cut the total order into ``k`` contiguous buckets. The cut points are rows of a
-   small random sample of the sort keys, sorted on the driver and placed in the
-   plan as literals, so a bucket is a deterministic function of the row (it does
-   not depend on partition ids, recomputation or AQE). The cuts are on the *whole*
-   composite key, so a value shared by a third of the rows is still split across
-   buckets by the tie-break columns.
-2. Sum per bucket (``k`` rows), turn those into offsets, and add each bucket's
-   offset to an ordinary window running sum ``partition by bucket``.
-
-``k`` is bounded by ``max_buckets``; the offsets table is therefore small by
-construction and is broadcast. When one bucket suffices (at most
-``rows_per_bucket`` rows) no offsets are needed and the window runs directly.
+``sum(v) over (order by k rows unbounded preceding)`` with no ``partition by`` plans as
+``Exchange SinglePartition``: every row goes through one task. This module computes the same
+column, at every size, in these steps:
+
+1. Deal the rows by ranges of the *whole* composite order (``repartitionByRange``), so a value
+   shared by a third of the rows is still split by the tie-break columns, and write them once
+   to the shared checkpoint folder with their range's number as a column. Written, the number
+   can't change when a stage runs again.
+2. Sum each range (one row a range) and turn the sums into offsets.
+3. Add each range's offset to an ordinary window running sum ``partition by range``.
+
+Only the table of ranges, as many rows as shuffle partitions, is ever in one task.
 """
 
 from __future__ import annotations
 
-import functools
-import math
 from dataclasses import dataclass
-from decimal import Decimal
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BUCKET = "_pfx_bucket"
+from cyclecount.session import scratch_path
+
+BUCKET = "_pfx_range"
 
 
 @dataclass(frozen=True)
@@ -57,113 +50,19 @@ def sort_columns(order: list[SortKey]) -> list[Column]:
     return [F.col(k.name).asc() if k.ascending else F.col(k.name).desc() for k in order]
 
 
-def _lit(v: Any, dtype) -> Column:
-    return F.lit(v).cast(dtype)
-
-
-def _row_ge(order: list[SortKey], cut: tuple, dtypes: dict) -> Column:
-    """Row >= cut in the total order (lexicographic, per-key direction)."""
-    expr: Column | None = None
-    for k, v in reversed(list(zip(order, cut))):
-        c = F.col(k.name)
-        lv = _lit(v, dtypes[k.name])
-        after = (c > lv) if k.ascending else (c < lv)
-        if expr is None:
-            expr = after | (c == lv)
-        else:
-            expr = after | ((c == lv) & expr)
-    assert expr is not None
-    return expr
-
-
-def _bucket_expr(order: list[SortKey], cuts: list[tuple], dtypes: dict) -> Column:
-    """Balanced CASE tree: bucket b holds rows with cuts[b-1] <= row < cuts[b]."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_row_ge(order, cuts[mid - 1], dtypes), build(mid, hi)).otherwise(build(lo, mid - 1))
-
-    return build(0, len(cuts)).cast("int")
-
-
-def _py_key(order: list[SortKey], row) -> tuple:
-    """Python sort key matching Spark's order for non-null values."""
-
-    def flip(v):
-        if isinstance(v, (int, float, Decimal)):
-            return -v
-        if isinstance(v, str):
-            return _Rev(v)
-        return _Rev(v)
-
-    return tuple(row[i] if k.ascending else flip(row[i]) for i, k in enumerate(order))
-
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: its lineage is cut,
+    and later reads keep column and file pruning."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-@functools.total_ordering
-class _Rev:
-    __slots__ = ("v",)
 
-    def __init__(self, v):
-        self.v = v
-
-    def __eq__(self, other):
-        return self.v == other.v
-
-    def __lt__(self, other):
-        return self.v > other.v
-
-
-def cut_points(
-    df: DataFrame,
-    order: list[SortKey],
-    n_rows: int,
-    rows_per_bucket: int,
-    max_buckets: int,
-    samples_per_bucket: int = 64,
-    seed: int = 42,
-) -> list[tuple]:
-    """Sample the sort keys and return up to ``k - 1`` distinct cut tuples."""
-    k = min(max_buckets, max(1, math.ceil(n_rows / max(1, rows_per_bucket))))
-    if k <= 1:
-        return []
-    fraction = min(1.0, (k * samples_per_bucket) / max(1, n_rows))
-    names = [x.name for x in order]
-    rows = df.select(*names).sample(withReplacement=False, fraction=fraction, seed=seed).collect()
-    rows = [tuple(r) for r in rows if all(v is not None for v in r)]
-    if len(rows) < 2:
-        return []
-    rows.sort(key=lambda r: _py_key(order, r))
-    cuts: list[tuple] = []
-    for i in range(1, k):
-        c = rows[min(len(rows) - 1, (i * len(rows)) // k)]
-        if not cuts or _py_key(order, c) > _py_key(order, cuts[-1]):
-            cuts.append(c)
-    return cuts
-
-
-def with_buckets(
-    df: DataFrame,
-    order: list[SortKey | tuple[str, bool] | str],
-    n_rows: int | None = None,
-    rows_per_bucket: int = 2_000_000,
-    max_buckets: int = 2048,
-) -> DataFrame:
-    """Add ``_pfx_bucket``: contiguous ranges of the total order, ascending."""
-    keys = _keys(order)
-    if n_rows is None:
-        n_rows = df.count()
-    cuts = cut_points(df, keys, n_rows, rows_per_bucket, max_buckets)
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    if not cuts:
-        return df.select("*", F.lit(0).cast("int").alias(BUCKET, metadata={"single": True}))
-    return df.select("*", _bucket_expr(keys, cuts, dtypes).alias(BUCKET, metadata={"single": False}))
-
-
-def is_single(df: DataFrame) -> bool:
-    """True when the bucket column is the constant 0 (no cut points were needed)."""
-    return bool(df.schema[BUCKET].metadata.get("single", False))
+def with_ranges(df: DataFrame, order: list[SortKey | tuple[str, bool] | str]) -> DataFrame:
+    """Add ``_pfx_range``: the number of the row's range of the total order, ascending. The
+    result is written once."""
+    dealt = df.repartitionByRange(*sort_columns(_keys(order)))
+    return written(dealt.withColumn(BUCKET, F.spark_partition_id()), "ranges")
 
 
 def running_sum(
@@ -171,50 +70,36 @@ def running_sum(
     order: list[SortKey | tuple[str, bool] | str],
     value: str | Column,
     out: str,
-    n_rows: int | None = None,
-    rows_per_bucket: int = 2_000_000,
-    max_buckets: int = 2048,
     keep_bucket: bool = False,
     total_out: str | None = None,
 ) -> DataFrame:
     """``out`` = running sum of ``value`` over the total ``order`` (inclusive).
 
-    ``order`` must be a *total* order (end it with a unique key) over non-null
-    keys. ``total_out`` adds the grand total taken from the bucket sums (no extra
-    pass, no cross join). ``df`` is read several times (count, sample, sums, window): pass a
-    materialized (checkpointed or written) frame when its lineage is expensive.
+    ``order`` must be a *total* order (end it with a unique key). ``total_out`` adds the grand
+    total taken from the ranges' sums (no extra pass, no cross join).
     """
     keys = _keys(order)
-    val = F.col(value) if isinstance(value, str) else value
-    b = df if BUCKET in df.columns else with_buckets(df, keys, n_rows, rows_per_bucket, max_buckets)
-    b = b.withColumn("_pfx_v", val)
+    b = df if BUCKET in df.columns else with_ranges(df, keys)
+    b = b.withColumn("_pfx_v", F.col(value) if isinstance(value, str) else value)
     w = (
         Window.partitionBy(BUCKET)
         .orderBy(*sort_columns(keys))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    single = isinstance(b.schema[BUCKET].dataType, T.IntegerType) and is_single(b)
-    if single:
-        # one bucket (at most rows_per_bucket rows): no offsets, no join
-        res = b.withColumn(out, F.sum("_pfx_v").over(w))
-        if total_out:
-            res = res.withColumn(total_out, F.sum("_pfx_v").over(Window.partitionBy(BUCKET)))
-        res = res.drop("_pfx_v")
-    else:
-        totals = b.groupBy(BUCKET).agg(F.sum("_pfx_v").alias("_pfx_t"))
-        # k <= max_buckets rows: one small window and a broadcast of a bounded table.
-        offsets = totals.select(
-            BUCKET,
-            F.coalesce(
-                F.sum("_pfx_t").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0).cast(totals.schema["_pfx_t"].dataType),
-            ).alias("_pfx_off"),
-            F.sum("_pfx_t").over(Window.partitionBy()).alias("_pfx_total"),
-        )
-        res = (
-            b.join(F.broadcast(offsets), BUCKET, "inner")
-            .withColumn(out, F.col("_pfx_off") + F.sum("_pfx_v").over(w))
-            .drop("_pfx_v", "_pfx_off")
-        )
-        res = res.withColumnRenamed("_pfx_total", total_out) if total_out else res.drop("_pfx_total")
+    totals = b.groupBy(BUCKET).agg(F.sum("_pfx_v").alias("_pfx_t"))
+    # one row a range reaches this window and the broadcast
+    offsets = totals.select(
+        BUCKET,
+        F.coalesce(
+            F.sum("_pfx_t").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0).cast(totals.schema["_pfx_t"].dataType),
+        ).alias("_pfx_off"),
+        F.sum("_pfx_t").over(Window.partitionBy()).alias("_pfx_total"),
+    )
+    res = (
+        b.join(F.broadcast(offsets), BUCKET, "inner")
+        .withColumn(out, F.col("_pfx_off") + F.sum("_pfx_v").over(w))
+        .drop("_pfx_v", "_pfx_off")
+    )
+    res = res.withColumnRenamed("_pfx_total", total_out) if total_out else res.drop("_pfx_total")
     return res if keep_bucket else res.drop(BUCKET)

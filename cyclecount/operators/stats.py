@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
+from cyclecount.operators import prefix
 
 SCALE = 3  # decimals of the quantities these moments are taken on
+MOMENT = "decimal(18,3)"
 
 
 def moment_aggs(x: Column, prefix: str) -> list[Column]:
     """Aggregates ``{prefix}_n``, ``{prefix}_s``, ``{prefix}_s2`` of a decimal column."""
-    d = x.cast(C.QTY)
+    d = x.cast(MOMENT)
     return [
         F.count(d).alias(f"{prefix}_n"),
         F.sum(d).alias(f"{prefix}_s"),
@@ -31,81 +33,69 @@ def mean_of(n: Column, s: Column) -> Column:
 
 
 def std_of(n: Column, s: Column, s2: Column) -> Column:
-    """Sample std (n - 1) from exact sums; NULL for fewer than two values."""
-    scaled = (n.cast("decimal(20,0)") * s2 - s * s) * F.lit(10 ** (2 * SCALE)).cast("decimal(20,0)")
-    num = scaled.cast("decimal(38,0)").cast("double")
-    den = (n * (n - 1)).cast("double")
-    return F.when(n > 1, F.sqrt(num / den / F.lit(float(10 ** (2 * SCALE)))))
-
-
-def mean_std_by(df: DataFrame, x: str, by: list[str], mean_name: str, std_name: str) -> DataFrame:
-    """Per-group mean and sample std of ``x`` (one row per group)."""
-    g = df.groupBy(*[C.col(b) for b in by]).agg(*moment_aggs(C.col(x), "_m"))
-    return g.select(
-        *by,
-        mean_of(F.col("_m_n"), F.col("_m_s")).alias(mean_name),
-        std_of(F.col("_m_n"), F.col("_m_s"), F.col("_m_s2")).alias(std_name),
-    )
+    """Sample std (n - 1) from exact sums; NULL for fewer than two values. Sums too large for
+    an exact difference of products (n * s2 from about 1e32) give it in doubles."""
+    unit = F.lit(10 ** (2 * SCALE)).cast("decimal(20,0)")
+    exact = F.try_subtract(F.try_multiply(n.cast("decimal(20,0)"), s2), F.try_multiply(s, s))
+    exact = F.try_multiply(exact, unit).try_cast("decimal(38,0)").cast("double")
+    wide = [c.cast("double") for c in (n, s, s2)]
+    rough = F.greatest((wide[0] * wide[2] - wide[1] * wide[1]) * F.lit(float(10 ** (2 * SCALE))), F.lit(0.0))
+    den = wide[0] * (wide[0] - F.lit(1.0))
+    return F.when(n > 1, F.sqrt(F.coalesce(exact, rough) / den / F.lit(float(10 ** (2 * SCALE)))))
 
 
-def exact_quantiles(
-    df: DataFrame, col: str, probs: list[float], rows_per_bucket: int = 2_000_000
-) -> list[float | None]:
-    """Exact linear-interpolated quantiles (position p * (n - 1)) without a one-task buffer.
+def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFrame:
+    """One row: rows, distinct values, zeros, mean, std, min, quartiles, max.
 
-    The values are ranked by the two-phase running count (``prefix``), and only
-    the rows at the needed ranks (at most two per probability) are read back.
+    Everything comes from the table of distinct values and their counts, written once; a
+    quartile (linear, position p * (n - 1)) needs the values whose ranks enclose it, found by
+    running counts over that table, without a buffer or a window in one task.
     """
-    from cyclecount.operators import prefix
-
-    v = df.select(C.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    n = v.count()
-    if n == 0:
-        return [None for _ in probs]
-    # equal values are interchangeable for the result; a row id only makes the order total
-    v = v.withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True)
-    ranked = prefix.running_sum(
-        v, [prefix.SortKey("_v"), prefix.SortKey("_id")], F.lit(1).cast("long"), "_rank",
-        n_rows=n, rows_per_bucket=rows_per_bucket,
+    values = df.groupBy(C.col(target).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    known = values.where(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
+    ranked = prefix.running_sum(known, [prefix.SortKey("v")], "n", "upto", total_out="total").select(
+        F.col("v"), "n", "upto", "total"
     )
-    need = set()
-    pos = []
-    for p in probs:
-        rn = p * (n - 1)
-        lo = int(rn // 1)
-        hi = min(n - 1, lo + (1 if rn > lo else 0))
-        pos.append((rn, lo, hi))
-        need |= {lo + 1, hi + 1}
-    at = {int(r["_rank"]): float(r["_v"]) for r in ranked.where(F.col("_rank").isin(sorted(need))).collect()}
-    out = []
-    for rn, lo, hi in pos:
-        a, b = at[lo + 1], at[hi + 1]
-        out.append(a if hi == lo else a + (b - a) * (rn - lo))
-    return out
-
+    ranked = prefix.written(ranked, "profile")
+
+    def at(p: float) -> Column:
+        place = F.lit(p) * (F.col("total") - 1)
+        low, high = F.floor(place), F.ceil(place)
+        first = F.col("upto") - F.col("n")  # ranks first .. upto - 1 hold this value
+        v = F.col("v").cast("double")
+        return F.struct(
+            F.max(F.when((first <= low) & (low < F.col("upto")), v)).alias("a"),
+            F.max(F.when((first <= high) & (high < F.col("upto")), v)).alias("b"),
+            F.max(place - low).alias("part"),
+        )
 
-def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFrame:
-    """One row: rows, distinct values, zeros, mean, std, min, quartiles, max."""
-    x = C.col(target)
-    q25, q50, q75 = exact_quantiles(df, target, [0.25, 0.5, 0.75])
-    agg = df.agg(
-        *moment_aggs(x, "_t"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(x).alias("n_distinct"),
-        F.count_if(x == 0).alias("n_zeros"),
-        F.min(x).cast(C.QTY).alias("min"),
-        F.max(x).cast(C.QTY).alias("max"),
+    def between(q: str) -> Column:
+        a, b, part = (F.col(q).getField(f) for f in ("a", "b", "part"))
+        return F.when(part == 0, a).otherwise(a + (b - a) * part)
+
+    d = F.col("v").cast(MOMENT)
+    n = F.col("n")
+    got = ranked.agg(
+        F.sum(n).alias("_n"),
+        F.sum(d * n).alias("_s"),
+        F.sum(d * d * n).alias("_s2"),
+        F.count(n).alias("n_distinct"),
+        F.coalesce(F.sum(F.when(F.col("v") == 0, n)), F.lit(0)).alias("n_zeros"),
+        F.min("v").cast(C.QTY_TOTAL).alias("min"),
+        F.max("v").cast(C.QTY_TOTAL).alias("max"),
+        *[at(p).alias(q) for q, p in (("_q1", 0.25), ("_q2", 0.5), ("_q3", 0.75))],
     )
-    return agg.select(
+    rows = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.lit(1).alias("_one"))
+    return got.withColumn("_one", F.lit(1)).join(rows, "_one").select(
         "n_rows",
         "n_distinct",
         "n_zeros",
-        mean_of(F.col("_t_n"), F.col("_t_s")).alias("mean"),
-        std_of(F.col("_t_n"), F.col("_t_s"), F.col("_t_s2")).alias("std"),
+        mean_of(F.col("_n"), F.col("_s")).alias("mean"),
+        std_of(F.col("_n"), F.col("_s"), F.col("_s2")).alias("std"),
         "min",
-        F.lit(q25).cast("double").alias("p25"),
-        F.lit(q50).cast("double").alias("p50"),
-        F.lit(q75).cast("double").alias("p75"),
+        between("_q1").alias("p25"),
+        between("_q2").alias("p50"),
+        between("_q3").alias("p75"),
         "max",
     )
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
 
-MAX_MODELS = 1000
-
-
 def latest_year_month(counts_raw: DataFrame, today: _dt.date | None = None) -> tuple[int, int]:
     """(year, month) of the newest parsable count timestamp; else last calendar month."""
     ts = C.parse_minute_ts("Atualização")
@@ -39,7 +36,7 @@ def actual_ytd(counts_raw: DataFrame, year: int, month: int) -> DataFrame:
     ytd = rows.where(
         F.col("_ts").isNotNull() & (F.year("_ts") == F.lit(year)) & (F.month("_ts") <= F.lit(month))
     )
-    return ytd.groupBy("Código").agg(F.sum("_q").cast(C.QTY).alias("Real_YTD"))
+    return ytd.groupBy("Código").agg(F.sum("_q").cast(C.QTY_TOTAL).alias("Real_YTD"))
 
 
 def forecast_ytd(forecasts: DataFrame, year: int, month: int) -> DataFrame:
@@ -47,39 +44,42 @@ def forecast_ytd(forecasts: DataFrame, year: int, month: int) -> DataFrame:
     f = forecasts.select(
         C.col("Model_Name").cast("string").alias("Model_Name"),
         C.standardize_code("Código").alias("Código"),
-        C.to_number("Ano_Previsto", fill=-1).cast("int").alias("_y"),
-        C.to_number("Mês_Previsto", fill=-1).cast("int").alias("_m"),
+        C.to_whole("Ano_Previsto", fill=-1).alias("_y"),
+        C.to_whole("Mês_Previsto", fill=-1).alias("_m"),
         F.coalesce(C.to_quantity("Previsao_Quantidade"), F.lit(0).cast(C.QTY)).alias("_p"),
     )
     w = f.where((F.col("_y") == F.lit(year)) & (F.col("_m") <= F.lit(month)))
-    return w.groupBy("Model_Name", "Código").agg(F.sum("_p").cast(C.QTY).alias("Prev_YTD"))
+    return w.groupBy("Model_Name", "Código").agg(F.sum("_p").cast(C.QTY_TOTAL).alias("Prev_YTD"))
+
 
+def model_names(forecasts: DataFrame) -> DataFrame:
+    """The distinct model names, one row each."""
+    names = forecasts.select(C.col("Model_Name").cast("string").alias("Model_Name"))
+    return names.where(F.col("Model_Name").isNotNull()).distinct()
 
-def model_names(forecasts: DataFrame) -> list[str]:
-    """Distinct model names (a bounded list), sorted."""
-    names = [
-        r[0]
-        for r in forecasts.select("Model_Name").where(F.col("Model_Name").isNotNull()).distinct()
-        .limit(MAX_MODELS + 1).collect()
-    ]
-    if len(names) > MAX_MODELS:
-        raise ValueError("too many model names")
-    return sorted(names)
 
+def ytd_detail(actual: DataFrame, prev: DataFrame, models: DataFrame | list[str]) -> DataFrame:
+    """J12 + P26: one row per (model, actual item): forecast (0 if none), errors, APE.
 
-def ytd_detail(actual: DataFrame, prev: DataFrame, models: list[str]) -> DataFrame:
-    """J12 + P26: one row per (model, actual item): forecast (0 if none), errors, APE."""
-    base = actual.select("Código", "Real_YTD", F.explode(F.array(*[F.lit(m) for m in models])).alias("Model_Name"))
+    Each item's row carries the list of models, one aggregate over the models' names, and is
+    exploded: the output has models x items rows by definition."""
+    if isinstance(models, list):
+        names = F.array(*[F.lit(m) for m in models])
+        listed = actual.withColumn("_models", names)
+    else:
+        names = models.agg(F.sort_array(F.collect_set("Model_Name")).alias("_models"), F.lit(1).alias("_one"))
+        listed = actual.withColumn("_one", F.lit(1)).join(F.broadcast(names), "_one")
+    base = listed.select("Código", "Real_YTD", F.explode("_models").alias("Model_Name"))
     j = base.join(prev, ["Model_Name", "Código"], "left")
-    p = F.coalesce("Prev_YTD", F.lit(0).cast(C.QTY)).cast(C.QTY)
-    err = (p - F.col("Real_YTD")).cast(C.QTY)
+    p = F.coalesce("Prev_YTD", F.lit(0).cast(C.QTY_TOTAL)).cast(C.QTY_TOTAL)
+    err = (p - F.col("Real_YTD")).cast(C.QTY_TOTAL)
     return j.select(
         "Model_Name",
         "Código",
         "Real_YTD",
         p.alias("Prev_YTD"),
         err.alias("Erro"),
-        F.abs(err).cast(C.QTY).alias("Erro_Abs"),
+        F.abs(err).cast(C.QTY_TOTAL).alias("Erro_Abs"),
         C.abs_pct_error("Real_YTD", F.abs(err)).alias("APE"),
     )
 
@@ -93,8 +93,8 @@ def ytd_metrics(detail: DataFrame) -> DataFrame:
     g = detail.groupBy("Model_Name").agg(
         n.alias("_n"),
         sum_abs.alias("_sa"),
-        total_real.cast(C.QTY).alias("Total_Real"),
-        total_prev.cast(C.QTY).alias("Total_Previsto"),
+        total_real.cast(C.QTY_TOTAL).alias("Total_Real"),
+        total_prev.cast(C.QTY_TOTAL).alias("Total_Previsto"),
         F.sum("APE").alias("_ape_s"),
         F.count("APE").alias("_ape_n"),
     )
@@ -106,15 +106,19 @@ def ytd_metrics(detail: DataFrame) -> DataFrame:
         F.when(F.col("_ape_n") > 0, F.col("_ape_s") / F.col("_ape_n").cast("double")).alias("MAPE"),
         "Total_Real",
         "Total_Previsto",
-        (F.col("Total_Previsto") - F.col("Total_Real")).cast(C.QTY).alias("Diferenca_Total"),
+        (F.col("Total_Previsto") - F.col("Total_Real")).cast(C.QTY_TOTAL).alias("Diferenca_Total"),
     )
 
 
-def best_model(metrics: DataFrame) -> DataFrame:
-    """The model with the lowest MAE (ties: first name); one row, or none."""
+def best_model(metrics: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The model with the lowest MAE; one row, or none. Ties go to the model that comes
+    first in ``order`` (models not in it come after, by name)."""
     m = metrics.where(F.col("MAE").isNotNull())
+    place = F.lit(len(order or []))
+    for i, name in reversed(list(enumerate(order or []))):
+        place = F.when(F.col("Model_Name") == name, F.lit(i)).otherwise(place)
     return m.agg(
-        F.min_by("Model_Name", F.struct("MAE", "Model_Name")).alias("Model_Name"),
+        F.min_by("Model_Name", F.struct("MAE", place, "Model_Name")).alias("Model_Name"),
         F.min("MAE").alias("MAE"),
     ).where(F.col("Model_Name").isNotNull())
 
@@ -133,9 +137,11 @@ def widen_by_model(detail: DataFrame, models: list[str]) -> DataFrame:
     )
 
 
-def ytd_validation(counts_raw: DataFrame, forecasts: DataFrame, year: int, month: int):
-    """(detail, metrics, best) for the year-to-date window."""
+def ytd_validation(
+    counts_raw: DataFrame, forecasts: DataFrame, year: int, month: int, order: list[str] | None = None
+):
+    """(detail, metrics, best) for the year-to-date window; ``order`` settles ties."""
     models = model_names(forecasts)
     detail = ytd_detail(actual_ytd(counts_raw, year, month), forecast_ytd(forecasts, year, month), models)
     metrics = ytd_metrics(detail)
-    return detail, metrics, best_model(metrics)
+    return detail, metrics, best_model(metrics, order)

@@ -21,22 +21,13 @@ from pyspark.sql import functions as F
 # Scenario parameters of the demo (not properties of the data).
 AS_OF_YEAR = 2001
 AS_OF_MONTH = 1
-HISTORY_END = "2001-02-01"  # count/movement history before the as-of month ends
-EARLY_HISTORY_END = "1995-03-01"  # a short history window: items with and without history
+SINCE = "2001-09-01"  # items whose latest count or movement is older have no recent history
 FORECAST_MODELS = ("Logica", "Ajustado")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. When it arrives as fewer files than the cluster has task
-    slots (one small file per table in the test data, a single row group each), the
-    rows are hash-spread once on the table's key column (first column) so the
-    parsing work runs in parallel; tables made of many files are read as they are,
-    without a shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < slots:
-        df = df.repartition(slots, F.col(df.columns[0]))
-    return df
+    """A driver table, read whole."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _cents(col) -> F.Column:
@@ -44,8 +35,8 @@ def _cents(col) -> F.Column:
     return F.round(col * 100).cast("long")
 
 
-def _cents_to_money(cents) -> F.Column:
-    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+def _ten_thousandths(n) -> F.Column:
+    return (n.cast("decimal(18,0)") * F.lit(Decimal("0.0001"))).cast("decimal(18,4)")
 
 
 def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +52,8 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly average unit cost per item: sum of cents / sum of quantity, in cents."""
+    """Monthly average unit cost per item to four decimals; years as spreadsheets write them:
+    plain, as ``2001.0``, or missing as ``NaN``."""
     li = table(spark, sf_dir, "lineitem")
     g = li.groupBy(
         F.col("l_partkey").alias("p"),
@@ -73,31 +65,35 @@ def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return g.select(
         F.col("p").cast("string").alias("Material"),
-        _cents_to_money(F.expr("cents div q")).alias("Custo Médio"),
-        F.col("y").alias("Ano"),
+        _ten_thousandths(F.expr("cents * 100 div q")).alias("Custo Médio"),
+        F.when((F.col("p") + F.col("m")) % 97 == 5, F.lit("NaN"))
+        .when(F.col("p") % 2 == 0, F.concat(F.col("y").cast("string"), F.lit(".0")))
+        .otherwise(F.col("y").cast("string"))
+        .alias("Ano"),
         F.col("m").alias("Mes"),
     )
 
 
-def counts(spark: SparkSession, sf_dir: str, history_end: str | None = HISTORY_END) -> DataFrame:
-    """Raw count records, all columns as text like the ``;`` count files."""
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw count records, all columns as text like the ``;`` count files: unit costs with
+    four decimals, 18-digit handling units, and a few marked, blank or unreadable fields."""
     li = table(spark, sf_dir, "lineitem")
-    if history_end:
-        li = li.where(F.col("l_shipdate") < F.lit(history_end).cast("timestamp"))
-    unit = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
-    int_part = F.format_number((unit / F.lit(100)).cast("long"), 0)
+    unit = F.expr("cast(round(l_extendedprice * 100) as bigint) * 100 div cast(l_quantity as bigint)")
+    int_part = F.format_number(F.expr("cast(round(l_extendedprice * 100) as bigint) * 100 div cast(l_quantity as bigint) div 10000"), 0)
     money_text = F.concat(
-        F.translate(int_part, ",", "."), F.lit(","), F.lpad((unit % 100).cast("string"), 2, "0")
+        F.translate(int_part, ",", "."), F.lit(","), F.lpad((unit % 10000).cast("string"), 4, "0")
     )
     return li.select(
-        F.lit(None).cast("string").alias("NOK"),
+        F.when(F.col("l_orderkey") % 41 == 1, F.lit("X")).when(F.col("l_orderkey") % 41 == 2, F.lit("")).alias("NOK"),
         F.when(F.col("l_linestatus") == "F", F.lit("FECHADO")).otherwise(F.lit("ABERTO")).alias("Status"),
         F.col("l_partkey").cast("string").alias("Código"),
         F.concat(F.col("l_suppkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string")).alias(
             "Locação"
         ),
-        F.col("l_orderkey").cast("string").alias("UdE"),
-        F.col("l_linenumber").cast("string").alias("Compartimento"),
+        (F.col("l_orderkey") + F.lit(340123450000000000)).cast("string").alias("UdE"),
+        F.when(F.col("l_orderkey") % 53 == 3, F.lit("NaN"))
+        .otherwise(F.col("l_linenumber").cast("string"))
+        .alias("Compartimento"),
         F.when(F.col("l_returnflag") == "A", F.lit("ANULADO"))
         .when(F.col("l_returnflag") == "R", F.lit("FECHADO"))
         .otherwise(F.lit("PENDENTE"))
@@ -113,11 +109,9 @@ def counts(spark: SparkSession, sf_dir: str, history_end: str | None = HISTORY_E
     )
 
 
-def movements(spark: SparkSession, sf_dir: str, history_end: str | None = HISTORY_END) -> DataFrame:
+def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movement export rows: year, month, zero-padded item code, type, count, quantity."""
     li = table(spark, sf_dir, "lineitem")
-    if history_end:
-        li = li.where(F.col("l_shipdate") < F.lit(history_end).cast("timestamp"))
     return li.select(
         F.year("l_shipdate").alias("Ano"),
         F.month("l_shipdate").alias("Mes"),
@@ -131,10 +125,10 @@ def movements(spark: SparkSession, sf_dir: str, history_end: str | None = HISTOR
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast table (Model_Name, Código, Ano_Previsto, Mês_Previsto, Previsao_Quantidade).
 
-    Two forecast series per open line item: the book quantity and the quantity
-    net of the tax rate, as two "models".
+    Two forecast series per line item: the book quantity and the quantity net of the tax
+    rate, as two "models".
     """
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O")
+    li = table(spark, sf_dir, "lineitem")
     base = li.select(
         F.col("l_partkey").cast("string").alias("Código"),
         F.year("l_shipdate").alias("Ano_Previsto"),

@@ -19,8 +19,8 @@ stock AS (
 COSTS = """
 costs AS (
   SELECT CAST(p AS VARCHAR) AS "Material",
-         CAST(CAST(cents // q AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS "Custo Médio",
-         y AS "Ano", m AS "Mes"
+         CAST(CAST(cents * 100 // q AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4)) AS "Custo Médio",
+         CASE WHEN (p + m) % 97 = 5 THEN 'NaN' WHEN p % 2 = 0 THEN y || '.0' ELSE y || '' END AS "Ano", m AS "Mes"
   FROM (SELECT l_partkey AS p, year(l_shipdate) AS y, month(l_shipdate) AS m,
                SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS cents,
                SUM(CAST(l_quantity AS BIGINT)) AS q
@@ -30,9 +30,10 @@ costs AS (
 LATEST_COST = """
 latest_cost AS (
   SELECT "Produto", "Custo Médio" FROM (
-    SELECT trim("Material") AS "Produto", CAST("Custo Médio" AS DECIMAL(18,2)) AS "Custo Médio",
+    SELECT trim("Material") AS "Produto", CAST("Custo Médio" AS DECIMAL(20,8)) AS "Custo Médio",
            ROW_NUMBER() OVER (PARTITION BY trim("Material")
-                              ORDER BY "Ano" DESC NULLS LAST, "Mes" DESC NULLS LAST,
+                              ORDER BY TRY_CAST(TRY_CAST("Ano" AS DOUBLE) AS INTEGER) DESC NULLS LAST,
+                                       "Mes" DESC NULLS LAST,
                                        "Custo Médio" DESC NULLS LAST) AS rn
     FROM costs WHERE "Material" IS NOT NULL)
   WHERE rn = 1
@@ -48,8 +49,8 @@ items AS (
 ),
 valued AS (
   SELECT code AS "Código", descr AS "Descrição", nloc AS "Qtde_Locacao", qty AS "Lógica_ABC",
-         COALESCE(lc."Custo Médio", CAST(0 AS DECIMAL(18,2))) AS "Custo_Unitário",
-         COALESCE(CAST(round_even(CAST(lc."Custo Médio" AS DECIMAL(38,2)) * CAST(qty AS DECIMAL(38,3)), 2)
+         COALESCE(lc."Custo Médio", CAST(0 AS DECIMAL(20,8))) AS "Custo_Unitário",
+         COALESCE(CAST(round_even(CAST(lc."Custo Médio" AS DECIMAL(38,8)) * CAST(qty AS DECIMAL(38,3)), 2)
                        AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2))) AS "Valor_Estoque"
   FROM items LEFT JOIN latest_cost lc ON lc."Produto" = items.code
 )"""
@@ -100,15 +101,15 @@ FROM per""",
 # --------------------------------------------------------------------------- counts
 
 
-def counts_raw(history_end: str = "2001-02-01") -> str:
-    return f"""
+def counts_raw() -> str:
+    return """
 counts_raw AS (
-  SELECT CAST(NULL AS VARCHAR) AS "NOK",
+  SELECT CASE WHEN l_orderkey % 41 = 1 THEN 'X' WHEN l_orderkey % 41 = 2 THEN '' END AS "NOK",
          CASE WHEN l_linestatus = 'F' THEN 'FECHADO' ELSE 'ABERTO' END AS "Status",
          CAST(l_partkey AS VARCHAR) AS "Código",
          CAST(l_suppkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS "Locação",
-         CAST(l_orderkey AS VARCHAR) AS "UdE",
-         CAST(l_linenumber AS VARCHAR) AS "Compartimento",
+         CAST(l_orderkey + 340123450000000000 AS VARCHAR) AS "UdE",
+         CASE WHEN l_orderkey % 53 = 3 THEN 'NaN' ELSE CAST(l_linenumber AS VARCHAR) END AS "Compartimento",
          CASE l_returnflag WHEN 'A' THEN 'ANULADO' WHEN 'R' THEN 'FECHADO' ELSE 'PENDENTE' END
            AS "Status Inventario",
          strftime(l_shipdate, '%-d/%-m/%Y %-H:%M') AS "Atualização",
@@ -116,11 +117,11 @@ counts_raw AS (
          CASE WHEN l_discount = 0 THEN NULL
               ELSE CAST(CAST(l_quantity * (1 - l_discount) AS DECIMAL(18,2)) AS VARCHAR) END AS "Física",
          CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "Quantidade Fisica",
-         replace(format('{{:,}}', unit // 100), ',', '.') || ',' || lpad(CAST(unit % 100 AS VARCHAR), 2, '0')
+         replace(format('{:,}', unit // 10000), ',', '.') || ',' || lpad(CAST(unit % 10000 AS VARCHAR), 4, '0')
            AS "Custo",
          CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "Lógica"
-  FROM (SELECT *, CAST(ROUND(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT) AS unit
-        FROM lineitem WHERE l_shipdate < TIMESTAMP '{history_end}')
+  FROM (SELECT *, CAST(ROUND(l_extendedprice * 100) AS BIGINT) * 100 // CAST(l_quantity AS BIGINT) AS unit
+        FROM lineitem)
 )"""
 
 
@@ -133,15 +134,15 @@ closed AS (
 typed AS (
   SELECT right('0000000000000' || "Código", 13) AS "Código",
          "Locação", split_part("Locação", '.', 1) AS "Estante",
-         CAST(trunc(TRY_CAST(trim("UdE") AS DOUBLE)) AS BIGINT) AS "UdE",
-         CAST(trunc(TRY_CAST(trim("Compartimento") AS DOUBLE)) AS BIGINT) AS "Compartimento",
+         TRY_CAST(trim("UdE") AS DECIMAL(38,0)) AS "UdE",
+         TRY_CAST(trim("Compartimento") AS DECIMAL(38,0)) AS "Compartimento",
          "Status Inventario",
          try_strptime(trim("Atualização"), '%d/%m/%Y %H:%M') AS ts,
          CAST(trunc(TRY_CAST(trim("Contagem") AS DOUBLE)) AS INTEGER) AS "Contagem",
          TRY_CAST(trim("Física") AS DECIMAL(18,3)) AS "Física",
          TRY_CAST(trim("Quantidade Fisica") AS DECIMAL(18,3)) AS "Quantidade Fisica",
          TRY_CAST(trim("Lógica") AS DECIMAL(18,3)) AS "Lógica",
-         TRY_CAST(replace(replace(trim("Custo"), '.', ''), ',', '.') AS DECIMAL(18,2)) AS "Custo"
+         TRY_CAST(replace(replace(trim("Custo"), '.', ''), ',', '.') AS DECIMAL(20,8)) AS "Custo"
   FROM closed
 ),
 typed2 AS (
@@ -172,8 +173,8 @@ valued_counts AS (
          CAST(round_even(counted - book, 2) AS DECIMAL(18,2)) AS "Vlr Delta",
          CAST(round_even(abs(counted - book), 2) AS DECIMAL(18,2)) AS "Delta ABS"
   FROM (SELECT *, COALESCE("Física", "Quantidade Fisica") AS qf,
-               CAST("Custo" AS DECIMAL(38,2)) * CAST("Lógica" AS DECIMAL(38,3)) AS book,
-               CAST("Custo" AS DECIMAL(38,2)) * CAST(COALESCE("Física", "Quantidade Fisica") AS DECIMAL(38,3))
+               CAST("Custo" AS DECIMAL(38,8)) * CAST("Lógica" AS DECIMAL(38,3)) AS book,
+               CAST("Custo" AS DECIMAL(38,8)) * CAST(COALESCE("Física", "Quantidade Fisica") AS DECIMAL(38,3))
                  AS counted
         FROM last_counts)
 ),
@@ -194,7 +195,8 @@ ORACLE.update(
     {
         "counts_last": COUNTS_BASE
         + """
-SELECT "Data INV", "Código", "Locação", "UdE", "Compartimento", "Status Inventario", "Contagem",
+SELECT "Data INV", "Código", "Locação", CAST("UdE" AS VARCHAR) AS "UdE",
+       CAST("Compartimento" AS VARCHAR) AS "Compartimento", "Status Inventario", "Contagem",
        strftime(ts, '%Y-%m-%d %H:%M') AS "Atualização", "Física", "Quantidade Fisica", "Lógica", "Custo",
        "Estante", "Ano", "Mês"
 FROM last_counts""",
@@ -223,14 +225,14 @@ def std_code(x: str) -> str:
     return f"CASE WHEN {inner} = '' THEN '0' ELSE {inner} END"
 
 
-def mov_rows(history_end: str = "2001-02-01") -> str:
+def mov_rows() -> str:
     return f"""
 mov_src AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS "Ano", CAST(month(l_shipdate) AS INTEGER) AS "Mes",
          lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS "CD_ARTICOLO",
          l_returnflag || l_linestatus AS "Tipo_Movimento",
          CAST(1.0 AS DOUBLE) AS "Qtd_Movimentos", l_quantity AS "Total_Qtde"
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '{history_end}'
+  FROM lineitem
 ),
 mov_dedup AS (
   SELECT DISTINCT "Ano", "Mes", {std_code('"CD_ARTICOLO"')} AS "Código", "Tipo_Movimento",
@@ -267,8 +269,8 @@ MOV_TOTALS = """
          CAST(COUNT(DISTINCT "Tipo_Movimento") AS BIGINT) AS "Num_Tipos_Mov_Mensal" """
 
 
-def mov_features(history_end: str = "2001-02-01") -> str:
-    return mov_rows(history_end) + f""",
+def mov_features() -> str:
+    return mov_rows() + f""",
 mov_features AS (
   SELECT "Código", "Ano", "Mês",
          {_pivot_cols(DEMO_TYPES)},
@@ -306,28 +308,35 @@ abc_items AS (
 )"""
 
 
-def history(history_end: str) -> str:
+def history(since: str | None = None) -> str:
+    """With ``since``: only items whose latest count or movement isn't older count as such."""
+    counted, moved = "daily_std", "mov_rows"
+    if since:
+        counted = f"""(SELECT "Código" FROM daily_std GROUP BY 1 HAVING max("Data INV") >= DATE '{since}')"""
+        moved = f"""(SELECT "Código" FROM mov_rows GROUP BY 1 HAVING max(make_date("Ano", "Mês", 1)) >= DATE '{since}')"""
     return (
-        with_(STOCK, COSTS, LATEST_COST, VALUED, CURVE, ABC_ITEMS, counts_raw(history_end), COUNTS_TYPED)
+        with_(STOCK, COSTS, LATEST_COST, VALUED, CURVE, ABC_ITEMS, counts_raw(), COUNTS_TYPED)
         + ", "
-        + mov_features(history_end)
+        + mov_features()
         + f""",
 daily_std AS (SELECT * REPLACE ({std_code('"Código"')} AS "Código") FROM counts_daily),
-hist_codes AS (SELECT "Código" FROM daily_std UNION SELECT "Código" FROM mov_rows),
+counted_codes AS (SELECT DISTINCT "Código" FROM {counted}),
+moved_codes AS (SELECT DISTINCT "Código" FROM {moved}),
+hist_codes AS (SELECT "Código" FROM counted_codes UNION SELECT "Código" FROM moved_codes),
 with_hist AS (SELECT DISTINCT "Código" FROM abc_items WHERE "Código" IN (SELECT "Código" FROM hist_codes)),
 without_hist AS (
   SELECT DISTINCT "Código" FROM abc_items WHERE "Código" NOT IN (SELECT "Código" FROM hist_codes))"""
     )
 
 
-EARLY = history("1995-03-01")
-FULL = history("2001-02-01")
+RECENT = history("2001-09-01")
+FULL = history()
 
 FEATURE_BASE = """,
 base AS (
   SELECT d.*, COALESCE(a."Curva_ABC", 'Unknown') AS "Curva_ABC",
          COALESCE(a."Lógica_ABC", CAST(0 AS DECIMAL(18,3))) AS "Lógica_ABC",
-         COALESCE(a."Custo_Unitário", CAST(0 AS DECIMAL(18,2))) AS "Custo_Unitário",
+         COALESCE(a."Custo_Unitário", CAST(0 AS DECIMAL(20,8))) AS "Custo_Unitário",
          COALESCE(a."Valor_Estoque", CAST(0 AS DECIMAL(18,2))) AS "Valor_Estoque"
   FROM daily_std d LEFT JOIN abc_items a ON a."Código" = d."Código"
   WHERE d."Código" IN (SELECT "Código" FROM with_hist)
@@ -395,14 +404,14 @@ features AS (
 
 ORACLE.update(
     {
-        "items_with_history": EARLY + "\nSELECT * FROM with_hist",
-        "items_without_history": EARLY + "\nSELECT * FROM without_hist",
-        "item_category": EARLY
+        "items_with_history": RECENT + "\nSELECT * FROM with_hist",
+        "items_without_history": RECENT + "\nSELECT * FROM without_hist",
+        "item_category": RECENT
         + """
 SELECT "Código", "Curva_ABC", "Lógica_ABC",
-       CASE WHEN "Código" IN (SELECT "Código" FROM daily_std) THEN 'Já Inventariado'
+       CASE WHEN "Código" IN (SELECT "Código" FROM counted_codes) THEN 'Já Inventariado'
             ELSE 'Nunca Inventariado' END AS "Inventario",
-       CASE WHEN "Código" IN (SELECT "Código" FROM mov_rows) THEN 'Movimentação Recente'
+       CASE WHEN "Código" IN (SELECT "Código" FROM moved_codes) THEN 'Movimentação Recente'
             ELSE 'Sem Movimentação' END AS "Movimentacao"
 FROM abc_items WHERE "Lógica_ABC" > 0""",
         "trend_12": FULL
@@ -446,6 +455,33 @@ items_to_count AS (
     AND "Código" NOT IN (SELECT "Código" FROM daily_std WHERE year("Data INV") = 2001)
 )"""
 
+# Each item, in priority order, goes to the first of the 24 planning months with room for it.
+ALLOCATION = """,
+rooms AS (
+  SELECT list(c."Capacidade" ORDER BY k) AS rooms
+  FROM range(24) r(k) JOIN capacity c ON c."Mês" = k % 12 + 1
+),
+queue AS (
+  SELECT "Código", "Qtd_Int",
+         row_number() OVER (ORDER BY "Prioridade_Curva" DESC, "Valor_Estoque" DESC, "Código") AS rn
+  FROM items_to_count
+),
+fit AS (
+  SELECT 0::BIGINT AS rn, NULL::VARCHAR AS "Código", NULL::BIGINT AS q, NULL::INTEGER AS slot, rooms FROM rooms
+  UNION ALL
+  SELECT rn, "Código", q, slot,
+         CASE WHEN slot IS NULL THEN rooms
+              ELSE list_concat(rooms[:slot - 1], [rooms[slot] - q], rooms[slot + 1:]) END
+  FROM (SELECT o.rn, o."Código", o."Qtd_Int" AS q, f.rooms,
+               nullif(list_position([x >= o."Qtd_Int" FOR x IN f.rooms], true), 0)::INTEGER AS slot
+        FROM fit f JOIN queue o ON o.rn = f.rn + 1)
+),
+allocation AS (
+  SELECT "Código", (2001 + (slot - 1) // 12)::INTEGER AS "Ano_Previsto", ((slot - 1) % 12 + 1)::INTEGER AS "Mês_Previsto",
+         q AS "Qtd_Int", slot
+  FROM fit WHERE slot IS NOT NULL
+)"""
+
 LAST_ROW = """,
 last_row AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -463,7 +499,7 @@ fallback AS (
 fc_info AS (
   SELECT f.*, COALESCE(a."Curva_ABC", 'Unknown') AS "Curva_ABC",
          COALESCE(a."Lógica_ABC", CAST(0 AS DECIMAL(18,3))) AS "Lógica_ABC",
-         COALESCE(a."Custo_Unitário", CAST(0 AS DECIMAL(18,2))) AS "Custo_Unitário",
+         COALESCE(a."Custo_Unitário", CAST(0 AS DECIMAL(20,8))) AS "Custo_Unitário",
          COALESCE(a."Valor_Estoque", CAST(0 AS DECIMAL(18,2))) AS "Valor_Estoque"
   FROM fallback f LEFT JOIN abc_items a ON a."Código" = f."Código"
 ),
@@ -475,7 +511,7 @@ valuation AS (
          CAST(round_even(abs(v - "Valor_Estoque"), 2) AS DECIMAL(18,2)) AS "Delta ABS Previsto",
          CAST(round_even(abs(v - "Valor_Estoque") * CAST(0.18 AS DECIMAL(6,4)), 2) AS DECIMAL(18,2))
            AS "TOTAL IMPOSTO Previsto"
-  FROM (SELECT *, CAST(CAST("Custo_Unitário" AS DECIMAL(38,2)) * CAST(q AS DECIMAL(38,3)) AS DECIMAL(38,5)) AS v
+  FROM (SELECT *, CAST("Custo_Unitário" AS DECIMAL(38,8)) * CAST(q AS DECIMAL(38,3)) AS v
         FROM (SELECT *, CAST(COALESCE(greatest(0.0, "Previsao_Quantidade"), 0.0) AS DECIMAL(18,3)) AS q
               FROM fc_info))
 )"""
@@ -484,23 +520,40 @@ ORACLE.update(
     {
         "capacity_by_month": FULL + CAPACITY + "\nSELECT * FROM capacity",
         "items_to_count": FULL + ITEMS_TO_COUNT + "\nSELECT * FROM items_to_count",
+        "allocation": FULL.replace("WITH ", "WITH RECURSIVE ", 1)
+        + CAPACITY
+        + ITEMS_TO_COUNT
+        + ALLOCATION
+        + '\nSELECT "Código", "Ano_Previsto", "Mês_Previsto", "Qtd_Int" FROM allocation',
+        "plan_summary": FULL.replace("WITH ", "WITH RECURSIVE ", 1)
+        + CAPACITY
+        + ITEMS_TO_COUNT
+        + ALLOCATION
+        + """
+SELECT (2001 + k // 12)::INTEGER AS "Ano", (k % 12 + 1)::INTEGER AS "Mês",
+       COUNT(a."Código") AS "Itens_Alocados", COALESCE(SUM(a."Qtd_Int"), 0)::BIGINT AS "Pecas_Logica_Alocada",
+       ANY_VALUE(c."Capacidade") AS "Capacidade_Pecas_Logica"
+FROM range(24) r(k) JOIN capacity c ON c."Mês" = k % 12 + 1 LEFT JOIN allocation a ON a.slot = k + 1
+WHERE k < (SELECT CASE WHEN COUNT(*) = 0 THEN 0 WHEN COUNT(*) > (SELECT COUNT(*) FROM allocation) THEN 24
+                  ELSE (SELECT MAX(slot) FROM allocation) END FROM items_to_count)
+GROUP BY k""",
         "last_feature_row": FEATURES + LAST_ROW + "\nSELECT * FROM last_row",
-        "fallback_forecast": EARLY + FALLBACK + "\nSELECT * FROM fallback",
-        "forecast_valuation": EARLY + FALLBACK + "\nSELECT * FROM valuation",
+        "fallback_forecast": RECENT + FALLBACK + "\nSELECT * FROM fallback",
+        "forecast_valuation": RECENT + FALLBACK + "\nSELECT * FROM valuation",
     }
 )
 
 # --------------------------------------------------------------------------- validation
 
 YTD = (
-    with_(counts_raw("9999-01-01"))
+    with_(counts_raw())
     + f""",
 fc_src AS (
   SELECT CAST(l_partkey AS VARCHAR) AS "Código", CAST(year(l_shipdate) AS INTEGER) AS "Ano_Previsto",
          CAST(month(l_shipdate) AS INTEGER) AS "Mês_Previsto",
          CAST(l_quantity AS DECIMAL(18,3)) AS q,
          CAST(CAST(l_quantity * (1 - l_tax) AS DECIMAL(18,2)) AS DECIMAL(18,3)) AS qa
-  FROM lineitem WHERE l_linestatus = 'O'
+  FROM lineitem
 ),
 forecasts AS (
   SELECT 'Logica' AS "Model_Name", "Código", "Ano_Previsto", "Mês_Previsto", q AS "Previsao_Quantidade" FROM fc_src

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
-from cyclecount.operators import abc, categories, counts, features, forecasting, movements, planning, stats, validation
+from cyclecount.operators import abc, categories, counts, features, forecasting, movements, planning, prefix, stats, validation
 from cyclecount.plans import demo, pipeline
 from cyclecount.session import ensure_checkpoint_dir
 
@@ -69,7 +69,13 @@ def q_stock_valued(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_counts_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 + F2 + P2-P9 + W2: last count per six-part key of the closed count rows."""
     last = counts.last_counts(demo.counts(spark, sf_dir))
-    return last.withColumn("Atualização", F.date_format("Atualização", "yyyy-MM-dd HH:mm"))
+    return last.withColumns(
+        {
+            "Atualização": F.date_format("Atualização", "yyyy-MM-dd HH:mm"),
+            "UdE": F.col("UdE").cast("string"),
+            "Compartimento": F.col("Compartimento").cast("string"),
+        }
+    )
 
 
 @register("counts_valued")
@@ -114,53 +120,58 @@ def q_movement_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- categories
 
 
-def _stock_and_counts(spark: SparkSession, sf_dir: str, history_end: str):
+def _stock_and_counts(spark: SparkSession, sf_dir: str):
     """(curve, ABC items, daily counts); items and daily are read more than once
     downstream, so each is written once per call."""
     curve = abc.abc_curve(demo.stock(spark, sf_dir), demo.costs(spark, sf_dir))
-    items = features.abc_items(curve).checkpoint(eager=True)
-    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir, history_end))).checkpoint(eager=True)
+    items = prefix.written(features.abc_items(curve), "items")
+    daily = prefix.written(counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir))), "daily")
     return curve, items, daily
 
 
-def _history_inputs(spark: SparkSession, sf_dir: str, history_end: str, feature_table: bool = False):
-    """(curve, ABC items, daily counts, counted codes, moved codes, movement features)
-    for a history window ending at ``history_end``; each stage is computed once per call.
+def _history_inputs(spark: SparkSession, sf_dir: str, since: str | None = None, feature_table: bool = False):
+    """(curve, ABC items, daily counts, counted codes, moved codes, movement features);
+    each stage is computed once per call. With ``since`` only items whose latest count or
+    movement, over all rows, isn't older stand as counted or moved.
 
     With ``feature_table`` the movement feature table is built (and written once),
     and the moved codes are taken from it; otherwise they come from the
     de-duplicated movement rows and no feature table is built."""
-    curve, items, daily = _stock_and_counts(spark, sf_dir, history_end)
+    curve, items, daily = _stock_and_counts(spark, sf_dir)
     counted = features.standardized_daily(daily)
-    mov = demo.movements(spark, sf_dir, history_end)
+    mov = demo.movements(spark, sf_dir)
     if feature_table:
         # the feature table's codes are exactly the moved items
-        mov_feat = movements.movement_features(mov).checkpoint(eager=True)
+        mov_feat = prefix.written(movements.movement_features(mov), "movements")
         return curve, items, daily, counted, mov_feat.select("Código"), mov_feat
-    return curve, items, daily, counted, movements.movement_rows(mov), None
+    moved = movements.movement_rows(mov)
+    if since:
+        counted = categories.active_since(counted, since, F.col("Data INV"))
+        moved = categories.active_since(moved, since, C.month_start("Ano", "Mês"))
+    return curve, items, daily, counted, moved, None
 
 
 @register("items_with_history")
 def q_items_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stock items counted or moved in the (short) history window."""
+    """Stock items whose latest count or movement isn't before a date."""
     _prep(spark)
-    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.SINCE)
     return categories.items_with_history(items, counted, moved)
 
 
 @register("items_without_history")
 def q_items_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stock items neither counted nor moved in the (short) history window."""
+    """Stock items neither counted nor moved since a date."""
     _prep(spark)
-    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.SINCE)
     return categories.items_without_history(items, counted, moved)
 
 
 @register("item_category")
 def q_item_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eligible items labelled counted/never counted and moved/not moved."""
+    """Eligible items labelled by whether they were counted and moved since a date."""
     _prep(spark)
-    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.SINCE)
     return categories.item_category(items, counted, moved)
 
 
@@ -169,7 +180,7 @@ def q_item_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feature_inputs(spark: SparkSession, sf_dir: str):
     curve, items, daily, counted, moved, mov_feat = _history_inputs(
-        spark, sf_dir, demo.HISTORY_END, feature_table=True
+        spark, sf_dir, feature_table=True
     )
     with_hist = categories.items_with_history(items, counted, moved)
     return curve, items, daily, with_hist, mov_feat
@@ -177,7 +188,7 @@ def _feature_inputs(spark: SparkSession, sf_dir: str):
 
 def _base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily counts of items with history, with their ABC info (no movement features)."""
-    _, items, daily, counted, moved, _ = _history_inputs(spark, sf_dir, demo.HISTORY_END)
+    _, items, daily, counted, moved, _ = _history_inputs(spark, sf_dir)
     with_hist = categories.items_with_history(items, counted, moved)
     return features.with_abc(counted, items).join(with_hist, "Código", "left_semi")
 
@@ -218,7 +229,7 @@ def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _planning_inputs(spark: SparkSession, sf_dir: str):
     """(ABC items, standardized daily counts) of the full history."""
-    _, items, daily = _stock_and_counts(spark, sf_dir, demo.HISTORY_END)
+    _, items, daily = _stock_and_counts(spark, sf_dir)
     return items, features.standardized_daily(daily)
 
 
@@ -238,8 +249,7 @@ def q_items_to_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.items_to_count(items, daily_std, demo.AS_OF_YEAR)
 
 
-def _allocation(spark: SparkSession, sf_dir: str) -> planning.Allocation:
-    items, daily_std = _planning_inputs(spark, sf_dir)
+def _allocate(spark: SparkSession, items: DataFrame, daily_std: DataFrame) -> planning.Allocation:
     todo = planning.items_to_count(items, daily_std, demo.AS_OF_YEAR)
     cap = planning.capacity_map(planning.capacity_by_month(daily_std))
     return planning.allocate(spark, todo, cap, demo.AS_OF_YEAR, demo.AS_OF_MONTH)
@@ -249,14 +259,14 @@ def _allocation(spark: SparkSession, sf_dir: str) -> planning.Allocation:
 def q_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: items placed into planning months under the monthly capacity (greedy with skips)."""
     _prep(spark)
-    return _allocation(spark, sf_dir).allocation
+    return _allocate(spark, *_planning_inputs(spark, sf_dir)).allocation
 
 
 @register("plan_summary")
 def q_plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: per planning month: items placed, pieces placed, capacity."""
     _prep(spark)
-    return _allocation(spark, sf_dir).summary
+    return _allocate(spark, *_planning_inputs(spark, sf_dir)).summary
 
 
 # ------------------------------------------------------------------- forecasting
@@ -271,7 +281,7 @@ def q_last_feature_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fallback(spark: SparkSession, sf_dir: str):
     from cyclecount.learning import models as learning_models
 
-    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.EARLY_HISTORY_END)
+    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.SINCE)
     without = categories.items_without_history(items, counted, moved)
     eligible = items.where(F.col("Lógica_ABC") > 0).join(without, "Código", "left_semi")
     return items, forecasting.fallback_forecast(eligible, list(learning_models.MODEL_NAMES))
@@ -296,7 +306,7 @@ def q_forecast_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ytd(spark: SparkSession, sf_dir: str):
-    raw = demo.counts(spark, sf_dir, history_end=None)
+    raw = demo.counts(spark, sf_dir)
     year, month = validation.latest_year_month(raw)
     return validation.ytd_validation(raw, demo.forecasts(spark, sf_dir), year, month)
 
@@ -321,70 +331,58 @@ def q_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------- learning
 
-# Demo search effort: 3 seeded candidates per model over 2 month folds (the
-# library default is the reference's 50 x 5; see SearchBudget). The fit is kept
-# per (application, sf_dir) so the four learning queries train once.
-DEMO_SEARCH = dict(max_candidates=3, max_splits=2, parallelism=4)
-_FITTED: dict = {}
-
-
-def _fitted(spark: SparkSession, sf_dir: str):
+# Each learning query fits one model at the full search budget (50 candidates x 5 folds; the
+# linear model has two candidates in all). ``scoring.fit`` takes all six.
+def _fitted(spark: SparkSession, feats: DataFrame, model: str):
     from cyclecount.learning import scoring
-    from cyclecount.learning.train import SearchBudget
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _prep(spark)
-        feats = q_features(spark, sf_dir).checkpoint(eager=True)
-        budget = SearchBudget(**DEMO_SEARCH)
-        _FITTED.clear()
-        _FITTED[key] = (feats, scoring.fit(feats, budget))
-    return _FITTED[key]
+    return scoring.fit(feats, names=(model,))
 
 
 @register("model_metrics")
 def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per model MAE, RMSE, R2 on the last year, CV MAE and chosen params."""
+    """MAE, RMSE, R2 on the last year, CV MAE and chosen params of the ridge model."""
     from cyclecount.learning import scoring
 
-    _, fitted = _fitted(spark, sf_dir)
-    return scoring.metrics(spark, fitted)
+    _prep(spark)
+    feats = prefix.written(q_features(spark, sf_dir), "features")
+    return scoring.metrics(spark, _fitted(spark, feats, "Ridge"))
 
 
 @register("feature_importance")
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The top 20 features of each model by importance or coefficient magnitude."""
+    """The top 20 features of the linear model by coefficient magnitude."""
     from cyclecount.learning import scoring
 
-    _, fitted = _fitted(spark, sf_dir)
-    return scoring.importances(spark, fitted)
-
-
-def _eligible_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, _, counted, moved, _ = _history_inputs(spark, sf_dir, demo.HISTORY_END)
-    with_hist = categories.items_with_history(items, counted, moved)
-    return items.where(F.col("Lógica_ABC") > 0).join(with_hist, "Código", "left_semi")
+    _prep(spark)
+    feats = prefix.written(q_features(spark, sf_dir), "features")
+    return scoring.importances(spark, _fitted(spark, feats, "Linear Regression"))
 
 
 @register("ml_forecast")
 def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every trained model on each eligible item's last feature row, clipped at 0."""
+    """The linear model on each eligible item's last feature row, clipped at 0."""
     from cyclecount.learning import scoring
 
-    feats, fitted = _fitted(spark, sf_dir)
-    return scoring.score_items(feats, _eligible_with_history(spark, sf_dir), fitted)
+    _prep(spark)
+    curve, items, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
+    feats = prefix.written(features.build_features(daily, curve, mov_feat, with_hist, items=items), "features")
+    eligible = items.where(F.col("Lógica_ABC") > 0).join(with_hist, "Código", "left_semi")
+    return scoring.score_items(feats, eligible, _fitted(spark, feats, "Linear Regression"))
 
 
 @register("forecast_plan")
 def q_forecast_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model and fallback forecasts of the allocated items, valued, with month and tax."""
+    """Model and fallback forecasts of the allocated items, valued, with month and tax.
+    Every shared stage is computed once."""
     from cyclecount.learning import scoring
 
-    feats, fitted = _fitted(spark, sf_dir)
-    names = scoring.trained_names(fitted)
-    _, items, _, with_hist, _ = _feature_inputs(spark, sf_dir)
-    fc = pipeline.forecasting_inputs(items, with_hist, feats, fitted, names)
-    alloc = _allocation(spark, sf_dir).allocation
+    _prep(spark)
+    curve, items, daily, with_hist, mov_feat = _feature_inputs(spark, sf_dir)
+    feats = prefix.written(features.build_features(daily, curve, mov_feat, with_hist, items=items), "features")
+    fitted = _fitted(spark, feats, "Linear Regression")
+    fc = pipeline.forecasting_inputs(items, with_hist, feats, fitted, scoring.trained_names(fitted))
+    alloc = _allocate(spark, items, features.standardized_daily(daily)).allocation
     return forecasting.forecast_plan(fc, items, alloc)
 
 
@@ -408,7 +406,7 @@ def _numeric_features(df: DataFrame) -> list[str]:
 def q_constant_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric feature columns with a single value (sample std 0)."""
     _prep(spark)
-    f = q_features(spark, sf_dir)
+    f = prefix.written(q_features(spark, sf_dir), "features")
     return stats.constant_features(f, _numeric_features(f))
 
 
@@ -418,7 +416,7 @@ def q_feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cyclecount.learning.train import TARGET, temporal_split
 
     _prep(spark)
-    f = q_features(spark, sf_dir)
+    f = prefix.written(q_features(spark, sf_dir), "features")
     train_rows, _, _ = temporal_split(f)
     out = stats.feature_correlation(train_rows, _numeric_features(f), TARGET, k=30)
     return out.withColumn("corr", F.round("corr", 6))
@@ -485,11 +483,11 @@ def q_parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ytd_detail_wide")
 def q_ytd_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The YTD detail with one column group (forecast, error, |error|, APE) per model."""
-    raw = demo.counts(spark, sf_dir, history_end=None)
+    raw = demo.counts(spark, sf_dir)
     fc = demo.forecasts(spark, sf_dir)
     year, month = validation.latest_year_month(raw)
     detail, _, _ = validation.ytd_validation(raw, fc, year, month)
-    return validation.widen_by_model(detail, validation.model_names(fc))
+    return validation.widen_by_model(detail, sorted(demo.FORECAST_MODELS))
 
 
 @register("features_without_movements")

@@ -3,6 +3,8 @@ the operators' cleaning projections, so codes keep their leading zeros."""
 
 from __future__ import annotations
 
+import functools
+import warnings
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -58,28 +60,28 @@ def read_costs(spark: SparkSession, path: str, fmt: str = "csv", options: dict[s
     )
 
 
-def read_counts(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """S3: several count files stacked by column name; missing or unreadable files skipped.
+def read_counts(spark: SparkSession, paths: list[str], skipped: list[str] | None = None) -> DataFrame | None:
+    """S3: several count files stacked by column name.
 
-    Each file is read on its own because headers may differ between exports;
-    ``unionByName(allowMissingColumns=True)`` aligns them. Returns None when no
-    file could be read.
+    Files with equal headers are read in one scan, so the plan has a branch for each header,
+    not for each file; ``unionByName(allowMissingColumns=True)`` aligns the branches. Missing
+    or unreadable files are skipped with a warning (and named in ``skipped``). A required
+    column that no file has is an error: without ``Status`` or ``NOK`` every row would be
+    dropped, or kept, unseen. Returns None when no file could be read.
     """
-    frames = []
+    by_header: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         try:
-            frames.append(_csv(spark, p, COUNT_FILE_OPTIONS))
-        except AnalysisException:
-            continue
-    if not frames:
+            by_header.setdefault(tuple(_csv(spark, p, COUNT_FILE_OPTIONS).columns), []).append(p)
+        except AnalysisException as e:
+            warnings.warn(f"count file skipped: {p} ({type(e).__name__})", stacklevel=2)
+            if skipped is not None:
+                skipped.append(p)
+    if not by_header:
         return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    for c in COUNT_COLS:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("string"))
-    return out
+    frames = [_csv(spark, files, COUNT_FILE_OPTIONS) for files in by_header.values()]
+    out = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return _require(out, COUNT_COLS, "counts")
 
 
 def read_count_timestamps(spark: SparkSession, path: str) -> DataFrame:
@@ -90,14 +92,21 @@ def read_count_timestamps(spark: SparkSession, path: str) -> DataFrame:
 def read_movements(spark: SparkSession, folder: str, by_file: bool = False) -> DataFrame:
     """Every ``*.csv`` in a folder (``,``, UTF-8), stacked.
 
-    One scan of the whole folder by default; header checking is on, so files whose
+    A folder without such files gives an empty frame with the movement columns. One scan of
+    the whole folder by default; header checking is on, so files whose
     header differs from the first fail loudly. ``by_file=True`` reads file by file
     and aligns by name (for a handful of files with different headers).
     """
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in MOVEMENT_COLS))
     if not by_file:
-        df = spark.read.options(
-            **MOVEMENT_FILE_OPTIONS, inferSchema="false", enforceSchema="false", pathGlobFilter="*.csv"
-        ).csv(folder)
+        try:
+            df = spark.read.options(
+                **MOVEMENT_FILE_OPTIONS, inferSchema="false", enforceSchema="false", pathGlobFilter="*.csv"
+            ).csv(folder)
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" in str(e):
+                return empty
+            raise
         return _require(df, ["CD_ARTICOLO"], "movements").select(
             *[C.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in MOVEMENT_COLS]
         )
@@ -109,7 +118,7 @@ def read_movements(spark: SparkSession, folder: str, by_file: bool = False) -> D
     )
     frames = [_csv(spark, f, MOVEMENT_FILE_OPTIONS) for f in files]
     if not frames:
-        raise ValueError(f"no movement files in {folder}")
+        return empty
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

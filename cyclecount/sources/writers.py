@@ -40,16 +40,16 @@ def write_abc_curve(curve: DataFrame, path: str, fmt: str = "parquet", mode: str
 
 
 def write_counts_daily(daily: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K2: daily count aggregates as Parquet partitioned by year."""
-    daily.repartition("Ano").write.mode(mode).partitionBy("Ano").parquet(path)
+    """K2: daily count aggregates as Parquet partitioned by year; a year's rows are spread by
+    ranges of the item code."""
+    daily.repartitionByRange("Ano", "Código").write.mode(mode).partitionBy("Ano").parquet(path)
 
 
 def model_label(name) -> F.Column:
-    """Path- and sheet-safe model label: ``Prev_`` + name, spaces/dashes -> ``_``, other symbols dropped, 31 chars."""
-    c = F.concat(F.lit("Prev_"), F.substring(F.col(name) if isinstance(name, str) else name, 1, 26))
+    """Path-safe model label: ``Prev_`` + name, spaces/dashes -> ``_``, other symbols dropped."""
+    c = F.concat(F.lit("Prev_"), F.col(name) if isinstance(name, str) else name)
     c = F.regexp_replace(c, "[ -]", "_")
-    c = F.regexp_replace(c, "[^0-9A-Za-z_]", "")
-    return F.substring(c, 1, 31)
+    return F.regexp_replace(c, "[^0-9A-Za-z_]", "")
 
 
 def write_forecast_plan(plan: DataFrame, path: str, mode: str = "overwrite") -> None:

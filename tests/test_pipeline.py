@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cyclecount.learning.train import SearchBudget
+from cyclecount.learning.train import SPACES, SearchBudget
 from cyclecount.plans import demo, pipeline
 from cyclecount.sources import readers
 
@@ -16,7 +16,7 @@ def _csv(df, path, sep, encoding):
 
 def test_forecast_plan_and_validation_from_files(spark, tmp_dir):
     ts = F.to_timestamp(F.col("Atualização"), "d/M/yyyy H:mm")
-    counts = demo.counts(spark, SF, history_end=None)
+    counts = demo.counts(spark, SF)
     _csv(demo.stock(spark, SF).withColumn("Estoqueada", F.col("Estoqueada").cast("string")),
          f"{tmp_dir}/stock", ";", "ISO-8859-1")
     _csv(demo.costs(spark, SF).withColumnRenamed("Mes", "Período"), f"{tmp_dir}/costs", ";", "ISO-8859-1")
@@ -28,8 +28,9 @@ def test_forecast_plan_and_validation_from_files(spark, tmp_dir):
         spark, f"{tmp_dir}/stock", f"{tmp_dir}/costs",
         [f"{tmp_dir}/counts_hist", f"{tmp_dir}/missing", f"{tmp_dir}/counts_now"], f"{tmp_dir}/movements",
     )
+    small = {**SPACES, **{m: {**SPACES[m], "maxIter": ("int", 3, 6)} for m in ("GBT Depthwise", "GBT Subsampled")}}
     res = pipeline.forecast_and_plan(
-        spark, inputs, 2001, 1, budget=SearchBudget(max_candidates=2, max_splits=2, parallelism=2)
+        spark, inputs, 2001, 1, budget=SearchBudget(max_candidates=2, max_splits=2, parallelism=2), spaces=small
     )
     plan = res.forecast_plan.collect()
     assert plan, "some items are placed"
@@ -41,6 +42,8 @@ def test_forecast_plan_and_validation_from_files(spark, tmp_dir):
     pipeline.write_results(res, f"{tmp_dir}/out")
     back = readers.read_forecasts(spark, f"{tmp_dir}/out/forecast_plan")
     assert back.count() == len(plan)
-    detail, metrics, best = pipeline.validate(spark, inputs.counts, back)
+    detail, metrics, best = ytd = pipeline.validate(spark, inputs.counts, back)
+    pipeline.write_results(res, f"{tmp_dir}/out", ytd)
+    assert spark.read.parquet(f"{tmp_dir}/out/ytd/detail").count() == detail.count()
     assert metrics.count() == back.select("Model_Name").distinct().count()
     assert best.count() == 1

@@ -51,7 +51,7 @@ def test_allocation_equals_loop_random(spark):
         cap = {m: rnd.randint(0, 120) for m in range(1, 13)}
         todo = todo_frame(spark, qtys, prios, values)
         rows = [(r[0], r[1], r[2], r[3]) for r in todo.collect()]
-        res = planning.allocate(spark, todo, cap, 2024, 5, rows_per_bucket=15)
+        res = planning.allocate(spark, todo, cap, 2024, 5, chunk_rows=15)
         got = {r["Código"]: (r["Ano_Previsto"], r["Mês_Previsto"]) for r in res.allocation.collect()}
         exp = loop(rows, cap, 2024, 5)
         assert got == exp, case

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cyclecount.functions import columns as C
 from cyclecount.operators import abc, categories, counts, features, movements
 from cyclecount.plans import demo
 
@@ -31,9 +32,10 @@ def test_class_sizes_sum_to_items(curve):
 
 def test_history_sets_partition_the_items(spark, curve):
     items = features.abc_items(curve)
-    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, SF, demo.EARLY_HISTORY_END)))
-    counted = features.standardized_daily(daily)
-    moved = movements.movement_rows(demo.movements(spark, SF, demo.EARLY_HISTORY_END))
+    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, SF)))
+    counted = categories.active_since(features.standardized_daily(daily), demo.SINCE, F.col("Data INV"))
+    moved = movements.movement_rows(demo.movements(spark, SF))
+    moved = categories.active_since(moved, demo.SINCE, C.month_start("Ano", "Mês"))
     w = {r[0] for r in categories.items_with_history(items, counted, moved).collect()}
     wo = {r[0] for r in categories.items_without_history(items, counted, moved).collect()}
     every = {r[0] for r in items.select("Código").collect()}

@@ -1,6 +1,7 @@
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from cyclecount.operators import abc
@@ -30,13 +31,20 @@ def test_stock_and_costs_csv(spark, tmp_dir):
 
 
 def test_counts_from_files_with_different_headers(spark, tmp_dir):
-    write(f"{tmp_dir}/h.csv", "Código;Status;Atualização;Lógica\n12;FECHADO;1/2/2024 3:05;4\n", "latin-1")
+    rest = "Locação;UdE;Compartimento;Status Inventario;Contagem;Física;Quantidade Fisica;Custo"
+    write(f"{tmp_dir}/h.csv", f"Código;Status;Atualização;Lógica;{rest}\n12;FECHADO;1/2/2024 3:05;4;;;;;;;;\n", "latin-1")
     write(f"{tmp_dir}/c.csv", "Status;Código;NOK\nFECHADO;13;\n", "latin-1")
-    df = readers.read_counts(spark, [f"{tmp_dir}/h.csv", f"{tmp_dir}/missing.csv", f"{tmp_dir}/c.csv"])
+    skipped = []
+    with pytest.warns(UserWarning, match="missing.csv"):
+        df = readers.read_counts(spark, [f"{tmp_dir}/h.csv", f"{tmp_dir}/missing.csv", f"{tmp_dir}/c.csv"], skipped)
+    assert skipped == [f"{tmp_dir}/missing.csv"]
+    with pytest.raises(ValueError, match="Locação"):
+        readers.read_counts(spark, [f"{tmp_dir}/c.csv"])
     got = sorted((r["Código"], r["Lógica"]) for r in df.collect())
     assert got == [("12", "4"), ("13", None)]
     assert set(readers.COUNT_COLS) <= set(df.columns)
-    assert readers.read_counts(spark, [f"{tmp_dir}/none.csv"]) is None
+    with pytest.warns(UserWarning):
+        assert readers.read_counts(spark, [f"{tmp_dir}/none.csv"]) is None
     assert readers.read_count_timestamps(spark, f"{tmp_dir}/h.csv").columns == ["Atualização"]
 
 
@@ -50,9 +58,14 @@ def test_movement_folder(spark, tmp_dir):
     assert readers.read_movements(spark, f"{tmp_dir}/mov", by_file=True).count() == 2
 
 
-def test_movement_files_with_different_headers(spark, tmp_dir):
-    import pytest
+def test_empty_movement_folder(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/none")
+    for by_file in (False, True):
+        df = readers.read_movements(spark, f"{tmp_dir}/none", by_file=by_file)
+        assert df.columns == readers.MOVEMENT_COLS and df.count() == 0
+
 
+def test_movement_files_with_different_headers(spark, tmp_dir):
     write(f"{tmp_dir}/mv/a.csv", "Ano,Mes,CD_ARTICOLO,Tipo_Movimento,Qtd_Movimentos,Total_Qtde\n2024,1,1,X,1,3\n",
           "utf-8")
     write(f"{tmp_dir}/mv/b.csv", "CD_ARTICOLO,Ano,Mes,Tipo_Movimento,Total_Qtde\n2,2024,2,Y,4\n", "utf-8")
