@@ -340,6 +340,21 @@ def train_models(
 # --------------------------------------------------------------------- M10, M11
 
 
+def regression_metrics(pred: DataFrame) -> DataFrame:
+    """One row of n, MAE, RMSE and R2 of ``prediction`` against ``label`` (one aggregate);
+    NULL without rows, R2 also for a constant label."""
+    err = F.col("prediction") - F.col("label")
+    agg = pred.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.abs(err)).alias("MAE"),
+        F.sqrt(F.avg(err * err)).alias("RMSE"),
+        F.sum(err * err).alias("_res"),
+        F.var_pop("label").alias("_var"),
+    )
+    total = F.col("_var") * F.col("n")
+    return agg.select("n", "MAE", "RMSE", F.when(total > 0, F.lit(1.0) - F.col("_res") / total).alias("R2"))
+
+
 def evaluate(trained: dict[str, Trained], test: DataFrame | None, names: tuple[str, ...] = MODEL_NAMES) -> list[tuple]:
     """MAE, RMSE, R2 on the test split per model (NULL when not available)."""
     rows = []
@@ -347,19 +362,8 @@ def evaluate(trained: dict[str, Trained], test: DataFrame | None, names: tuple[s
         t = trained.get(name)
         mae = rmse = r2 = None
         if t is not None and t.model is not None and test is not None:
-            p = t.model.transform(test).select("label", "prediction")
-            agg = p.agg(
-                F.count(F.lit(1)).alias("n"),
-                F.avg(F.abs(F.col("prediction") - F.col("label"))).alias("mae"),
-                F.avg((F.col("prediction") - F.col("label")) ** 2).alias("mse"),
-                F.sum((F.col("prediction") - F.col("label")) ** 2).alias("ss_res"),
-                F.variance("label").alias("var"),
-            ).first()
-            if agg["n"]:
-                mae = float(agg["mae"])
-                rmse = math.sqrt(float(agg["mse"]))
-                ss_tot = float(agg["var"] or 0.0) * (agg["n"] - 1)
-                r2 = 1.0 - float(agg["ss_res"]) / ss_tot if ss_tot > 0 else None
+            got = regression_metrics(t.model.transform(test).select("label", "prediction")).first()
+            mae, rmse, r2 = got["MAE"], got["RMSE"], got["R2"]
         cv, error = (None, None) if t is None else (t.cv_mae, t.error)
         rows.append((name, order, mae, rmse, r2, cv, str(t.params if t else {}), error))
     return rows
