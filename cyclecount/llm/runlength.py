@@ -2,9 +2,11 @@
 
 Every ``LENGTH``-byte string of a text is a window. A window's anchor is the least hash of
 the substrings of ``ANCHOR`` bytes in it, so equal windows have equal anchors, and
-neighbouring windows share theirs: a run of them is one stretch of text. Only anchors that
-stand in two documents matter; the stretches around these go to the bucket of the anchor,
-distinct ones of a part of the corpus once, with the smallest key that has them.
+neighbouring windows share theirs: a run of them is one stretch of text. Copies of whole texts
+come first: only the one with the smallest key goes on. Of it, only anchors that stand in two
+texts matter; the stretches around these go to the bucket of the anchor, distinct ones of a
+part of the corpus once, with the smallest key that has them. An anchor with one stretch
+needs no comparison.
 
 A bucket builds the run-length Burrows-Wheeler transform of its distinct stretches. Inside a
 run, the match with the preceding suffix is the one of the position before, less one; so
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,12 +124,13 @@ class RunLengthIndex:
         for i in range(step):
             key = (key << 9) | np.where(left >= i, padded[i : i + n], 0)
         while True:
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             new = np.ones(n, dtype=bool)
             new[1:] = key[order[1:]] != key[order[:-1]]
             rank = np.empty(n, dtype=np.int64)
             rank[order] = np.cumsum(new)
             if step > longest or new.all():
+                order = order if new.all() else np.argsort(rank * n + np.arange(n))
                 break
             after = np.where(left >= step, rank[np.minimum(np.arange(n) + step, n - 1)], 0)
             key = rank * (n + 1) + after
@@ -169,27 +173,39 @@ class RunLengthIndex:
         return smallest[np.cumsum(border) - 1][self.rank]
 
 
-def solve_bucket(strings: list[list[bytes]], keys: list[np.ndarray]) -> list[np.ndarray]:
-    """For each part's stretches (and the smallest key it has for each) the mask of windows
-    that a smaller key has anywhere."""
+def solve_bucket(
+    strings: list[list[bytes]], keys: list[np.ndarray], marks: list[np.ndarray]
+) -> list[np.ndarray]:
+    """For each part's stretches (the smallest key it has for each, and its anchor) the mask
+    of windows that a smaller key has anywhere."""
     number: dict[bytes, int] = {}
     which = [np.array([number.setdefault(s, len(number)) for s in part], dtype=np.int64) for part in strings]
     if not number:
         return [np.zeros(0, dtype=np.uint64) for _ in strings]
     distinct = list(number)
-    smallest = np.full(len(distinct), LAST)
-    for ids, own in zip(which, keys, strict=True):
+    smallest, anchor = np.full(len(distinct), LAST), np.zeros(len(distinct), dtype=np.uint64)
+    for ids, own, mark in zip(which, keys, marks, strict=True):
         np.minimum.at(smallest, ids, own)
-    index = RunLengthIndex(distinct)
-    least = index.least(smallest, LENGTH)
+        anchor[ids] = mark
+    _, at, n = np.unique(anchor, return_inverse=True, return_counts=True)
+    compared = np.flatnonzero(n[at] > 1)
     windows = np.array([len(s) for s in distinct]) - LENGTH + 1
+    # A window's smallest key: its stretch's, or a smaller one among those with its anchor.
+    starts = np.zeros(len(distinct), dtype=np.int64)
+    least = np.zeros(1, dtype=np.int64)
+    if len(compared):
+        index = RunLengthIndex([distinct[i] for i in compared.tolist()])
+        least = index.least(smallest[compared], LENGTH)
+        starts[compared] = index.starts
+    alone = n[at] == 1
     out = []
     for ids, own in zip(which, keys, strict=True):
         mask = np.zeros(len(ids), dtype=np.uint64)
+        single = alone[ids]
         for w in range(WINDOWS):
             has = windows[ids] > w
-            hit = has & (least[index.starts[ids] + np.where(has, w, 0)] < own)
-            mask |= hit.astype(np.uint64) << np.uint64(w)
+            found = np.where(single, smallest[ids], least[starts[ids] + np.where(has & ~single, w, 0)])
+            mask |= (has & (found < own)).astype(np.uint64) << np.uint64(w)
         out.append(mask)
     return out
 
@@ -199,30 +215,36 @@ def solve_bucket(strings: list[list[bytes]], keys: list[np.ndarray]) -> list[np.
 
 class Stretches:
     """The distinct stretches of a part's texts around the wanted anchors, numbered within
-    their bucket by first appearance, with the smallest key that has each."""
+    their bucket by first appearance, with the smallest key that has each and its anchor."""
 
     def __init__(self, wanted: np.ndarray, buckets: int):
         self.wanted, self.buckets = wanted, buckets
         self.numbers: list[dict[bytes, int]] = [{} for _ in range(buckets)]
         self.keys: list[list[int]] = [[] for _ in range(buckets)]
+        self.marks: list[list[int]] = [[] for _ in range(buckets)]
 
-    def of(self, data: bytes) -> Iterator[tuple[int, int, int, bytes]]:
-        """Start, windows, bucket and bytes of each stretch of a text."""
+    def of(self, data: bytes) -> tuple[list[int], list[int], list[int], list[int], list[bytes]]:
+        """Starts, window counts, buckets, anchors and bytes of a text's stretches."""
         found = anchors(data)
         start, size = stretches(found, self.wanted)
-        if len(start):
-            bucket = bucket_of(found[start], self.buckets)
-            for a, n, b in zip(start.tolist(), size.tolist(), bucket.tolist(), strict=True):
-                yield a, n, b, data[a : a + n + LENGTH - 1]
+        if not len(start):
+            return [], [], [], [], []
+        mark = found[start]
+        a, ends = start.tolist(), (start + size + (LENGTH - 1)).tolist()
+        bucket = bucket_of(mark, self.buckets).tolist()
+        return a, size.tolist(), bucket, mark.tolist(), [data[i:j] for i, j in zip(a, ends, strict=True)]
 
     def add(self, key: int, data: bytes) -> None:
-        for _, _, b, s in self.of(data):
-            numbers, keys = self.numbers[b], self.keys[b]
-            i = numbers.setdefault(s, len(numbers))
-            if i == len(keys):
-                keys.append(key)
-            elif key < keys[i]:
-                keys[i] = key
+        _, _, buckets, marks, parts = self.of(data)
+        for b, mark, s in zip(buckets, marks, parts, strict=True):
+            numbers = self.numbers[b]
+            i = numbers.get(s)
+            if i is None:
+                numbers[s] = len(numbers)
+                self.keys[b].append(key)
+                self.marks[b].append(mark)
+            elif key < self.keys[b][i]:
+                self.keys[b][i] = key
 
 
 def cut(data: bytes, gone: np.ndarray) -> tuple[bytes, int, int]:
@@ -239,8 +261,22 @@ def cut(data: bytes, gone: np.ndarray) -> tuple[bytes, int, int]:
     return np.frombuffer(data, dtype=np.uint8)[~covered].tobytes(), int(covered.sum()), spans
 
 
-def _u8(blobs) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, dtype="<u8") for b in blobs]) if len(blobs) else np.zeros(0, dtype="<u8")
+#: A text's digest, key and row in its part.
+COPY = np.dtype([("h", "<u8", (2,)), ("key", "<i8"), ("row", "<u4")])
+
+
+def _blob(values, kind: str) -> bytes:
+    return np.array(values, dtype=kind).tobytes()
+
+
+def _send(part: int, rows: np.ndarray, bucket: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A part's rows as one message a bucket; bucket 0 always, as it tells of the part."""
+    order = np.argsort(bucket, kind="stable")
+    rows, ends = rows[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    sent = [b for b in range(buckets) if b == 0 or ends[b] < ends[b + 1]]
+    blobs = [rows[ends[b] : ends[b + 1]].tobytes() for b in sent]
+    columns = [pa.array(sent, pa.int64()), pa.array([part] * len(sent), pa.int64()), pa.array(blobs, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "part", "blob"])
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -257,69 +293,109 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET))
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keep the part's texts; per bucket, its distinct anchors, the lowest bit telling
-        whether several of its documents have them."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Keep the part's texts; send each text's digest, key and row by bucket."""
         for part, kept in chunks(batches):
             Part(folder, part).write(kept)
-            found = [np.unique(anchors(b.as_buffer().to_pybytes())) for k in kept for b in k.column(2)]
-            hashes, docs_with = np.unique(np.concatenate(found), return_counts=True)
-            packed = (hashes << np.uint64(1)) | (docs_with > 1).astype(np.uint64)
-            ends = np.searchsorted(bucket_of(hashes, buckets), np.arange(buckets + 1))
-            sent = [b for b in range(buckets) if b == 0 or ends[b] < ends[b + 1]]  # 0 always: it tells of the part
-            blobs = [packed[ends[b] : ends[b + 1]].astype("<u8").tobytes() for b in sent]
-            columns = [pa.array(sent, pa.int64()), pa.array([part] * len(sent), pa.int64()), pa.array(blobs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "part", "blob"])
+            digest = b"".join([xxhash.xxh3_128_digest(b.as_buffer()) for k in kept for b in k.column(2)])
+            rows = np.zeros(len(digest) // 16, dtype=COPY)
+            rows["h"] = np.frombuffer(digest, dtype="<u8").reshape(-1, 2)
+            rows["key"] = np.concatenate([k.column(1).to_numpy() for k in kept])
+            rows["row"] = np.arange(len(rows))
+            yield _send(part, rows, (rows["h"][:, 0] % np.uint64(buckets)).astype(np.int64), buckets)
+
+    def copies(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The rows of each part whose whole text a smaller key has."""
+        parts = [np.frombuffer(b, dtype=COPY) for b in pdf["blob"]]
+        rows = np.concatenate(parts)
+        order = np.lexsort((rows["key"], rows["h"][:, 0], rows["h"][:, 1]))
+        h = rows["h"][order]
+        first = np.ones(len(rows), dtype=bool)
+        first[1:] = (h[1:] != h[:-1]).any(axis=1)
+        least = np.empty(len(rows), dtype=np.int64)
+        least[order] = rows["key"][order][np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))]
+        again = least < rows["key"]
+        ends = np.cumsum([0, *map(len, parts)])
+        blobs = [p["row"][again[a:b]].tobytes() for p, a, b in zip(parts, ends[:-1], ends[1:], strict=True)]
+        out = pd.DataFrame({"part": pdf["part"], "kind": -2, "blob": blobs})
+        return out[(out["blob"].map(len) > 0) | (pdf["bucket"] == 0)]
+
+    told = "part long, kind long, blob binary"
+    kept = slim.mapInArrow(keep, "bucket long, part long, blob binary")
+    again = materialize(kept.groupBy("bucket").applyInPandas(copies, told), "repeat-copies")
+
+    def copied(pdf: pd.DataFrame) -> np.ndarray:
+        rows = [np.frombuffer(b, dtype="<u4") for b in pdf.loc[pdf["kind"] == -2, "blob"]]
+        return np.concatenate([np.zeros(0, dtype="<u4"), *rows])
+
+    def texts(part: int, left_out: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """Keys and texts of a part's rows that aren't copies."""
+        row = 0
+        for batch in Part(folder, part).read():
+            orders, bodies = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            out = np.isin(np.arange(row, row + len(orders)), left_out)
+            row += len(orders)
+            for order, body, skip in zip(orders, bodies, out.tolist(), strict=True):
+                if not skip:
+                    yield order, body
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A part's distinct anchors, by bucket, the lowest bit telling whether several of
+        its texts have them."""
+        part = int(pdf["part"].iloc[0])
+        found = [np.unique(anchors(body)) for _, body in texts(part, copied(pdf))]
+        hashes, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]), return_counts=True)
+        packed = (hashes << np.uint64(1)) | (n > 1).astype(np.uint64)
+        return _send(part, packed.astype("<u8"), bucket_of(hashes, buckets), buckets).to_pandas()
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The anchors of each part that several documents have."""
+        """The anchors of each part that several texts have."""
         parts = [np.frombuffer(b, dtype="<u8") for b in pdf["blob"]]
         packed = np.concatenate(parts)
-        hashes, at, n = np.unique(packed >> np.uint64(1), return_inverse=True, return_counts=True)
+        _, at, n = np.unique(packed >> np.uint64(1), return_inverse=True, return_counts=True)
         many = n > 1
         many[at[(packed & np.uint64(1)) == 1]] = True
         twice = many[at]
         ends = np.cumsum([0, *map(len, parts)])
         blobs = [(p[twice[a:b]] >> np.uint64(1)).tobytes() for p, a, b in zip(parts, ends[:-1], ends[1:], strict=True)]
-        out = pd.DataFrame({"part": pdf["part"], "blob": blobs})
-        return out[(out["blob"].map(len) > 0) | (pdf["bucket"] == 0)]
-
-    gathered = slim.mapInArrow(gather, "bucket long, part long, blob binary")
-    dups = materialize(gathered.groupBy("bucket").applyInPandas(shared, "part long, blob binary"), "repeat-anchors")
-
-    def wanted_of(blobs) -> np.ndarray:
-        return np.sort(_u8(blobs))
-
-    def extract(part: int, blobs) -> Stretches:
-        held = Stretches(wanted_of(blobs), buckets)
-        for batch in Part(folder, part).read():
-            for order, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                held.add(order, body)
+        out = pd.DataFrame({"part": pdf["part"], "kind": -1, "blob": blobs})
+        return out[out["blob"].map(len) > 0]
+
+    gathered = again.groupBy("part").applyInPandas(gather, "bucket long, part long, blob binary")
+    dups = materialize(gathered.groupBy("bucket").applyInPandas(shared, told), "repeat-anchors")
+    known = again.unionByName(dups)
+
+    def extract(part: int, pdf: pd.DataFrame) -> Stretches:
+        wanted = [np.frombuffer(b, dtype="<u8") for b in pdf.loc[pdf["kind"] == -1, "blob"]]
+        held = Stretches(np.sort(np.concatenate([np.zeros(0, dtype="<u8"), *wanted])), buckets)
+        for order, body in texts(part, copied(pdf)):
+            held.add(order, body)
         return held
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
         """A part's distinct stretches, by bucket."""
         part = int(pdf["part"].iloc[0])
-        held = extract(part, pdf["blob"])
+        held = extract(part, pdf)
         rows = [
-            (b, part, b"".join(s), np.array([len(x) for x in s], dtype="<u2").tobytes(), np.array(k, dtype="<i8").tobytes())
-            for b, (s, k) in enumerate(zip(held.numbers, held.keys, strict=True))
+            (b, part, b"".join(s), _blob([len(x) for x in s], "<u2"), _blob(k, "<i8"), _blob(m, "<u8"))
+            for b, (s, k, m) in enumerate(zip(held.numbers, held.keys, held.marks, strict=True))
             if s
         ]
-        return pd.DataFrame(rows, columns=["bucket", "part", "strings", "sizes", "keys"])
+        return pd.DataFrame(rows, columns=["bucket", "part", "strings", "sizes", "keys", "marks"])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        strings, keys = [], []
-        for blob, sizes, own in zip(pdf["strings"], pdf["sizes"], pdf["keys"], strict=True):
+        strings = []
+        for blob, sizes in zip(pdf["strings"], pdf["sizes"], strict=True):
             ends = np.cumsum(np.frombuffer(sizes, dtype="<u2").astype(np.int64)).tolist()
             strings.append([blob[a:b] for a, b in zip([0, *ends], ends, strict=False)])
-            keys.append(np.frombuffer(own, dtype="<i8"))
-        masks = [m.astype("<u8").tobytes() for m in solve_bucket(strings, keys)]
-        return pd.DataFrame({"part": pdf["part"], "bucket": pdf["bucket"], "blob": masks})
+        keys = [np.frombuffer(b, dtype="<i8") for b in pdf["keys"]]
+        masks = solve_bucket(strings, keys, [np.frombuffer(b, dtype="<u8") for b in pdf["marks"]])
+        return pd.DataFrame({"part": pdf["part"], "kind": pdf["bucket"], "blob": [_blob(m, "<u8") for m in masks]})
 
-    sent = dups.groupBy("part").applyInPandas(send, "bucket long, part long, strings binary, sizes binary, keys binary")
-    solved = sent.groupBy("bucket").applyInPandas(solve, "part long, bucket long, blob binary")
-    both = dups.select("part", F.lit(-1).cast("long").alias("bucket"), "blob").unionByName(solved)
+    sent = known.groupBy("part").applyInPandas(
+        send, "bucket long, part long, strings binary, sizes binary, keys binary, marks binary"
+    )
+    both = known.unionByName(sent.groupBy("bucket").applyInPandas(solve, told))
 
     key_field = slim.schema["key"]
     longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
@@ -327,23 +403,27 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     if keep_text:
         schema.add("kept", T.BinaryType())
 
-    def finish(told: pa.Table) -> pa.Table:
+    def finish(table_: pa.Table) -> pa.Table:
         """Mark, cut and digest a part's texts."""
-        part = told.column("part")[0].as_py()
-        numbers, blobs = told.column("bucket").to_pylist(), told.column("blob").to_pylist()
-        held = extract(part, [b for n, b in zip(numbers, blobs, strict=True) if n < 0])
-        masks = {n: np.frombuffer(b, dtype="<u8").tolist() for n, b in zip(numbers, blobs, strict=True) if n >= 0}
-        out = []
+        pdf = table_.to_pandas()
+        part = int(pdf["part"].iloc[0])
+        held, left_out = extract(part, pdf), set(copied(pdf).tolist())
+        masks = {n: np.frombuffer(b, dtype="<u8").tolist() for n, b in zip(pdf["kind"], pdf["blob"], strict=True) if n >= 0}
+        out, row = [], 0
         for batch in Part(folder, part).read():
             rows = []
             for order, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 gone = np.zeros(max(0, len(body) - LENGTH + 1), dtype=bool)
-                for a, n, b, s in held.of(body):
-                    i = held.numbers[b][s]
-                    if held.keys[b][i] < order:
-                        gone[a : a + n] = True
-                    elif bits := masks[b][i]:
-                        gone[a : a + n] = [bits >> w & 1 for w in range(n)]
+                if row in left_out:
+                    gone[:] = True
+                else:
+                    for a, n, b, _, s in zip(*held.of(body), strict=True):
+                        i = held.numbers[b][s]
+                        if held.keys[b][i] < order:
+                            gone[a : a + n] = True
+                        elif bits := masks[b][i]:
+                            gone[a : a + n] = [bits >> w & 1 for w in range(n)]
+                row += 1
                 left, removed, spans = cut(body, gone)
                 rows.append((len(body), removed, spans, hashlib.sha256(left).hexdigest(), *([left] if keep_text else [])))
             kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
