@@ -73,10 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir() or current
-    if fallback is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-        fallback = tempfile.mkdtemp(prefix="cyclecount-ckpt-")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
+    fallback = fallback or tempfile.mkdtemp(prefix="cyclecount-ckpt-")
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir() or fallback
 

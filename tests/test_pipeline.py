@@ -43,7 +43,7 @@ def test_forecast_plan_and_validation_from_files(spark, tmp_dir):
     back = readers.read_forecasts(spark, f"{tmp_dir}/out/forecast_plan")
     assert back.count() == len(plan)
     detail, metrics, best = ytd = pipeline.validate(spark, inputs.counts, back)
-    pipeline.write_results(res, f"{tmp_dir}/out", ytd)
-    assert spark.read.parquet(f"{tmp_dir}/out/ytd/detail").count() == detail.count()
+    pipeline.write_results(res, f"{tmp_dir}/again", ytd)
+    assert spark.read.parquet(f"{tmp_dir}/again/ytd/detail").count() == detail.count()
     assert metrics.count() == back.select("Model_Name").distinct().count()
     assert best.count() == 1
