@@ -55,11 +55,14 @@ def _item_window() -> Window:
     return Window.partitionBy("Código").orderBy("_month", "Data INV", TARGET, "Lógica")
 
 
-def time_features(df: DataFrame, lag: int = 12, windows: tuple[int, ...] = (3, 6)) -> DataFrame:
+def time_features(
+    df: DataFrame, lag: int = 12, windows: tuple[int, ...] = (3, 6), by: str = "row"
+) -> DataFrame:
     """W4 + W5 per item, in row order (one row per count date).
 
     Tendencia_Anual: percent change against the row ``lag`` rows back, after
     carrying the last known value forward; division by zero or no such row -> 0.
+    ``by="month"`` compares with the last row of the month ``lag`` months back instead.
     Media_Movel_kM: mean of the up to k previous rows (current row excluded);
     none -> 0. An item has at most one row per day, so every window partition is
     bounded by the calendar, whatever the item's share of the data.
@@ -69,7 +72,13 @@ def time_features(df: DataFrame, lag: int = 12, windows: tuple[int, ...] = (3, 6
     d = df.withColumn("_month", C.month_start("Ano", "Mês")).where(F.col("_month").isNotNull())
     filled = F.last(q, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     d = d.withColumn("_qf", filled)
-    prev = F.lag("_qf", lag).over(w)
+    if by == "month":
+        number = F.year("_month") * 12 + F.month("_month")
+        month = Window.partitionBy("Código").orderBy(number).rangeBetween(-lag, -lag)
+        latest = F.max(F.struct("Data INV", TARGET, "Lógica", "_qf")).over(month)
+        prev = latest.getField("_qf")
+    else:
+        prev = F.lag("_qf", lag).over(w)
     pct = F.try_divide(F.col("_qf").cast("double"), prev.cast("double")) - F.lit(1.0)
     out = d.withColumn("Tendencia_Anual", F.coalesce(C.finite_or_null(pct * F.lit(100.0)), F.lit(0.0)))
     for k in windows:
@@ -80,14 +89,17 @@ def time_features(df: DataFrame, lag: int = 12, windows: tuple[int, ...] = (3, 6
     return out.drop("_month", "_qf")
 
 
-def class_stats(df: DataFrame) -> DataFrame:
+def class_stats(df: DataFrame, before_year: int | None = None) -> DataFrame:
     """G8 + G9: per ABC class mean and sample std of the target; NULL -> global value.
+    ``before_year`` takes them from earlier years only (the training years); a class without
+    rows there keeps its place and has the global values.
 
     The global moments are the sums of the class moments, taken by a window over
     the class table (at most a handful of rows: A, B, C, Unknown). That table is
     then joined back with a broadcast bounded by the class labels.
     """
-    g = df.groupBy("Curva_ABC").agg(*stats.moment_aggs(C.col(TARGET), "_m"))
+    target = C.col(TARGET) if before_year is None else F.when(F.col("Ano") < F.lit(before_year), C.col(TARGET))
+    g = df.groupBy("Curva_ABC").agg(*stats.moment_aggs(target, "_m"))
     every = Window.partitionBy()
     n, s, s2 = F.col("_m_n"), F.col("_m_s"), F.col("_m_s2")
     gn, gs, gs2 = F.sum(n).over(every), F.sum(s).over(every), F.sum(s2).over(every)
@@ -105,18 +117,21 @@ def build_features(
     with_history: DataFrame,
     placeholder_types: tuple[str, ...] = movements.EXPECTED_TYPES,
     items: DataFrame | None = None,
+    stats_before_year: int | None = None,
+    trend_by: str = "row",
 ) -> DataFrame:
     """The feature table for items with history.
 
     daily: counts_daily (13-wide codes); curve: the ABC curve; mov_features: the
     movement feature table (or None); with_history: one-column ``Código`` frame;
+    ``stats_before_year`` and ``trend_by``: see ``class_stats`` and ``time_features``;
     items: ``abc_items(curve)`` when the caller already has it materialized.
     """
     items = abc_items(curve) if items is None else items
     base = with_abc(standardized_daily(daily), items).join(with_history, "Código", "left_semi")
-    tf = time_features(base)
+    tf = time_features(base, by=trend_by)
     # class statistics need only class and target: taken from the rows before the windows
-    tf = tf.join(F.broadcast(class_stats(base)), "Curva_ABC", "left")
+    tf = tf.join(F.broadcast(class_stats(base, stats_before_year)), "Curva_ABC", "left")
     if mov_features is not None:
         mcols = [c for c in mov_features.columns if c not in movements.KEYS]
         mf = mov_features.join(with_history, "Código", "left_semi")

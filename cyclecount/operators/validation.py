@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
+from cyclecount.operators import counts
 
 def latest_year_month(counts_raw: DataFrame, today: _dt.date | None = None) -> tuple[int, int]:
     """(year, month) of the newest parsable count timestamp; else last calendar month."""
@@ -19,12 +20,18 @@ def latest_year_month(counts_raw: DataFrame, today: _dt.date | None = None) -> t
     return (today.year - 1, 12) if today.month == 1 else (today.year, today.month - 1)
 
 
-def actual_ytd(counts_raw: DataFrame, year: int, month: int) -> DataFrame:
+def actual_ytd(counts_raw: DataFrame, year: int, month: int, cleaned: bool = False) -> DataFrame:
     """F6 + G11: counted quantity per item summed over ``year`` months 1..``month``.
 
     As in the validation script, the raw rows are used without the status filter
-    or the last-count pick.
+    or the last-count pick; ``cleaned=True`` takes the closed rows' last counts (C2).
     """
+    if cleaned:
+        last = counts.clean_counts(counts_raw)
+        window = last.where((F.col("Ano") == F.lit(year)) & (F.col("Mês") <= F.lit(month)))
+        return window.groupBy(C.standardize_code("Código").alias("Código")).agg(
+            F.coalesce(F.sum("Quantidade Fisica"), F.lit(0)).cast(C.QTY_TOTAL).alias("Real_YTD")
+        )
     ts = C.parse_minute_ts("Atualização")
     rows = counts_raw.where(
         C.col("Código").isNotNull() & C.col("Atualização").isNotNull() & C.col("Quantidade Fisica").isNotNull()
@@ -138,10 +145,16 @@ def widen_by_model(detail: DataFrame, models: list[str]) -> DataFrame:
 
 
 def ytd_validation(
-    counts_raw: DataFrame, forecasts: DataFrame, year: int, month: int, order: list[str] | None = None
+    counts_raw: DataFrame,
+    forecasts: DataFrame,
+    year: int,
+    month: int,
+    order: list[str] | None = None,
+    cleaned: bool = False,
 ):
-    """(detail, metrics, best) for the year-to-date window; ``order`` settles ties."""
+    """(detail, metrics, best) for the year-to-date window; ``order`` settles ties and
+    ``cleaned`` chooses the actual counts (``actual_ytd``)."""
     models = model_names(forecasts)
-    detail = ytd_detail(actual_ytd(counts_raw, year, month), forecast_ytd(forecasts, year, month), models)
+    detail = ytd_detail(actual_ytd(counts_raw, year, month, cleaned), forecast_ytd(forecasts, year, month), models)
     metrics = ytd_metrics(detail)
     return detail, metrics, best_model(metrics, order)
