@@ -1,22 +1,28 @@
 """Subword ids of whole texts, by the public tokenizers' files.
 
-Words part at single spaces between other characters, so a text's ids are the ids of its
-space-parted pieces, one after another, as long as the tokenizer never joins characters over
-such a space. Both pre-tokenizers used here start a new piece there. A worker keeps the ids
-of pieces it has seen, up to a bounded number; texts with runs of spaces, which some
+Texts part at single spaces between other characters, and Latin words part from a full stop
+or comma after them and from a line's end: the pre-tokenizers used here start new pieces
+there, so a text's ids are the ids of its pieces, one after another. A worker keeps the ids of
+pieces it has seen, up to a bounded number. Texts with runs of spaces, which some
 pre-tokenizers keep together, are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Sequence
 from functools import cache
 
 import numpy as np
 
 #: Pieces whose ids a worker keeps.
-MEMO = 600_000
+MEMO = 1_500_000
+_WORD = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+"
+_LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
+_PLAIN = re.compile(rf" ?{_WORD}")
+_SPLIT = re.compile(rf"( ?{_WORD})([.,]?)(?:(\n)({_WORD})([.,]?))?")
 
 
 class Encoder:
@@ -28,31 +34,56 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        # What the library makes of single letters and of a space before one. A Latin word is
+        # one piece to the pre-tokenizers, so it goes to the model letter by letter.
+        letters = {c: self._prepared(c) for c in _LETTERS}
+        space = self._prepared(" a").removesuffix(letters["a"])
+        self.table = str.maketrans({**letters, " ": space})
+
+    def _prepared(self, text: str) -> str:
+        normalizer = self.tokenizer.normalizer
+        text = normalizer.normalize_str(text) if normalizer else text
+        return "".join(piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    def words(self, pieces: Sequence[str]) -> list[bytes]:
+        """As ``raw``, for single words: Latin ones take the short way to the model."""
+        plain = [_PLAIN.fullmatch(p) is not None for p in pieces]
+        others = iter(self.raw([p for p, short in zip(pieces, plain, strict=True) if not short]))
+        model, table = self.tokenizer.model, self.table
+        return [
+            array("I", [t.id for t in model.tokenize(p.translate(table))]).tobytes() if short else next(others)
+            for p, short in zip(pieces, plain, strict=True)
+        ]
 
     def raw(self, pieces: Sequence[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text; new pieces of all texts are encoded in one call."""
-        parts = [None if t[:1] == " " or t[-1:] == " " or "  " in t else t.replace(" ", "\0 ").split("\0") if "\0" not in t else None for t in texts]
+        """The ids of each text; pieces not seen before are encoded in one call."""
+        parts = [None if t[:1] == " " or t[-1:] == " " or "  " in t or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
         memo = self.memo
-        new = list({p for part in parts if part is not None for p in part if p not in memo})
-        fresh: dict[str, bytes] = {}
+        unseen: set[str] = set()
+        for part in parts:
+            unseen.update(part or ())
+        unseen -= memo.keys()
+        split = {}
+        for piece in unseen:
+            found = _SPLIT.fullmatch(piece)
+            split[piece] = [g for g in found.groups() if g] if found else [piece]
+        new = list({p for pieces in split.values() for p in pieces if p not in memo})
+        room = MEMO - len(memo)
         for at in range(0, len(new), 10_000):
             block = new[at : at + 10_000]
-            fresh.update(zip(block, self.raw(block), strict=True))
-        if len(memo) + len(fresh) <= MEMO:
-            memo.update(fresh)
-            fresh = memo
-        elif fresh:
-            for p in new[: max(0, MEMO - len(memo))]:
-                memo[p] = fresh[p]
-            fresh = {**fresh, **{p: memo[p] for part in parts if part is not None for p in part if p in memo}}
-        else:
-            fresh = memo
+            memo.update(zip(block, self.words(block), strict=True))
+        joined = [p for p, pieces in split.items() if len(pieces) > 1]
+        for p in joined:
+            memo[p] = b"".join([memo[q] for q in split[p]])
         whole = iter(self.raw([t for t, part in zip(texts, parts, strict=True) if part is None]))
-        return [next(whole) if part is None else b"".join([fresh[p] for p in part]) for part in parts]
+        out = [next(whole) if part is None else b"".join([memo[p] for p in part]) for part in parts]
+        for p in [*new, *joined][max(0, room) :]:
+            memo.pop(p, None)
+        return out
 
 
 @cache
