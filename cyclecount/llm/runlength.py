@@ -361,7 +361,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         out = pd.DataFrame({"part": pdf["part"], "kind": -1, "blob": blobs})
         return out[out["blob"].map(len) > 0]
 
-    gathered = again.groupBy("part").applyInPandas(gather, "bucket long, part long, blob binary")
+    n_parts = max(1, again.select("part").distinct().count())
+    gathered = again.repartition(n_parts, "part").groupBy("part").applyInPandas(gather, "bucket long, part long, blob binary")
     dups = materialize(gathered.groupBy("bucket").applyInPandas(shared, told), "repeat-anchors")
     known = again.unionByName(dups)
 
@@ -392,10 +393,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         masks = solve_bucket(strings, keys, [np.frombuffer(b, dtype="<u8") for b in pdf["marks"]])
         return pd.DataFrame({"part": pdf["part"], "kind": pdf["bucket"], "blob": [_blob(m, "<u8") for m in masks]})
 
-    sent = known.groupBy("part").applyInPandas(
+    sent = known.repartition(n_parts, "part").groupBy("part").applyInPandas(
         send, "bucket long, part long, strings binary, sizes binary, keys binary, marks binary"
     )
-    both = known.unionByName(sent.groupBy("bucket").applyInPandas(solve, told))
+    # Given numbers of partitions: the work is in the tasks, not in the bytes they read.
+    solved = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(solve, told)
+    both = known.unionByName(solved).repartition(n_parts, "part")
 
     key_field = slim.schema["key"]
     longs = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
