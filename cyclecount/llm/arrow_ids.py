@@ -188,7 +188,7 @@ def read_ids(manifest: DataFrame, folder: str, key_type: T.DataType, key: str =
                     columns = [docs.column(0), pa.array(starts + row["before"]), docs.column(2), pa.array(crcs)]
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    spread = shards.repartitionByRange("part")
+    spread = shards.repartition(max(1, manifest.count()))  # a shard or so for each task
     return spread.mapInArrow(read, schema)
 
 
