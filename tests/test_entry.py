@@ -24,7 +24,8 @@ def test_oracle_outputs_have_no_decimals():
     import duckdb
 
     con = duckdb.connect()
-    for t in ["lineitem", "part", "orders"]:
+    tables = "lineitem part orders documents embeddings pages benchmark labels conversations".split()
+    for t in tables:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         rel = con.sql(sql)
