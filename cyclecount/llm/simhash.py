@@ -29,7 +29,7 @@ from cyclecount.llm.common import bounded_batches, components, materialize, min_
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 #: The most distinct fingerprints of a leaf, as far as TOP bits can part them.
-LEAF, TOP = 20_000, 14
+LEAF, TOP = 150_000, 14
 
 
 def fingerprint(data: bytes | None, shingle: int = SHINGLE) -> int:
@@ -134,12 +134,12 @@ def _walk(x: np.ndarray, y: np.ndarray, same: bool, budget: int) -> Iterator[tup
     """
 
     def zeros(v: np.ndarray, bit: int) -> np.ndarray:
-        return np.concatenate([[0], np.cumsum(((v >> np.uint64(bit)) & np.uint64(1)) == 0)])
+        return np.concatenate([[0], np.cumsum(((v >> np.uint64(bit)) & np.uint64(1)) == 0)]).astype(np.int32)
 
     def compare(xl, xh, yl, yh):
-        w = (xh - xl) * (yh - yl)
-        for at in range(0, len(w), 50_000):
-            n, lx, ly, hy = (v[at : at + 50_000] for v in (w, xl, yl, yh))
+        w = (xh - xl).astype(np.int64) * (yh - yl)
+        for at in range(0, len(w), 20_000):
+            n, lx, ly, hy = (v[at : at + 20_000] for v in (w, xl, yl, yh))
             own = np.repeat(np.arange(len(n)), n)
             k = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
             width = (hy - ly)[own]
@@ -150,13 +150,12 @@ def _walk(x: np.ndarray, y: np.ndarray, same: bool, budget: int) -> Iterator[tup
             if near.any():
                 yield i[near], j[near]
 
-    one = np.array([0])
-    pairs = [one, np.array([len(x)]), one, np.array([len(y)]), one]
+    pairs = [np.array([v], dtype=np.int32) for v in (0, len(x), 0, len(y))] + [np.zeros(1, dtype=np.int8)]
     for bit in range(63, -1, -1):
         if not len(pairs[0]):
             return
         xl, xh, yl, yh, d = pairs
-        few = (xh - xl) * (yh - yl) <= 64
+        few = (xh - xl).astype(np.int64) * (yh - yl) <= 64
         if few.any():
             yield from compare(xl[few], xh[few], yl[few], yh[few])
             xl, xh, yl, yh, d = (v[~few] for v in pairs)
@@ -168,7 +167,7 @@ def _walk(x: np.ndarray, y: np.ndarray, same: bool, budget: int) -> Iterator[tup
                 keep = (bx > ax) & (by > ay) & (d + (u != v) <= budget)
                 if same:
                     keep &= ax < by  # the mirror image is walked elsewhere
-                kids.append([w[keep] for w in (ax, bx, ay, by, d + (u != v))])
+                kids.append([w[keep] for w in (ax, bx, ay, by, (d + (u != v)).astype(np.int8))])
         pairs = [np.concatenate(c) for c in zip(*kids, strict=True)]
     if len(pairs[0]):
         yield from compare(*pairs[:4])
