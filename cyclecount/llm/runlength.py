@@ -117,27 +117,36 @@ class RunLengthIndex:
 
     @staticmethod
     def _sort(flat: np.ndarray, left: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix order by doubling; suffixes equal up to their end marks stay in place order."""
+        """Suffix order by doubling, only suffixes that still tie being sorted again; suffixes
+        equal up to their end marks stay in place order. Also each suffix's place."""
         n, step = len(flat), 7
         padded = np.concatenate([flat, np.zeros(step, dtype=np.int64)])
         key = np.zeros(n, dtype=np.int64)
         for i in range(step):
             key = (key << 9) | np.where(left >= i, padded[i : i + n], 0)
+        order = np.argsort(key)
+        new = np.ones(n, dtype=bool)  # whether a place's suffix differs from the one before
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        rank = np.empty(n, dtype=np.int64)  # the first place of the suffix's ties
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         while True:
-            order = np.argsort(key)
-            new = np.ones(n, dtype=bool)
-            new[1:] = key[order[1:]] != key[order[:-1]]
-            rank = np.empty(n, dtype=np.int64)
-            rank[order] = np.cumsum(new)
-            if step > longest or new.all():
-                order = order if new.all() else np.argsort(rank * n + np.arange(n))
+            place = np.flatnonzero(~new | ~np.append(new[1:], True))
+            if not len(place):
                 break
-            after = np.where(left >= step, rank[np.minimum(np.arange(n) + step, n - 1)], 0)
-            key = rank * (n + 1) + after
+            tied = order[place]
+            if step > longest:
+                order[place] = tied[np.argsort(rank[tied] * n + tied)]
+                break
+            after = np.where(left[tied] >= step, rank[np.minimum(tied + step, n - 1)] + 1, 0)
+            key = rank[tied] * (n + 1) + after
+            by_key = np.argsort(key)
+            tied, key = tied[by_key], key[by_key]
+            order[place] = tied
+            new[place[1:]] = key[1:] != key[:-1]
+            rank[tied] = np.maximum.accumulate(np.where(new[place], place, 0))
             step *= 2
-        place = np.empty(n, dtype=np.int64)
-        place[order] = np.arange(n)
-        return order, place
+        rank[order] = np.arange(n)
+        return order, rank
 
     def matches(self) -> np.ndarray:
         """For each text position, the bytes its suffix shares with the preceding suffix.
