@@ -206,16 +206,15 @@ def solve_bucket(
         index = RunLengthIndex([distinct[i] for i in compared.tolist()])
         least = index.least(smallest[compared], LENGTH)
         starts[compared] = index.starts
-    alone = n[at] == 1
+    alone, w = (n[at] == 1)[:, None], np.arange(WINDOWS)
+    has = windows[:, None] > w
+    found = np.where(alone, smallest[:, None], least[starts[:, None] + np.where(has & ~alone, w, 0)])
+    found[~has] = LAST
     out = []
     for ids, own in zip(which, keys, strict=True):
-        mask = np.zeros(len(ids), dtype=np.uint64)
-        single = alone[ids]
-        for w in range(WINDOWS):
-            has = windows[ids] > w
-            found = np.where(single, smallest[ids], least[starts[ids] + np.where(has & ~single, w, 0)])
-            mask |= (has & (found < own)).astype(np.uint64) << np.uint64(w)
-        out.append(mask)
+        bits = np.zeros((len(ids), 64), dtype=bool)
+        bits[:, :WINDOWS] = found[ids] < own[:, None]
+        out.append(np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel())
     return out
 
 
