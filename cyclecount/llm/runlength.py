@@ -242,17 +242,21 @@ class Stretches:
         bucket = bucket_of(mark, self.buckets).tolist()
         return a, size.tolist(), bucket, mark.tolist(), [data[i:j] for i, j in zip(a, ends, strict=True)]
 
-    def add(self, key: int, data: bytes) -> None:
-        _, _, buckets, marks, parts = self.of(data)
+    def add(self, key: int, data: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Take in a text's stretches: their starts, window counts, buckets and numbers."""
+        starts, counts, buckets, marks, parts = self.of(data)
+        found = []
         for b, mark, s in zip(buckets, marks, parts, strict=True):
             numbers = self.numbers[b]
             i = numbers.get(s)
             if i is None:
-                numbers[s] = len(numbers)
+                i = numbers[s] = len(numbers)
                 self.keys[b].append(key)
                 self.marks[b].append(mark)
             elif key < self.keys[b][i]:
                 self.keys[b][i] = key
+            found.append(i)
+        return starts, counts, buckets, found
 
 
 def cut(data: bytes, gone: np.ndarray) -> tuple[bytes, int, int]:
@@ -374,17 +378,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     dups = materialize(gathered.groupBy("bucket").applyInPandas(shared, told), "repeat-anchors")
     known = again.unionByName(dups)
 
-    def extract(part: int, pdf: pd.DataFrame) -> Stretches:
+    def extract(part: int, pdf: pd.DataFrame) -> tuple[Stretches, list[tuple]]:
+        """A part's stretches, and those of each of its texts that isn't a copy."""
         wanted = [np.frombuffer(b, dtype="<u8") for b in pdf.loc[pdf["kind"] == -1, "blob"]]
         held = Stretches(np.sort(np.concatenate([np.zeros(0, dtype="<u8"), *wanted])), buckets)
-        for order, body in texts(part, copied(pdf)):
-            held.add(order, body)
-        return held
+        return held, [held.add(order, body) for order, body in texts(part, copied(pdf))]
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
         """A part's distinct stretches, by bucket."""
         part = int(pdf["part"].iloc[0])
-        held = extract(part, pdf)
+        held, _ = extract(part, pdf)
         rows = [
             (b, part, b"".join(s), _blob([len(x) for x in s], "<u2"), _blob(k, "<i8"), _blob(m, "<u8"))
             for b, (s, k, m) in enumerate(zip(held.numbers, held.keys, held.marks, strict=True))
@@ -418,7 +421,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         """Mark, cut and digest a part's texts."""
         pdf = table_.to_pandas()
         part = int(pdf["part"].iloc[0])
-        held, left_out = extract(part, pdf), set(copied(pdf).tolist())
+        (held, found), left_out = extract(part, pdf), set(copied(pdf).tolist())
+        each = iter(found)
         masks = {n: np.frombuffer(b, dtype="<u8").tolist() for n, b in zip(pdf["kind"], pdf["blob"], strict=True) if n >= 0}
         out, row = [], 0
         for batch in Part(folder, part).read():
@@ -428,8 +432,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
                 if row in left_out:
                     gone[:] = True
                 else:
-                    for a, n, b, _, s in zip(*held.of(body), strict=True):
-                        i = held.numbers[b][s]
+                    for a, n, b, i in zip(*next(each), strict=True):
                         if held.keys[b][i] < order:
                             gone[a : a + n] = True
                         elif bits := masks[b][i]:
