@@ -3,9 +3,9 @@
 Texts become token pieces of at most ``room`` tokens. Full pieces are sequences of their own.
 For the rest only the count of pieces by length matters, a table of at most ``room`` rows;
 ``solve`` packs these counts: it takes the largest length left, enumerates undominated
-fillings of the space beside it, least waste first, uses a filling as often as the counts
-allow, prunes by the waste that still beats the incumbent, and takes best-fit solutions of
-what is left as incumbents. The plan gives each length's pieces, by rank, their sequence and
+fillings of the space beside it by any number of pieces, least waste first, uses a filling as
+often as the counts allow (then half as often, and once), prunes by the waste that still beats
+the incumbent, and takes best-fit solutions of what is left as incumbents. The plan gives each length's pieces, by rank, their sequence and
 place. Ranks come from the pieces' order within a written part and the parts' counts by
 length, so no length's pieces ever meet in one task.
 
@@ -17,8 +17,10 @@ columns are not read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -69,35 +71,57 @@ def best_fit(counts: np.ndarray, room: int) -> list[tuple[Pattern, int]]:
 
 
 def _fillings(counts: np.ndarray, space: int, top: int) -> list[tuple[int, Pattern]]:
-    """Undominated fillings of ``space`` by lengths up to ``top``, least waste first.
+    """Undominated fillings of ``space`` by lengths up to ``top``, least waste first, at most
+    FILLINGS of them.
 
-    A single piece that fills the space dominates all. Else, for each first length only the
-    largest second that fits, and for each such pair only the largest third, are not
-    dominated by another choice with the same start."""
+    A single piece that fills the space dominates all, and a filling that leaves room for one
+    more piece is dominated. The sums that the lengths up to each one reach, as bits of a
+    number, lead to every filling without a dead end; those with larger pieces come first."""
     if space <= 0:
         return [(0, ())]
     if space <= top and counts[space]:
         return [(0, (space,))]
-    have = np.flatnonzero(counts[: min(space, top) + 1])
-    if not len(have):
+    lengths = np.flatnonzero(counts[: min(space, top) + 1]).tolist()
+    if not lengths:
         return [(space, ())]
-    below = np.zeros(space + 1, dtype=np.int64)  # the largest length up to each space
-    below[have] = have
-    below = np.maximum.accumulate(below)
-    a = have[::-1]
-    b = below[np.minimum(space - a, a)]
-    b = np.where((b == a) & (counts[a] < 2), below[np.maximum(a - 1, 0)] * (a <= space - a) + b * (a > space - a), b)
-    left = space - a - b
-    c = np.where(b > 0, below[np.minimum(left, b)], 0)
-    used = 1 + (b == a) * 1
-    c = np.where((c == b) & (c > 0) & (counts[np.where(c > 0, c, 0)] <= np.where(b == a, used, 1)), 0, c)
-    waste = left - c
-    out = []
-    for i in np.lexsort((-a, waste))[: FILLINGS * 2].tolist():
-        fill = tuple(int(x) for x in (a[i], b[i], c[i]) if x)
-        if all(counts[x] >= fill.count(x) for x in set(fill)):
-            out.append((int(space - sum(fill)), fill))
-    return out[:FILLINGS] or [(space - int(a[0]), (int(a[0]),))]
+    most = {x: min(int(counts[x]), space // x) for x in lengths}
+    reach, limit = 1, (1 << space + 1) - 1
+    stages = [reach]
+    for x in lengths:
+        n, step = most[x], 1
+        while n:
+            step = min(step, n)
+            reach |= reach << step * x
+            n -= step
+            step *= 2
+        reach &= limit
+        stages.append(reach)
+
+    def of_sum(total: int, i: int) -> Iterator[Pattern]:
+        """Fillings by the ``i`` smallest lengths that sum to ``total``, which they reach."""
+        if not total:
+            yield ()
+        while total and (i := min(i, bisect_right(lengths, total))):
+            x, i = lengths[i - 1], i - 1
+            for k in range(min(most[x], total // x), 0, -1):
+                if stages[i] >> total - k * x & 1:
+                    for rest in of_sum(total - k * x, i):
+                        yield (x,) * k + rest
+            if not stages[i] >> total & 1:
+                return
+
+    out: list[tuple[int, Pattern]] = []
+    for total in range(reach.bit_length() - 1, -1, -1):
+        if not reach >> total & 1:
+            continue
+        waste = space - total
+        more = [x for x in lengths if x <= waste]
+        for fill in islice(of_sum(total, len(lengths)), FILLINGS):
+            if all(fill.count(x) == counts[x] for x in more):
+                out.append((waste, fill))
+        if len(out) >= FILLINGS or sum(x * int(counts[x]) for x in more) > total:
+            break  # these pieces would all have to be in, so every smaller sum leaves room for one
+    return out[:FILLINGS]
 
 
 def solve(counts: np.ndarray, room: int = ROOM, nodes: int = NODES) -> list[tuple[Pattern, int]]:
@@ -108,22 +132,27 @@ def solve(counts: np.ndarray, room: int = ROOM, nodes: int = NODES) -> list[tupl
     best = best_fit(counts, room)
     bins = sum(n for _, n in best)
     least = max(-(-total // room), int(counts[room // 2 + 1 :].sum()))
-    stack: list[tuple[np.ndarray, list, int, int]] = [(counts, [], 0, 0)]
+    # What is left before a step, the steps so far (the last one first), and the step to take.
+    stack: list[tuple] = [(counts, (), (), 0, 0, 0)]
     while stack and bins > least and nodes > 0:
         nodes -= 1
-        left, plan, used, waste = stack.pop()
+        left, plan, pattern, times, used, waste = stack.pop()
         if waste > (bins - 1) * room - total:
             continue
+        if times:
+            left, plan = left.copy(), (plan, (pattern, times))
+            for x in pattern:
+                left[x] -= times
         there = np.flatnonzero(left)
         if not len(there):
             if used < bins:
-                best, bins = plan, used
+                best, bins = _steps(plan), used
             continue
         if nodes % 40 == 0:
             rest = best_fit(left, room)
             n = sum(k for _, k in rest)
             if used + n < bins:
-                best, bins = plan + rest, used + n
+                best, bins = _steps(plan) + rest, used + n
         top = int(there[-1])
         left[top] -= 1
         found = _fillings(left, room - top, top)
@@ -131,17 +160,20 @@ def solve(counts: np.ndarray, room: int = ROOM, nodes: int = NODES) -> list[tupl
         for lost, fill in reversed(found):
             pattern = (top, *fill)
             times = min(int(left[x]) // pattern.count(x) for x in set(pattern))
-            if not times:
-                continue
-            after = left.copy()
-            for x in pattern:
-                after[x] -= times
-            stack.append((after, [*plan, (pattern, times)], used + times, waste + lost * times))
-        if len(stack) > 2000:
-            stack = stack[-1000:]
+            # A filling by at most one piece that dominates all others needs no other number of times.
+            for n in [times] if len(found) == 1 and len(fill) < 2 else sorted({1, max(1, times // 2), times}):
+                stack.append((left, plan, pattern, n, used + n, waste + lost * n))
     return best
 
 
+def _steps(plan: tuple) -> list[tuple[Pattern, int]]:
+    out = []
+    while plan:
+        plan, step = plan
+        out.append(step)
+    return out[::-1]
+
+
 def places(plan: list[tuple[Pattern, int]]) -> pd.DataFrame:
     """The plan by length: pieces of ``length`` with rank in [low, high) go, ``each`` to a
     sequence, to sequences from ``first`` on, from ``at`` on within it."""

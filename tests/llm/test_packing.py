@@ -95,3 +95,22 @@ def test_pieces_are_whole_and_gapless(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_solve_fills_with_any_number_of_pieces():
+    counts = np.zeros(1024, dtype=np.int64)
+    counts[180], counts[152] = 1000, 500  # 4 * 180 + 2 * 152 = 1024
+    plan = packing.solve(counts, 1024)
+    check_plan(counts, 1024, plan)
+    assert sum(t for _, t in plan) == 250
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=12), st.integers(1, 24))
+def test_fillings_start_with_the_least_waste(sizes, space):
+    counts = np.bincount(sizes, minlength=30)
+    got = packing._fillings(counts, space, 29)
+    sums = {sum(c) for k in range(len(sizes) + 1) for c in itertools.combinations(sizes, k)}
+    assert got[0][0] == min(space - x for x in sums if x <= space)
+    for waste, fill in got:
+        assert sum(fill) == space - waste and all(fill.count(x) <= counts[x] for x in fill)
