@@ -3,8 +3,9 @@
 Texts part at single spaces between other characters, and Latin words part from a full stop
 or comma after them and from a line's end: the pre-tokenizers used here start new pieces
 there, so a text's ids are the ids of its pieces, one after another. A worker keeps the ids of
-pieces it has seen, up to a bounded number. Texts with runs of spaces, which some
-pre-tokenizers keep together, are encoded whole.
+pieces it has seen, up to a bounded number. Texts where a space follows white space other than
+a line feed are encoded whole: some pre-tokenizers keep such runs together, and some tokens
+span them.
 """
 
 from __future__ import annotations
@@ -23,6 +24,14 @@ _WORD = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+"
 _LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
 _PLAIN = re.compile(rf" ?{_WORD}")
 _SPLIT = re.compile(rf"( ?{_WORD})([.,]?)(?:(\n)({_WORD})([.,]?))?")
+#: White space but the space and the line feed; where a space follows white space.
+_ODD = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+_RUN = re.compile(r"[^\S\n] ")
+
+
+def _together(text: str) -> bool:
+    """Whether a space in the text may share a token with what stands before it."""
+    return "  " in text or any(c in text for c in _ODD) and _RUN.search(text) is not None
 
 
 class Encoder:
@@ -61,7 +70,7 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text; pieces not seen before are encoded in one call."""
-        parts = [None if t[:1] == " " or t[-1:] == " " or "  " in t or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
+        parts = [None if t[:1] == " " or t[-1:] == " " or "\0" in t or _together(t) else t.replace(" ", "\0 ").split("\0") for t in texts]
         memo = self.memo
         unseen: set[str] = set()
         for part in parts:

@@ -28,3 +28,18 @@ def test_pieces_equal_whole_texts(name, memo, monkeypatch):
 def test_every_latin_letter(name):
     words = [a + c + b for c in tokens._LETTERS for a in ("", " ", "x") for b in ("", "y")]
     assert ENCODERS[name].words(words) == ENCODERS[name].raw(words)
+
+
+@pytest.mark.parametrize("name", list(ENCODERS))
+def test_spaces_among_other_white_space(name):
+    encoder = ENCODERS[name]
+    texts = ["foo \u00a0 \u00a0 \u00a0bar", "foo \u00a0 \u00a0\nbar", "a \u00a0 \u00a0 \u00a0 \u00a0 b", "\u00a0 \u00a0 a"]
+    assert encoder.encode(texts) == encoder.raw(texts)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.sampled_from(["a", "b c", " ", "\n", *tokens._ODD, *["\u00a0", " \u00a0"] * 9]), max_size=20).map("".join))
+    def equal(text):
+        assert encoder.encode([text]) == encoder.raw([text])
+
+    equal()
+    encoder.memo.clear()
