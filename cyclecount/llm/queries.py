@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, iblt, knn, lm, mixing, packing, quality, runlength, secrets, simhash
+from cyclecount.llm import arrow_ids, iblt, knn, lattice, lm, mixing, packing, quality, runlength, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,9 +15,11 @@ REGISTRY = {
     "op8_repeated_passages": runlength.op8_repeated_passages,
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_top_k": knn.op10_top_k,
+    "op11_filter_audit": lattice.op11_filter_audit,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op10_top_k": knn.OP10_SQL,
+    "op11_filter_audit": lattice.OP11_SQL,
 }
