@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, iblt, knn, lattice, lm, mixing, packing, quality, runlength, secrets, simhash
+from cyclecount.llm import arrow_ids, iblt, knn, lattice, lm, merkle, mixing, packing, quality, runlength, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -16,10 +16,12 @@ REGISTRY = {
     "op9_pack_sequences": packing.op9_pack_sequences,
     "op10_top_k": knn.op10_top_k,
     "op11_filter_audit": lattice.op11_filter_audit,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op10_top_k": knn.OP10_SQL,
     "op11_filter_audit": lattice.OP11_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
 }
