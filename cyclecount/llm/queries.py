@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cyclecount.llm import arrow_ids, iblt, knn, lattice, lm, merkle, mixing, packing, quality, runlength, secrets, simhash
+from cyclecount.llm import arrow_ids, iblt, knn, lattice, lm, merkle, mixing, packing, projections, quality, runlength, secrets, simhash
 
 REGISTRY = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -17,6 +17,7 @@ REGISTRY = {
     "op10_top_k": knn.op10_top_k,
     "op11_filter_audit": lattice.op11_filter_audit,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_nearest_vectors": projections.op13_nearest_vectors,
 }
 
 ORACLE = {
