@@ -88,7 +88,7 @@ def _placed(leaves: DataFrame, width: int, fanout: int) -> tuple[DataFrame, int,
     Rows are dealt by ranges of the whole order, so a group with a third of the rows, or a row
     repeated that often, is split."""
     order = ["_group", "_key", "_leaf", "_tie"]
-    dealt = leaves.withColumn("_tie", F.monotonically_increasing_id())
+    dealt = materialize(leaves, "digests").withColumn("_tie", F.monotonically_increasing_id())
     dealt = dealt.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order])
     dealt = materialize(dealt.withColumn("_range", F.spark_partition_id()), "leaves")
     per = dealt.groupBy("_group", "_range").agg(F.count("*").alias("_n"))  # one row a group and range
@@ -220,11 +220,12 @@ def manifest(
             at = F.floor(at / F.lit(fanout)).cast("int")
         return F.concat(*steps)
 
+    upper = state.select(
+        F.col("s").alias("_s"), F.col("p").alias("_p"), "subroot", F.col("node").alias("root"), F.col("proof").alias("upper")
+    )
+    met = blocks.drop("reach").join(upper, (F.col("_s") == F.col("s")) & (F.col("_p") == F.col("p")))
     found = F.transform("rows", lambda r, i: F.struct(r.alias("row"), local_proof(i).alias("proof")))
-    whole = blocks.select(F.col("s").alias("_s"), F.col("p").alias("_p"), "_group", found.alias("found"))
-    upper = state.select("s", "p", "subroot", F.col("node").alias("root"), F.col("proof").alias("upper"))
-    met = whole.join(upper, (F.col("_s") == F.col("s")) & (F.col("_p") == F.col("p")))
-    met = met.select("_group", "subroot", "root", "upper", F.explode("found").alias("f"))
+    met = met.select("_group", "subroot", "root", "upper", F.explode(found).alias("f"))
     return met.select(
         F.col("f.row._key").alias(key), F.col("_group").alias(group), F.col("f.row.pos").alias("position"),
         F.col("f.row._leaf").alias("leaf"), "subroot", "root", F.concat("f.proof", "upper").alias("proof"),
