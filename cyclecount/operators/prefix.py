@@ -58,10 +58,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_ranges(df: DataFrame, order: list[SortKey | tuple[str, bool] | str]) -> DataFrame:
-    """Add ``_pfx_range``: the number of the row's range of the total order, ascending. The
-    result is written once."""
-    dealt = df.repartitionByRange(*sort_columns(_keys(order)))
+def with_ranges(
+    df: DataFrame, order: list[SortKey | tuple[str, bool] | str], n_ranges: int | None = None
+) -> DataFrame:
+    """Add ``_pfx_range``: the number of the row's range of the total order, ascending, of
+    ``n_ranges`` (else as many as shuffle partitions). The result is written once."""
+    columns = sort_columns(_keys(order))
+    dealt = df.repartitionByRange(n_ranges, *columns) if n_ranges else df.repartitionByRange(*columns)
     return written(dealt.withColumn(BUCKET, F.spark_partition_id()), "ranges")
 
 
