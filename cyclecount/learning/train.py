@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclecount.functions import columns as C
+from cyclecount.learning import gram
 from cyclecount.learning.models import MODEL_NAMES
 
 TARGET = "Quantidade Fisica"
@@ -152,21 +153,6 @@ def _linear(params):
     )
 
 
-def _ridge(params, n_rows, label_sd):
-    alpha = float(params["alpha"])
-    return LinearRegression(
-        featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False,
-        regParam=alpha * label_sd / max(1, n_rows), maxIter=int(params.get("maxIter", 1000)),
-    )
-
-
-def _lasso(params):
-    return LinearRegression(
-        featuresCol="features", labelCol="label", elasticNetParam=1.0, standardization=False,
-        regParam=float(params["alpha"]), maxIter=int(params.get("maxIter", 1000)),
-    )
-
-
 def _tree(params, seed):
     return DecisionTreeRegressor(featuresCol="features", labelCol="label", maxDepth=int(params["maxDepth"]), seed=seed)
 
@@ -269,11 +255,12 @@ class Trained:
     error: str | None = None
 
 
-def _builder(name: str, n_rows: int, label_sd: float, seed: int) -> Callable[[dict], Any]:
+#: Models that are searched from sums by month.
+LINEAR = ("Linear Regression", "Ridge", "Lasso")
+
+
+def _builder(name: str, seed: int) -> Callable[[dict], Any]:
     return {
-        "Linear Regression": lambda p: _linear(p),
-        "Ridge": lambda p: _ridge(p, n_rows, label_sd),
-        "Lasso": lambda p: _lasso(p),
         "Decision Tree": lambda p: _tree(p, seed),
         "GBT Depthwise": lambda p: _gbt_depthwise(p, seed),
         "GBT Subsampled": lambda p: _gbt_subsampled(p, seed),
@@ -292,20 +279,30 @@ def train_models(
     split. A failing model is reported with no model and its error (M10 gives it null metrics).
     """
     design = design.select("features", "label", "Ano", "Mês").persist(StorageLevel.MEMORY_AND_DISK)
-    stats = design.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
-    n_rows = int(stats["n"])
-    label_sd = float(stats["sd"] or 0.0)
+    n_rows = design.count()
     n_splits = min(budget.max_splits, max(2, n_rows // 2))
     folds = month_folds(design, n_splits)
     key = F.col("Ano") * 12 + F.col("Mês")
     rng = np.random.default_rng(budget.seed)
+    n_iter = min(budget.max_candidates, max(2, n_rows // max(1, len(folds) or 1)))
+    candidates = {name: sample_candidates((spaces or SPACES)[name], n_iter, rng) for name in names}
     results: dict[str, Trained] = {}
     pool = ThreadPoolExecutor(max_workers=max(1, budget.parallelism))
     try:
+        linear = [name for name in names if name in LINEAR]
+        if linear:
+            try:
+                found = gram.search(design, {name: candidates[name] for name in linear}, folds)
+                for name in linear:
+                    i, score = found.best(name)
+                    cv = None if math.isnan(score) or math.isinf(score) else score
+                    results[name] = Trained(name, found.final[name][i], candidates[name][i], cv)
+            except Exception as e:  # noqa: BLE001 - a failed model gets null metrics, as in the reference
+                results |= {name: Trained(name, None, {}, None, f"{type(e).__name__}: {e}"[:500]) for name in linear}
         for name in names:
-            build = _builder(name, n_rows, label_sd, budget.seed)
-            n_iter = min(budget.max_candidates, max(2, n_rows // max(1, len(folds) or 1)))
-            cands = sample_candidates((spaces or SPACES)[name], n_iter, rng)
+            if name in LINEAR:
+                continue
+            build, cands = _builder(name, budget.seed), candidates[name]
             jobs: dict = {}
             try:
                 def score(params, fold, build=build):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
 from cyclecount.learning import models as learning_models
-from cyclecount.learning import train
+from cyclecount.learning import gram, train
 from cyclecount.operators import abc, categories, counts, features, forecasting, movements, stats, validation
 from cyclecount.plans import demo
 from cyclecount.plans import queries as Q
@@ -235,3 +235,62 @@ def q_linear_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
         F.round(F.lit(float(model.intercept)), 4).alias("intercept"),
     )
+
+
+#: Fixed penalties of the two queries below; their SQL twins repeat them.
+SEARCH_CANDIDATES = {
+    "Linear Regression": [{"fitIntercept": True}, {"fitIntercept": False}],
+    "Ridge": [{"alpha": a} for a in (1.0, 1000.0, 100000.0)],
+    "Lasso": [{"alpha": a} for a in (0.01, 0.5, 5.0)],
+}
+PATH_ALPHAS = (20.0, 5.0, 0.1, 0.02, 0.001)
+
+
+def _price_design(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line price (thousands) by quantity and discount (percent), with the month shipped."""
+    rows = _line_rows(spark, sf_dir).select(
+        F.year("l_shipdate").alias("Ano"),
+        F.month("l_shipdate").alias("Mês"),
+        "l_quantity",
+        F.round(F.col("l_discount") * 100).alias("pct"),
+        (F.col("l_extendedprice") / 1000.0).alias("label"),
+    )
+    return VectorAssembler(inputCols=["l_quantity", "pct"], outputCol="features").transform(rows)
+
+
+@register("linear_search")
+def q_linear_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + M8 + M9: every linear, ridge and lasso candidate on every time fold, fitted from sums
+    by month, with its coefficients, its error on the fold (rounded to 1e-6) and the choice."""
+    design = _price_design(spark, sf_dir)
+    folds = train.month_folds(design, 5)
+    found = gram.search(design, SEARCH_CANDIDATES, folds)
+    rows = []
+    for kind, candidates in SEARCH_CANDIDATES.items():
+        best = found.best(kind)[0]
+        for i, c in enumerate(candidates):
+            for j, fold in enumerate(found.fits[kind]):
+                w = fold[i].coefficients
+                mae = float(found.maes[kind][j][i])
+                rows.append((kind, i, j, float(w[0]), float(w[1]), fold[i].intercept, mae, i == best))
+    schema = "model string, candidate int, fold int, w_quantity double, w_discount double, intercept double, mae double, chosen boolean"
+    out = spark.createDataFrame(rows, schema)
+    return out.withColumns({c: F.round(c, 6) + 0.0 for c in ("w_quantity", "w_discount", "intercept", "mae")})
+
+
+@register("lasso_path")
+def q_lasso_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: the lasso's path over all months, with each feature's covariance with what the fit
+    leaves, which the optimum keeps within the penalty and at it for features in use."""
+    _, sums = gram.month_sums(_price_design(spark, sf_dir))
+    whole = sums.sum(0)
+    n, _, _, xx, xy, _ = gram._centred(whole)
+    rows = []
+    for alpha, fit in zip(PATH_ALPHAS, gram.solve(whole, "Lasso", [{"alpha": a} for a in PATH_ALPHAS]), strict=True):
+        w = fit.coefficients.toArray()
+        left = (xy - xx @ w) / n
+        for name, value, cov in zip(("l_quantity", "pct"), w.tolist(), left.tolist(), strict=True):
+            optimal = abs(cov) <= alpha * (1 + 1e-9) if value == 0 else abs(cov - alpha * (1 if value > 0 else -1)) <= 1e-9 * max(1, alpha)
+            rows.append((alpha, name, value, cov, optimal))
+    out = spark.createDataFrame(rows, "alpha double, feature string, weight double, covariance double, optimal boolean")
+    return out.withColumns({c: F.round(c, 6) + 0.0 for c in ("weight", "covariance")})

@@ -15,7 +15,66 @@ _EXPORT = ", ".join(
     ]
 )
 
+# Two features: least squares and ridge by Cramer's rule, lasso as the best of the nine sign
+# patterns of two weights.
+_PRICE = """
+r AS (SELECT year(l_shipdate) * 12 + month(l_shipdate) AS k, l_quantity::DOUBLE AS a, round(l_discount * 100)::DOUBLE AS b,
+             l_extendedprice / 1000.0::DOUBLE AS y FROM lineitem)"""
+_CENTRED = """
+c AS (SELECT *, sa / n AS ma, sb / n AS mb, sy / n AS my, saa - sa * sa / n AS aa, sbb - sb * sb / n AS bb, sab - sa * sb / n AS ab,
+             say - sa * sy / n AS ay, sby - sb * sy / n AS byy FROM s)"""
+_SUMS = """count(*)::DOUBLE AS n, sum(a) AS sa, sum(b) AS sb, sum(y) AS sy, sum(a * a) AS saa, sum(b * b) AS sbb, sum(a * b) AS sab,
+             sum(a * y) AS say, sum(b * y) AS sby"""
+_LASSO = """
+signs AS (SELECT p, q FROM (SELECT unnest([-1, 0, 1]) AS p), (SELECT unnest([-1, 0, 1]) AS q)),
+tries AS (
+  SELECT l.*, p, q,
+         CASE WHEN p = 0 THEN 0.0::DOUBLE WHEN q = 0 THEN (ay - n * alpha * p) / aa
+              ELSE ((ay - n * alpha * p) * bb - (byy - n * alpha * q) * ab) / (aa * bb - ab * ab) END AS wa,
+         CASE WHEN q = 0 THEN 0.0::DOUBLE WHEN p = 0 THEN (byy - n * alpha * q) / bb
+              ELSE ((byy - n * alpha * q) * aa - (ay - n * alpha * p) * ab) / (aa * bb - ab * ab) END AS wb
+  FROM l, signs),
+cost AS (SELECT *, (wa * wa * aa + 2 * wa * wb * ab + wb * wb * bb - 2 * wa * ay - 2 * wb * byy) / (2 * n) + alpha * (abs(wa) + abs(wb)) AS cost
+         FROM tries WHERE sign(wa) = p AND sign(wb) = q)"""
+
 ORACLE: dict[str, str] = {
+    "linear_search": f"""
+WITH {_PRICE},
+m AS (SELECT list(k ORDER BY k) AS m, len(m) AS n, n // 6 AS block, n - 5 * (n // 6) AS first FROM (SELECT DISTINCT k FROM r)),
+f AS (SELECT i::INTEGER AS fold, m[first + i * block] AS upto, m[least(n, first + (i + 1) * block)] AS until FROM m, range(5) x(i)),
+s AS (SELECT fold, {_SUMS} FROM f JOIN r ON k <= upto GROUP BY fold),{_CENTRED},
+ls AS (
+  SELECT 'Linear Regression' AS model, 0 AS candidate, fold, (ay * bb - byy * ab) / (aa * bb - ab * ab) AS wa,
+         (byy * aa - ay * ab) / (aa * bb - ab * ab) AS wb, NULL AS flat, ma, mb, my FROM c
+  UNION ALL
+  SELECT 'Linear Regression', 1, fold, (say * sbb - sby * sab) / (saa * sbb - sab * sab),
+         (sby * saa - say * sab) / (saa * sbb - sab * sab), 0.0, ma, mb, my FROM c
+  UNION ALL
+  SELECT 'Ridge', i, fold, (ay * (bb + p) - byy * ab) / ((aa + p) * (bb + p) - ab * ab),
+         (byy * (aa + p) - ay * ab) / ((aa + p) * (bb + p) - ab * ab), NULL, ma, mb, my
+  FROM c, (SELECT unnest([0, 1, 2]) AS i, unnest([1.0, 1000.0, 100000.0])::DOUBLE AS p)),
+l AS (SELECT c.*, i, alpha FROM c, (SELECT unnest([0, 1, 2]) AS i, unnest([0.01, 0.5, 5.0])::DOUBLE AS alpha)),{_LASSO},
+w AS (
+  SELECT *, coalesce(flat, my - wa * ma - wb * mb) AS w0 FROM (
+    SELECT model, candidate, fold, wa, wb, flat, ma, mb, my FROM ls
+    UNION ALL
+    SELECT 'Lasso', i, fold, arg_min(wa, cost), arg_min(wb, cost), NULL, any_value(ma), any_value(mb), any_value(my)
+    FROM cost GROUP BY i, fold)),
+e AS (SELECT model, candidate, w.fold, any_value(wa) AS wa, any_value(wb) AS wb, any_value(w0) AS w0,
+             avg(abs(w0 + wa * a + wb * b - y)) AS mae
+      FROM w JOIN f ON w.fold = f.fold JOIN r ON r.k > f.upto AND r.k <= f.until GROUP BY 1, 2, 3),
+best AS (SELECT model, arg_min(candidate, mae) AS best FROM (SELECT model, candidate, avg(mae) AS mae FROM e GROUP BY 1, 2) GROUP BY 1)
+SELECT e.model, candidate::INTEGER AS candidate, fold, round(wa, 6) + 0.0::DOUBLE AS w_quantity, round(wb, 6) + 0.0::DOUBLE AS w_discount,
+       round(w0, 6) + 0.0::DOUBLE AS intercept, round(mae, 6) + 0.0::DOUBLE AS mae, candidate = best AS chosen
+FROM e JOIN best ON e.model = best.model""",
+    "lasso_path": f"""
+WITH {_PRICE},
+s AS (SELECT {_SUMS} FROM r),{_CENTRED},
+l AS (SELECT c.*, alpha FROM c, (SELECT unnest([20.0, 5.0, 0.1, 0.02, 0.001])::DOUBLE AS alpha)),{_LASSO},
+w AS (SELECT alpha, arg_min(wa, cost) AS wa, arg_min(wb, cost) AS wb FROM cost GROUP BY alpha)
+SELECT alpha, 'l_quantity' AS feature, round(wa, 6) + 0.0::DOUBLE AS weight, round((ay - aa * wa - ab * wb) / n, 6) + 0.0::DOUBLE AS covariance, true AS optimal FROM w, c
+UNION ALL
+SELECT alpha, 'pct', round(wb, 6) + 0.0::DOUBLE, round((byy - ab * wa - bb * wb) / n, 6) + 0.0::DOUBLE, true FROM w, c""",
     "abc_from_files": O.ABC_BASE + f"\nSELECT {_EXPORT} FROM curve",
     "counts_from_files": O.COUNTS_BASE + "\nSELECT * FROM counts_daily",
     "newest_count_month": "SELECT CAST(year(max(l_shipdate)) AS INTEGER) AS year, CAST(month(max(l_shipdate)) AS INTEGER) AS month FROM lineitem",
