@@ -19,13 +19,13 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclecount.functions import columns as C
-from cyclecount.learning import gram
+from cyclecount.learning import gram, trees
 from cyclecount.learning.models import MODEL_NAMES
 
 TARGET = "Quantidade Fisica"
@@ -54,6 +54,7 @@ class SearchBudget:
     max_splits: int = 5
     seed: int = 42
     parallelism: int = 4
+    max_boosted: int = 50  # candidates of the boosted models, each of them many jobs a fold
 
 
 # --------------------------------------------------------------------- M1, M2
@@ -153,26 +154,6 @@ def _linear(params):
     )
 
 
-def _tree(params, seed):
-    return DecisionTreeRegressor(featuresCol="features", labelCol="label", maxDepth=int(params["maxDepth"]), seed=seed)
-
-
-def _gbt_depthwise(params, seed):
-    return GBTRegressor(
-        featuresCol="features", labelCol="label", maxIter=int(params["maxIter"]),
-        maxDepth=int(params["maxDepth"]), stepSize=float(params["stepSize"]), seed=seed,
-    )
-
-
-def _gbt_subsampled(params, seed):
-    return GBTRegressor(
-        featuresCol="features", labelCol="label", maxIter=int(params["maxIter"]),
-        maxDepth=int(params["maxDepth"]), stepSize=float(params["stepSize"]),
-        minInstancesPerNode=int(params["minInstancesPerNode"]), minInfoGain=float(params["minInfoGain"]),
-        featureSubsetStrategy=str(round(float(params["featureFraction"]), 3)), subsamplingRate=0.8, seed=seed,
-    )
-
-
 # The search spaces, ("int", lo, hi) | ("uniform", lo, hi) | ("log", lo, hi) |
 # ("choice", [...]).
 SPACES: dict[str, dict[str, tuple]] = {
@@ -184,6 +165,10 @@ SPACES: dict[str, dict[str, tuple]] = {
         "stepSize": ("uniform", 0.01, 0.3),
         "featureFraction": ("uniform", 0.7, 1.0),
         "minInfoGain": ("uniform", 0.0, 0.1),
+        "numLeaves": ("int", 20, 100),
+        "l1": ("uniform", 0.0, 1.0),
+        "l2": ("uniform", 0.0, 1.0),
+        "subsamplingRate": ("choice", [0.8]),
     },
     "Linear Regression": {"fitIntercept": ("choice", [True, False])},
     "Ridge": {"alpha": ("log", 0.1, 10.0), "maxIter": ("int", 1000, 50000)},
@@ -257,14 +242,11 @@ class Trained:
 
 #: Models that are searched from sums by month.
 LINEAR = ("Linear Regression", "Ridge", "Lasso")
+BOOSTED = ("GBT Depthwise", "GBT Subsampled")
 
 
 def _builder(name: str, seed: int) -> Callable[[dict], Any]:
-    return {
-        "Decision Tree": lambda p: _tree(p, seed),
-        "GBT Depthwise": lambda p: _gbt_depthwise(p, seed),
-        "GBT Subsampled": lambda p: _gbt_subsampled(p, seed),
-    }[name]
+    return (lambda p: trees.TreeFit(p, seed)) if name == "Decision Tree" else (lambda p: trees.BoostedFit(p, seed))
 
 
 def train_models(
@@ -273,7 +255,8 @@ def train_models(
     names: tuple[str, ...] = MODEL_NAMES,
     spaces: dict[str, dict[str, tuple]] | None = None,
 ) -> dict[str, Trained]:
-    """M5-M9: search each model's space on time folds (objective MAE), refit the best.
+    """M5-M9: search each model's space on time folds (objective MAE), refit the best. A model with
+    a single candidate has nothing to choose and no error of the search.
 
     ``design`` has ``features``, ``label``, ``Ano``, ``Mês`` and is the training
     split. A failing model is reported with no model and its error (M10 gives it null metrics).
@@ -285,7 +268,8 @@ def train_models(
     key = F.col("Ano") * 12 + F.col("Mês")
     rng = np.random.default_rng(budget.seed)
     n_iter = min(budget.max_candidates, max(2, n_rows // max(1, len(folds) or 1)))
-    candidates = {name: sample_candidates((spaces or SPACES)[name], n_iter, rng) for name in names}
+    draws = {name: min(n_iter, budget.max_boosted) if name in BOOSTED else n_iter for name in names}
+    candidates = {name: sample_candidates((spaces or SPACES)[name], draws[name], rng) for name in names}
     results: dict[str, Trained] = {}
     pool = ThreadPoolExecutor(max_workers=max(1, budget.parallelism))
     try:
@@ -310,8 +294,21 @@ def train_models(
                     m = build(params).fit(design.where(key <= tr_end))
                     return _mae(m.transform(design.where((key > tr_end) & (key <= va_end))))
 
+                def depths(fold, build=build, cands=cands):
+                    tr_end, va_end = fold
+                    deepest = {**cands[0], "maxDepth": max(c["maxDepth"] for c in cands)}
+                    late = design.where((key > tr_end) & (key <= va_end))
+                    return build(deepest).fold_errors(design.where(key <= tr_end), late, [c["maxDepth"] for c in cands])
+
                 cv: list[tuple[float, int]] = []
-                if folds:
+                if len(cands) == 1:
+                    best_score, best_i = float("nan"), 0
+                elif folds and name == "Decision Tree":
+                    jobs = {f: pool.submit(depths, f) for f in folds}
+                    maes = np.array([jobs[f].result() for f in folds])
+                    mean = np.where(np.isnan(maes).all(0), np.inf, np.nanmean(maes, axis=0))
+                    best_score, best_i = min((float(m), i) for i, m in enumerate(mean))
+                elif folds:
                     jobs = {(i, j): pool.submit(score, c, f) for i, c in enumerate(cands) for j, f in enumerate(folds)}
                     for i in range(len(cands)):
                         vals = [jobs[(i, j)].result() for j in range(len(folds))]
@@ -337,32 +334,45 @@ def train_models(
 # --------------------------------------------------------------------- M10, M11
 
 
+def _metric_columns(prediction: Column, label: Column, suffix: str = "") -> list[Column]:
+    err = prediction - label
+    return [
+        F.avg(F.abs(err)).alias(f"MAE{suffix}"),
+        F.sqrt(F.avg(err * err)).alias(f"RMSE{suffix}"),
+        F.when(
+            F.var_pop(label) * F.count(F.lit(1)) > 0,
+            F.lit(1.0) - F.sum(err * err) / (F.var_pop(label) * F.count(F.lit(1))),
+        ).alias(f"R2{suffix}"),
+    ]
+
+
 def regression_metrics(pred: DataFrame) -> DataFrame:
     """One row of n, MAE, RMSE and R2 of ``prediction`` against ``label`` (one aggregate);
     NULL without rows, R2 also for a constant label."""
-    err = F.col("prediction") - F.col("label")
-    agg = pred.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.abs(err)).alias("MAE"),
-        F.sqrt(F.avg(err * err)).alias("RMSE"),
-        F.sum(err * err).alias("_res"),
-        F.var_pop("label").alias("_var"),
-    )
-    total = F.col("_var") * F.col("n")
-    return agg.select("n", "MAE", "RMSE", F.when(total > 0, F.lit(1.0) - F.col("_res") / total).alias("R2"))
+    return pred.agg(F.count(F.lit(1)).alias("n"), *_metric_columns(F.col("prediction"), F.col("label")))
+
+
+def predictions(trained: dict[str, Trained], names: tuple[str, ...] = MODEL_NAMES) -> dict[str, Column]:
+    """Each fitted model's prediction as a column over ``features``."""
+    fitted = [n for n in names if trained.get(n) is not None and trained[n].model is not None]
+    return {n: trained[n].model.prediction(F.col("features")) for n in fitted}
 
 
 def evaluate(trained: dict[str, Trained], test: DataFrame | None, names: tuple[str, ...] = MODEL_NAMES) -> list[tuple]:
-    """MAE, RMSE, R2 on the test split per model (NULL when not available)."""
+    """MAE, RMSE, R2 on the test split per model (NULL when not available): all models'
+    predictions in one scan, all their metrics in one aggregate."""
+    columns = predictions(trained, names)
+    got: dict[str, Any] = {}
+    if test is not None and columns:
+        side_by_side = test.select("label", *[p.alias(f"_p{i}") for i, p in enumerate(columns.values())])
+        parts = [_metric_columns(F.col(f"_p{i}"), F.col("label"), f"_{i}") for i in range(len(columns))]
+        row = side_by_side.agg(*[c for part in parts for c in part]).first()
+        got = {n: [row[f"{m}_{i}"] for m in ("MAE", "RMSE", "R2")] for i, n in enumerate(columns)}
     rows = []
     for order, name in enumerate(names):
         t = trained.get(name)
-        mae = rmse = r2 = None
-        if t is not None and t.model is not None and test is not None:
-            got = regression_metrics(t.model.transform(test).select("label", "prediction")).first()
-            mae, rmse, r2 = got["MAE"], got["RMSE"], got["R2"]
         cv, error = (None, None) if t is None else (t.cv_mae, t.error)
-        rows.append((name, order, mae, rmse, r2, cv, str(t.params if t else {}), error))
+        rows.append((name, order, *got.get(name, [None] * 3), cv, str(t.params if t else {}), error))
     return rows
 
 

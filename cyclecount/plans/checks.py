@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
 from cyclecount.learning import models as learning_models
-from cyclecount.learning import gram, train
+from cyclecount.learning import gram, train, trees
 from cyclecount.operators import abc, categories, counts, features, forecasting, movements, stats, validation
 from cyclecount.plans import demo
 from cyclecount.plans import queries as Q
@@ -294,3 +294,34 @@ def q_lasso_path(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows.append((alpha, name, value, cov, optimal))
     out = spark.createDataFrame(rows, "alpha double, feature string, weight double, covariance double, optimal boolean")
     return out.withColumns({c: F.round(c, 6) + 0.0 for c in ("weight", "covariance")})
+
+
+@register("tree_columns")
+def q_tree_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: a tree of two levels on line price, compiled to nodes; the rows of each leaf by the
+    column expression over plain columns, with the root's split."""
+    names = ["l_quantity", "discount", "tax"]
+    rows = _line_rows(spark, sf_dir).select(
+        "l_quantity",
+        F.round(F.col("l_discount") * 100).alias("discount"),
+        F.round(F.col("l_tax") * 100).alias("tax"),
+        (F.col("l_extendedprice") / 1000.0).alias("label"),
+    )
+    design = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+    forest = trees.TreeFit({"maxDepth": 2, "maxBins": 64}, 42).fit(design)
+    paths, stack = [], [(int(forest.roots[0]), "")]
+    while stack:
+        node, path = stack.pop()
+        if forest.feature[node] < 0:
+            paths.append((node, path))
+        else:
+            stack += [(int(forest.left[node]), path + "L"), (int(forest.right[node]), path + "R")]
+    root = int(forest.roots[0])
+    leaf = F.get(forest.leaves(F.array(*names)), F.lit(0))
+    per = rows.groupBy(leaf.alias("node")).agg(F.count("*").alias("n"), F.round(F.avg("label"), 6).alias("mean"))
+    found = per.join(F.broadcast(spark.createDataFrame(paths, "node int, path string")), "node")
+    return found.select(
+        "path", "n", "mean",
+        F.lit(names[forest.feature[root]]).alias("root_feature"),
+        F.round(F.lit(float(forest.threshold[root])), 6).alias("root_threshold"),
+    )

@@ -37,7 +37,30 @@ tries AS (
 cost AS (SELECT *, (wa * wa * aa + 2 * wa * wb * ab + wb * wb * bb - 2 * wa * ay - 2 * wb * byy) / (2 * n) + alpha * (abs(wa) + abs(wb)) AS cost
          FROM tries WHERE sign(wa) = p AND sign(wb) = q)"""
 
+def _best_splits(rows: str, out: str) -> str:
+    """For each node of ``rows`` (node, q, d, t, y) the split with the greatest fall of squares."""
+    return f"""
+u{out} AS (SELECT node, f, v, count(*)::DOUBLE AS n, sum(y) AS s FROM (
+      SELECT node, 0 AS f, q AS v, y FROM {rows} UNION ALL SELECT node, 1, d, y FROM {rows} UNION ALL SELECT node, 2, t, y FROM {rows})
+      GROUP BY node, f, v),
+g{out} AS (SELECT *, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER p AS nn, sum(s) OVER p AS ss, lead(v) OVER w AS next
+      FROM u{out} WINDOW w AS (PARTITION BY node, f ORDER BY v), p AS (PARTITION BY node, f)),
+{out} AS (SELECT node, f, (v + next) / 2 AS cut FROM (
+      SELECT *, row_number() OVER (PARTITION BY node ORDER BY sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) DESC, f, v) AS k
+      FROM g{out} WHERE next IS NOT NULL) WHERE k = 1)"""
+
+
+_SIDE = "node || CASE WHEN CASE f WHEN 0 THEN q WHEN 1 THEN d ELSE t END <= cut THEN 'L' ELSE 'R' END"
+
 ORACLE: dict[str, str] = {
+    "tree_columns": f"""
+WITH r0 AS (SELECT '' AS node, l_quantity::DOUBLE AS q, round(l_discount * 100)::DOUBLE AS d, round(l_tax * 100)::DOUBLE AS t,
+                   l_extendedprice / 1000.0::DOUBLE AS y FROM lineitem),{_best_splits("r0", "b0")},
+r1 AS (SELECT {_SIDE.replace("node", "r0.node", 1)} AS node, q, d, t, y FROM r0 JOIN b0 ON r0.node = b0.node),{_best_splits("r1", "b1")},
+r2 AS (SELECT {_SIDE.replace("node", "r1.node", 1)} AS node, y FROM r1 JOIN b1 ON r1.node = b1.node)
+SELECT r2.node AS path, count(*) AS n, round(avg(y), 6) AS mean,
+       ['l_quantity', 'discount', 'tax'][any_value(b0.f) + 1] AS root_feature, round(any_value(b0.cut), 6) AS root_threshold
+FROM r2, b0 GROUP BY r2.node""",
     "linear_search": f"""
 WITH {_PRICE},
 m AS (SELECT list(k ORDER BY k) AS m, len(m) AS n, n // 6 AS block, n - 5 * (n // 6) AS first FROM (SELECT DISTINCT k FROM r)),
