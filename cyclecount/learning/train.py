@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from cyclecount.functions import columns as C
 from cyclecount.learning import gram, trees
 from cyclecount.learning.models import MODEL_NAMES
+from cyclecount.operators import stats
 
 TARGET = "Quantidade Fisica"
 # Columns never used as features (ids, target, item info).
@@ -43,7 +44,6 @@ ALWAYS_EXCLUDED = (
 )
 # Columns derived from the counted quantity itself (the target); excluded unless asked.
 LEAKAGE = ("Valor Fisico", "Vlr Delta", "Delta ABS")
-QUANTILE_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,21 @@ def temporal_split(df: DataFrame, year_col: str = "Ano") -> tuple[DataFrame, Dat
     return df.where(F.col(year_col) < last), df.where(F.col(year_col) == last), last
 
 
+def processed_correlation(df: DataFrame, target: str = TARGET, k: int = 30) -> DataFrame:
+    """G18 + O5: correlation with the target of the processed features: the scaled numbers (which
+    scaling leaves as they are) and every category's one-hot slot; the ``k`` highest and lowest."""
+    numeric, categorical = feature_columns(df)
+    clean = clean_features(df, numeric, categorical)
+    y = C.col(target).cast("double")
+    row = clean.agg(*[F.corr(C.col(c), y).alias(f"_r{i}") for i, c in enumerate(numeric)])
+    slots = [F.struct(F.lit(f"num__{c}").alias("feature"), F.col(f"_r{i}").alias("corr")) for i, c in enumerate(numeric)]
+    long = row.select(F.explode(F.array(*slots)).alias("r")).select("r.*")
+    if categorical:
+        hot = stats.category_correlation(clean, categorical, target)
+        long = long.unionByName(hot.select(F.concat(F.lit("cat__"), "feature", F.lit("_"), "value").alias("feature"), "corr"))
+    return stats.strongest(long, k)
+
+
 # --------------------------------------------------------------------- M3, M4
 
 
@@ -105,15 +120,11 @@ class Preprocessor:
     slots: list[str] = field(default_factory=list)
 
     def fit(self, train: DataFrame) -> "Preprocessor":
-        # one aggregate for all medians and quartiles (bounded sketches, not sorts)
+        # exact medians and quartiles of all columns in the same few passes
         if self.numeric:
-            aggs = [
-                F.percentile_approx(C.col(c), [0.25, 0.5, 0.75], QUANTILE_ACCURACY).alias(f"_q{i}")
-                for i, c in enumerate(self.numeric)
-            ]
-            row = train.agg(*aggs).first()
-            for i, c in enumerate(self.numeric):
-                q25, q50, q75 = [float(v) if v is not None else 0.0 for v in (row[f"_q{i}"] or [0, 0, 0])]
+            got = {(r["feature"], r["p"]): r["value"] for r in stats.exact_quantiles(train, self.numeric, [0.25, 0.5, 0.75]).collect()}
+            for c in self.numeric:
+                q25, q50, q75 = [float(got.get((c, p), 0.0)) for p in (0.25, 0.5, 0.75)]
                 iqr = q75 - q25
                 self.center[c] = q50
                 # a zero spread scales by 1 (a zero-IQR feature keeps its information)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
@@ -61,16 +61,32 @@ def check_parsed(typed: DataFrame, cols: tuple[str, ...] = ("Atualização", "Cu
             raise ValueError(f"column(s) entirely unparsable: {empty}")
 
 
-def last_counts(raw: DataFrame) -> DataFrame:
+PARSED = ("Atualização", "Custo")
+
+
+def raise_if_unparsed(observed: Observation) -> None:
+    """F8 without a job of its own: after an action on counts cleaned with ``observed``, raise when
+    a parsed column was NULL on every row."""
+    got = observed.get
+    empty = [c for c in PARSED if got["rows"] and not got[c]]
+    if empty:
+        raise ValueError(f"column(s) entirely unparsable: {empty}")
+
+
+def last_counts(raw: DataFrame, observed: Observation | None = None) -> DataFrame:
     """The last count of each key (Contagem desc, then Atualização desc, nulls last).
 
     The key is kept as six columns (date, code, location, unit, compartment,
     status); rows with any key part missing are dropped. The pick is one
     aggregate of ``max(struct(order..., payload...))``: a hot key is combined
     map-side before the shuffle instead of sorting all its rows in one task, and
-    the remaining fields break ties so the result is deterministic.
+    the remaining fields break ties so the result is deterministic. ``observed`` takes the
+    typed rows and how many of them have each parsed column, along with whatever action runs.
     """
-    t = typed_counts(raw).dropna(subset=KEY_COLS)
+    t = typed_counts(raw)
+    if observed is not None:
+        t = t.observe(observed, F.count(F.lit(1)).alias("rows"), *[F.count(C.col(c)).alias(c) for c in PARSED])
+    t = t.dropna(subset=KEY_COLS)
     payload = ["Contagem", "Atualização", "Física", "Quantidade Fisica", "Lógica", "Custo", "Estante", "Ano", "Mês"]
     best = t.groupBy(*[C.col(k) for k in KEY_COLS]).agg(
         F.max(F.struct(*[C.col(c) for c in payload])).alias("_last")
@@ -120,9 +136,9 @@ def daily_counts(valued: DataFrame) -> DataFrame:
     return valued.groupBy("Código", "Data INV", "Ano", "Mês").agg(*aggs)
 
 
-def clean_counts(raw: DataFrame, drop_cancelled: bool = False) -> DataFrame:
+def clean_counts(raw: DataFrame, drop_cancelled: bool = False, observed: Observation | None = None) -> DataFrame:
     """Raw count rows -> valued last counts."""
-    return value_counts(last_counts(raw), drop_cancelled)
+    return value_counts(last_counts(raw, observed), drop_cancelled)
 
 
 def delta_summary(

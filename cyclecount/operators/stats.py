@@ -100,6 +100,33 @@ def target_profile(df: DataFrame, target: str = "Quantidade Fisica") -> DataFram
     )
 
 
+def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
+    """feature, p, value: exact quantiles (linear between ranks, position p * (n - 1)) of the
+    finite values of every column, in a fixed number of passes whatever the columns.
+
+    All columns become one table of (column, value, count), combined before the shuffle and
+    written by ranges, with running counts over it; a quantile is read from the values whose
+    ranks enclose it. A column without values has no rows."""
+    long = F.array(*[F.struct(F.lit(i).alias("c"), C.finite_or_null(C.col(c).cast("double")).alias("v")) for i, c in enumerate(cols)])
+    values = df.select(F.explode(long).alias("x")).select("x.*").where(F.col("v").isNotNull())
+    values = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    order = [prefix.SortKey("c"), prefix.SortKey("v")]
+    ranked = prefix.written(prefix.running_sum(values, order, "n", "upto"), "quantiles")
+    # one row a column
+    size = ranked.groupBy("c").agg(F.sum("n").alias("total"), F.min(F.col("upto") - F.col("n")).alias("start"))
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "c int, feature string")
+    place = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
+    wanted = F.broadcast(size.join(F.broadcast(names), "c").select("c", "feature", "total", "start", place))
+    at = F.col("p") * (F.col("total") - 1)
+    first, upto = F.col("upto") - F.col("n") - F.col("start"), F.col("upto") - F.col("start")
+    holds = lambda rank: (first <= rank) & (rank < upto)
+    met = ranked.join(wanted, "c").where(holds(F.floor(at)) | holds(F.ceil(at)))
+    ends = met.groupBy("feature", "p").agg(F.min("v").alias("a"), F.max("v").alias("b"), F.max(at - F.floor(at)).alias("part"))
+    # a quantile's two ranks are the same or next to each other
+    value = F.when(F.col("part") == 0, F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
+    return ends.select("feature", "p", value.alias("value"))
+
+
 def constant_features(df: DataFrame, cols: list[str]) -> DataFrame:
     """Numeric columns whose sample std is 0, i.e. at least two values, all equal.
 
@@ -136,10 +163,30 @@ def feature_correlation(df: DataFrame, cols: list[str], target: str, k: int = 30
     row_df = df.agg(*[F.corr(C.col(c).cast("double"), y).alias(f"_r{i}") for i, c in enumerate(cols)])
     stacked = [F.struct(F.lit(c).alias("feature"), F.col(f"_r{i}").alias("corr")) for i, c in enumerate(cols)]
     long = row_df.select(F.explode(F.array(*stacked)).alias("r")).select("r.feature", "r.corr")
-    long = long.where(F.col("corr").isNotNull() & ~F.isnan("corr") & (F.col("feature") != target))
+    return strongest(long.where(F.col("feature") != target), k)
+
+
+def category_correlation(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    """feature, value, corr: Pearson correlation of each category's 0/1 column with the target,
+    from the count and the sum of each category; no 0/1 column is made."""
+    y = C.col(target).cast("double")
+    long = F.array(*[F.struct(F.lit(c).alias("feature"), C.col(c).cast("string").alias("value")) for c in cols])
+    rows = df.where(y.isNotNull()).select(F.explode(long).alias("x"), y.alias("y"))
+    per = rows.groupBy("x.feature", "x.value").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
+    whole = df.where(y.isNotNull()).agg(F.count(F.lit(1)).alias("rows"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"))
+    share = F.col("n") / F.col("rows")
+    spread = F.sqrt(share * (1 - share) * F.col("var"))
+    met = per.withColumn("_one", F.lit(1)).join(F.broadcast(whole.withColumn("_one", F.lit(1))), "_one")  # one row
+    return met.select(
+        "feature", "value", F.when(spread > 0, (F.col("s") - F.col("n") * F.col("mean")) / F.col("rows") / spread).alias("corr")
+    )
+
+
+def strongest(correlations: DataFrame, k: int) -> DataFrame:
+    """The ``k`` highest (side top) and lowest (bottom) of feature, corr."""
+    known = correlations.where(F.col("corr").isNotNull() & ~F.isnan("corr"))
     # one row per feature reaches these windows: a bounded single partition
-    ranked = long.select(
-        "feature",
+    ranked = known.select(        "feature",
         "corr",
         F.row_number().over(Window.orderBy(F.desc("corr"), "feature")).alias("_top"),
         F.row_number().over(Window.orderBy(F.asc("corr"), "feature")).alias("_bottom"),

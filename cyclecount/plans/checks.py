@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclecount.functions import columns as C
@@ -325,3 +325,121 @@ def q_tree_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(names[forest.feature[root]]).alias("root_feature"),
         F.round(F.lit(float(forest.threshold[root])), 6).alias("root_threshold"),
     )
+
+
+@register("exact_quantiles")
+def q_exact_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20 + G21 + M3: exact quantiles of several columns side by side, one with gaps and
+    infinities, one constant, one all null."""
+    li = _line_rows(spark, sf_dir)
+    gaps = F.when(F.col("l_linenumber") == 2, None).when(F.col("l_linenumber") == 3, F.lit(float("inf")))
+    rows = li.select(
+        "l_quantity", "l_extendedprice", gaps.otherwise(F.col("l_discount")).alias("gaps"),
+        F.lit(3.0).alias("same"), F.lit(None).cast("double").alias("none"),
+    )
+    got = stats.exact_quantiles(rows, rows.columns, [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0])
+    return got.withColumn("value", F.round("value", 6))
+
+
+@register("processed_feature_correlation")
+def q_processed_feature_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G18 + O5 on processed columns: scaled numbers and one-hot slots, on the training years."""
+    feats = Q.prefix.written(Q.q_features(spark, sf_dir), "features")
+    train_rows, _, _ = train.temporal_split(feats)
+    return train.processed_correlation(train_rows, k=30).withColumn("corr", F.round("corr", 6))
+
+
+@register("parsed_counts")
+def q_parsed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: rows and parsed values of the closed counts, observed by the write of the daily counts."""
+    observed = Observation("parsed")
+    daily = counts.daily_counts(counts.clean_counts(demo.counts(spark, sf_dir), observed=observed))
+    writers.write_counts_daily(daily, scratch_path(spark, "daily-export"))
+    counts.raise_if_unparsed(observed)
+    got = observed.get
+    return spark.createDataFrame(
+        [(got["rows"], got["Atualização"], got["Custo"])], "rows long, timestamps long, costs long"
+    )
+
+
+@register("plan_written")
+def q_plan_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the plan written by model and read back with each row's place in its file: rows and
+    rows out of order (year, month, item) by model."""
+    path = scratch_path(spark, "plan-export")
+    writers.write_forecast_plan(q_forecast_plan_fallback(spark, sf_dir), path)
+    rows = readers.read_forecasts(spark, path)
+    rows = rows.withColumns({"_file": F.col("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
+    keys = F.struct("Ano_Previsto", "Mês_Previsto", "Código")
+    before = F.lag(keys).over(Window.partitionBy("Model_Name", "_file").orderBy("_place"))
+    rows = rows.withColumn("_bad", F.coalesce((before > keys).cast("long"), F.lit(0)))
+    return rows.groupBy("Model_Name").agg(
+        F.count("*").alias("n"), F.sum("_bad").alias("out_of_order"), F.min(keys)["Código"].alias("first_item"),
+        F.max(keys)["Código"].alias("last_item"),
+    )
+
+
+@register("metrics_written")
+def q_metrics_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: metrics of two naive forecasts written with their header and read back, with the place
+    of each row in the file."""
+    rows = counts.clean_counts(demo.counts(spark, sf_dir)).select(
+        F.col("Lógica").cast("double").alias("book"), F.col("Quantidade Fisica").cast("double").alias("label")
+    )
+    rows = rows.where(F.col("label").isNotNull() & F.col("book").isNotNull())
+    forecasts = {"Logica": F.col("book"), "Dobro": F.col("book") * 2}
+    parts = [
+        train.regression_metrics(rows.withColumn("prediction", p)).withColumn("Modelo", F.lit(name))
+        for name, p in forecasts.items()
+    ]
+    path = scratch_path(spark, "metrics-export")
+    writers.write_model_metrics(parts[0].unionByName(parts[1]), path)
+    back = spark.read.options(header="true", sep=";").csv(path)
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))  # one row a model
+    return back.select("Modelo", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("MAE", "RMSE", "R2")], place.alias("place"))
+
+
+@register("ytd_metrics_written")
+def q_ytd_metrics_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the summary half of the year-to-date comparison, written and read back."""
+    raw = demo.counts(spark, sf_dir)
+    year, month = validation.latest_year_month(raw)
+    detail, metrics, _ = validation.ytd_validation(raw, demo.forecasts(spark, sf_dir), year, month)
+    out = scratch_path(spark, "ytd-export")
+    writers.write_ytd(detail, metrics, out)
+    return spark.read.parquet(f"{out}/metrics").withColumn("MAPE", F.round("MAPE", 6))
+
+
+def _truncated(spark: SparkSession, folder: str) -> str:
+    """A copy of the folder's one file that ends halfway."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(conf)
+    (file,) = [st for st in fs.listStatus(path) if st.getPath().getName().startswith("part-")]
+    target = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "truncated"), file.getPath().getName())
+    source, sink = fs.open(file.getPath()), fs.create(target)
+    sink.write(source.readNBytes(file.getLen() // 2))
+    source.close()
+    sink.close()
+    return target.toString()
+
+
+@register("counts_report")
+def q_counts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: two whole exports, one with short rows, a file that ends in the middle, and a missing
+    one: what was read of each, and the rows of the whole ones together."""
+    raw = demo.counts(spark, sf_dir)
+    odd = F.col("Compartimento").isin("1", "3", "5", "7")
+    first = _csv(raw.where(odd), "counts", readers.COUNT_FILE_OPTIONS)
+    other = _csv(raw.where(~odd).select(*reversed(raw.columns)), "counts", readers.COUNT_FILE_OPTIONS)
+    zipped = _csv(raw.coalesce(1), "counts", readers.COUNT_FILE_OPTIONS | {"compression": "gzip"})
+    lines = raw.select(F.concat_ws(";", F.coalesce("NOK", F.lit("")), "Status", "Código").alias("value")).where(F.col("Código") == "7")
+    header = spark.createDataFrame([(";".join(raw.columns),)], "value string")
+    short = scratch_path(spark, "counts")
+    header.unionAll(lines).coalesce(1).write.options(encoding="ISO-8859-1").csv(short, quote="", sep="\u0001")
+    paths = [first, _truncated(spark, zipped), other, f"{short}-none", short]
+    df, report = readers.read_counts_reported(spark, paths)
+    names = spark.createDataFrame(list(zip(paths, ["first", "broken", "other", "none", "short"])), "path string, name string")
+    total = df.agg(F.count("*").alias("all_rows"), F.count("Código").alias("all_codes")).withColumn("_one", F.lit(1))
+    out = report.join(names, "path").withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+    return out.select("name", "status", "rows", "bad_rows", "all_rows", "all_codes")

@@ -52,7 +52,53 @@ g{out} AS (SELECT *, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER p AS
 
 _SIDE = "node || CASE WHEN CASE f WHEN 0 THEN q WHEN 1 THEN d ELSE t END <= cut THEN 'L' ELSE 'R' END"
 
+_QUANTILES = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS feature, {p}::DOUBLE AS p, round(quantile_cont({x}, {p}), 6) AS value FROM lineitem{where}"
+    for name, x, where in (
+        ("l_quantity", "l_quantity::DOUBLE", ""), ("l_extendedprice", "l_extendedprice::DOUBLE", ""),
+        ("gaps", "l_discount::DOUBLE", " WHERE l_linenumber NOT IN (2, 3)"), ("same", "3.0::DOUBLE", ""),
+    )
+    for p in (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+)
+_SLOTS = "\nUNION ALL\n".join(
+    f"""SELECT 'num__{c}' AS feature, corr(coalesce("{c}"::DOUBLE, 0), "Quantidade Fisica"::DOUBLE) AS c FROM train"""
+    for c in O.FEATURE_NUMERIC
+)
+
 ORACLE: dict[str, str] = {
+    "exact_quantiles": _QUANTILES,
+    "processed_feature_correlation": O.FEATURES
+    + f""",
+train AS (SELECT * FROM features WHERE "Ano" < (SELECT MAX("Ano") FROM features)),
+hot AS (SELECT 'cat__Curva_ABC_' || v AS feature, corr((coalesce("Curva_ABC", 'Unknown') = v)::INT, "Quantidade Fisica"::DOUBLE) AS c
+        FROM train, (SELECT DISTINCT coalesce("Curva_ABC", 'Unknown') AS v FROM train) GROUP BY v),
+cors AS (SELECT * FROM ({_SLOTS} UNION ALL SELECT * FROM hot) WHERE c IS NOT NULL AND NOT isnan(c))
+SELECT feature, round(c, 6) AS corr, 'top' AS side FROM (SELECT * FROM cors ORDER BY c DESC, feature LIMIT 30)
+UNION ALL
+SELECT feature, round(c, 6) AS corr, 'bottom' AS side FROM (SELECT * FROM cors ORDER BY c ASC, feature LIMIT 30)""",
+    "parsed_counts": f"""
+WITH {O.counts_raw()}
+SELECT count(*) AS rows, count(try_strptime("Atualização", '%d/%m/%Y %H:%M')) AS timestamps,
+       count(TRY_CAST(replace(replace("Custo", '.', ''), ',', '.') AS DOUBLE)) AS costs
+FROM counts_raw WHERE "Código" IS NOT NULL AND "Locação" IS NOT NULL AND "UdE" IS NOT NULL
+  AND coalesce("NOK", '') = '' AND "Status" = 'FECHADO'""",
+    "metrics_written": O.COUNTS_BASE
+    + """,
+p AS (SELECT CAST("Lógica" AS DOUBLE) AS p, CAST("Quantidade Fisica" AS DOUBLE) AS y FROM valued_counts
+      WHERE "Lógica" IS NOT NULL AND "Quantidade Fisica" IS NOT NULL),
+m AS (SELECT 'Logica' AS m, p, y FROM p UNION ALL SELECT 'Dobro', p * 2, y FROM p)
+SELECT m AS "Modelo", round(avg(abs(p - y)), 6) AS "MAE", round(sqrt(avg((p - y) * (p - y))), 6) AS "RMSE",
+       round(1.0 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)), 6) AS "R2",
+       (row_number() OVER (ORDER BY m))::INTEGER AS place FROM m GROUP BY m""",
+    "ytd_metrics_written": O.ORACLE["ytd_metrics"],
+    "counts_report": f"""
+WITH {O.counts_raw()},
+r AS (SELECT CASE WHEN "Compartimento" IN ('1', '3', '5', '7') THEN 'first' ELSE 'other' END AS part FROM counts_raw),
+f AS (SELECT part AS name, 'read' AS status, count(*) AS rows, 0 AS bad_rows FROM r GROUP BY part
+      UNION ALL SELECT 'short', 'read', count(*), count(*) FROM counts_raw WHERE "Código" = '7'
+      UNION ALL SELECT 'broken', 'broken', 0, 0 UNION ALL SELECT 'none', 'missing', 0, 0)
+SELECT name, status, rows::BIGINT AS rows, bad_rows::BIGINT AS bad_rows, (sum(rows) OVER ())::BIGINT AS all_rows,
+       (sum(rows) OVER ())::BIGINT AS all_codes FROM f""",
     "tree_columns": f"""
 WITH r0 AS (SELECT '' AS node, l_quantity::DOUBLE AS q, round(l_discount * 100)::DOUBLE AS d, round(l_tax * 100)::DOUBLE AS t,
                    l_extendedprice / 1000.0::DOUBLE AS y FROM lineitem),{_best_splits("r0", "b0")},
@@ -180,7 +226,15 @@ SELECT count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope
        round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""",
 }
 
+_PLAN = ORACLE["forecast_plan_fallback"]
+ORACLE["plan_written"] = f"""
+SELECT "Model_Name", count(*) AS n, 0::BIGINT AS out_of_order,
+       arg_min("Código", ("Ano_Previsto", "Mês_Previsto", "Código")) AS first_item,
+       arg_max("Código", ("Ano_Previsto", "Mês_Previsto", "Código")) AS last_item
+FROM ({_PLAN}) GROUP BY 1"""
+
 DECIMAL_OUTPUTS = {
+    "ytd_metrics_written": ["Total_Real", "Total_Previsto", "Diferenca_Total"],
     "abc_from_files": ["Soma de Estoqueada", "Custo Médio", "Soma de Valor Total"],
     "counts_from_files": ["Lógica", "Quantidade Fisica", "Valor Logica", "Valor Fisico", "Vlr Delta", "Delta ABS"],
     "movements_from_files": ["Total_Geral_Qtde_Mensal", "Total_Geral_Qtd_Movimentos_Mensal"],

@@ -103,3 +103,78 @@ def test_counts_daily_partitioned(spark, tmp_dir):
     writers.write_counts_daily(df, f"{tmp_dir}/daily")
     back = spark.read.parquet(f"{tmp_dir}/daily")
     assert back.where(F.col("Ano") == 2024).count() == 1
+
+
+def _counts_text(n, head=None, tail=""):
+    cols = ["NOK", "Status", "Código", "Locação", "UdE", "Compartimento", "Status Inventario", "Atualização",
+            "Contagem", "Física", "Quantidade Fisica", "Custo", "Lógica"]
+    rows = [f";FECHADO;{i};A.1;1;1;FECHADO;1/2/2024 3:05;1;;2;1,00;3" for i in range(n)]
+    return ";".join(head or cols) + "\n" + "\n".join(rows) + "\n" + tail
+
+
+def test_files_that_break_while_being_read(spark, tmp_dir):
+    import gzip
+
+    write(f"{tmp_dir}/a.csv", _counts_text(5, tail=";FECHADO;9\n"), "latin-1")
+    write(f"{tmp_dir}/dir/one.csv", _counts_text(3), "latin-1")
+    write(f"{tmp_dir}/dir/two.csv", _counts_text(4), "latin-1")
+    write(f"{tmp_dir}/empty.csv", "", "latin-1")
+    whole = gzip.compress(_counts_text(50_000).encode("latin-1"))
+    for name in ("b", "c c"):
+        with open(f"{tmp_dir}/{name}.csv.gz", "wb") as f:
+            f.write(whole[: len(whole) // 2])
+    with open(f"{tmp_dir}/d.csv.gz", "wb") as f:
+        f.write(whole)
+    with open(f"{tmp_dir}/junk.csv.gz", "wb") as f:
+        f.write(b"not compressed at all")
+    paths = [f"{tmp_dir}/{p}" for p in ("a.csv", "b.csv.gz", "dir", "none.csv", "c c.csv.gz", "d.csv.gz", "junk.csv.gz", "empty.csv")]
+    df, report = readers.read_counts_reported(spark, paths)
+    got = [tuple(r)[1:] for r in report.collect()]
+    assert got == [
+        ("read", 1, 6, 1), ("broken", 0, 0, 0), ("read", 2, 7, 0), ("missing", 0, 0, 0), ("broken", 0, 0, 0),
+        ("read", 1, 50_000, 0), ("unreadable", 0, 0, 0), ("unreadable", 0, 0, 0),
+    ]
+    assert df.count() == 6 + 7 + 50_000
+    assert readers.read_counts_reported(spark, paths[1:2])[0] is None
+
+
+def test_headers_take_one_job(spark, tmp_dir):
+    paths = []
+    for i in range(6):
+        write(f"{tmp_dir}/{i}.csv", _counts_text(2), "latin-1")
+        paths.append(f"{tmp_dir}/{i}.csv")
+    assert _jobs(spark, lambda: readers._headers(spark, paths, readers.COUNT_FILE_OPTIONS)) == 1
+
+
+def _jobs(spark, action):
+    import uuid
+
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup(uuid.uuid4().hex, "others")
+
+
+def test_parsed_columns_are_observed_by_the_write(spark, tmp_dir):
+    from pyspark.sql import Observation
+
+    from cyclecount.operators import counts
+
+    write(f"{tmp_dir}/a.csv", _counts_text(5), "latin-1")
+    raw = readers.read_counts(spark, [f"{tmp_dir}/a.csv"])
+
+    def daily(observed=None, source=raw):
+        return counts.daily_counts(counts.clean_counts(source, observed=observed))
+
+    seen = Observation("parsed")
+    with_it = _jobs(spark, lambda: writers.write_counts_daily(daily(seen), f"{tmp_dir}/x"))
+    counts.raise_if_unparsed(seen)
+    assert seen.get == {"rows": 5, "Atualização": 5, "Custo": 5}
+    assert with_it == _jobs(spark, lambda: writers.write_counts_daily(daily(), f"{tmp_dir}/y"))
+    bad = Observation("bad")
+    daily(bad, raw.withColumn("Custo", F.lit("n/a"))).write.format("noop").mode("overwrite").save()
+    with pytest.raises(ValueError, match="Custo"):
+        counts.raise_if_unparsed(bad)
