@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces whose ids a worker keeps.
 MEMO = 1_500_000
@@ -24,6 +26,7 @@ _WORD = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+"
 _LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
 _PLAIN = re.compile(rf" ?{_WORD}")
 _SPLIT = re.compile(rf"( ?{_WORD})([.,]?)(?:(\n)({_WORD})([.,]?))?")
+_STOPS = (".", ",")
 #: White space but the space and the line feed; where a space follows white space.
 _ODD = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 _RUN = re.compile(r"[^\S\n] ")
@@ -69,30 +72,52 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text; pieces not seen before are encoded in one call."""
-        parts = [None if t[:1] == " " or t[-1:] == " " or "\0" in t or _together(t) else t.replace(" ", "\0 ").split("\0") for t in texts]
+        """The ids of each text. The batch's pieces are numbered by Arrow, so a piece is looked up
+        once a batch, and its ids are gathered by number; pieces not seen before are encoded in
+        one call."""
+        alone = [t[:1] == " " or t[-1:] == " " or "\0" in t or _together(t) for t in texts]
+        whole = iter(self.raw([t for t, lone in zip(texts, alone, strict=True) if lone]))
+        parted = pa.array([t for t, lone in zip(texts, alone, strict=True) if not lone], pa.large_string())
+        lists = pc.split_pattern(pc.replace_substring(parted, " ", "\0 "), "\0")
+        numbered = lists.flatten().dictionary_encode()
+        ids = self._pieces(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat, first = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes
+        which = numbered.indices.to_numpy()
+        of_piece = sizes[which]
+        upto = np.append(0, np.cumsum(of_piece))
+        gathered = flat[np.repeat(first[which] - upto[:-1], of_piece) + np.arange(upto[-1])]
+        ends = upto[lists.offsets.to_numpy()].tolist()
+        parts = iter([gathered[a:b].tobytes() for a, b in zip(ends, ends[1:])])
+        return [next(whole if lone else parts) for lone in alone]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces: from the memo, or encoded now."""
         memo = self.memo
-        unseen: set[str] = set()
-        for part in parts:
-            unseen.update(part or ())
-        unseen -= memo.keys()
-        split = {}
-        for piece in unseen:
-            found = _SPLIT.fullmatch(piece)
-            split[piece] = [g for g in found.groups() if g] if found else [piece]
-        new = list({p for pieces in split.values() for p in pieces if p not in memo})
+        ids = [memo.get(p) for p in pieces]
+        unseen = [i for i, x in enumerate(ids) if x is None]
+        single, split = {}, {}
+        for i in unseen:
+            p = pieces[i]
+            # only a full stop, a comma or a line's end parts a piece
+            found = _SPLIT.fullmatch(p) if p[-1:] in _STOPS or "\n" in p else None
+            if found is None:
+                single[p] = None
+            else:
+                split[p] = [g for g in found.groups() if g]
+        within = {q: None for parts in split.values() for q in parts if q not in single}
+        fresh = {q: x for q in within if (x := memo.get(q)) is not None}
+        new = [*single, *[q for q in within if q not in fresh]]
         room = MEMO - len(memo)
         for at in range(0, len(new), 10_000):
             block = new[at : at + 10_000]
-            memo.update(zip(block, self.words(block), strict=True))
-        joined = [p for p, pieces in split.items() if len(pieces) > 1]
-        for p in joined:
-            memo[p] = b"".join([memo[q] for q in split[p]])
-        whole = iter(self.raw([t for t, part in zip(texts, parts, strict=True) if part is None]))
-        out = [next(whole) if part is None else b"".join([memo[p] for p in part]) for part in parts]
-        for p in [*new, *joined][max(0, room) :]:
-            memo.pop(p, None)
-        return out
+            fresh.update(zip(block, self.words(block), strict=True))
+        joined = [p for p, parts in split.items() if len(parts) > 1]
+        fresh.update([(p, b"".join([fresh[q] for q in split[p]])) for p in joined])
+        for i in unseen:
+            ids[i] = fresh[pieces[i]]
+        memo.update([(p, fresh[p]) for p in [*new, *joined][: max(0, room)]])
+        return ids
 
 
 @cache
