@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces whose ids a worker keeps.
-MEMO = 1_500_000
+MEMO = 1_000_000
 _WORD = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+"
 _LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
 _PLAIN = re.compile(rf" ?{_WORD}")
