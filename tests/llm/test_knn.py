@@ -52,3 +52,40 @@ def test_fewer_rows_than_k_and_empty(spark):
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2**14 + i), float(-(2**13) * i), 7.0]) for i in range(12)]
     assert run(spark, rows, k=3) == brute(rows, lambda i: i % 5 == 0, 3)
+
+
+def test_tight_clusters_are_met_by_their_own_queries(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(knn, "PER_GROUP", 16)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(50, 16))
+    rows = [(i, [float(x) for x in centres[i % 50] + rng.normal(scale=0.02, size=16)]) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    asked = df.where("vec_id % 20 = 0 or vec_id % 37 = 0")
+    points, _, wanted = knn.prepared(df, asked, 10, "vec_id", "embedding", 1024)
+    dealt = knn.deal(points, wanted, 10)
+    met = dealt.groupBy("cell", "chunk", "block").agg(
+        F.sum(F.col("asks").cast("long")).alias("q"), F.sum((~F.col("asks")).cast("long")).alias("x")
+    )
+    groups, products, replicated = met.agg(F.countDistinct("cell"), F.sum(F.col("q") * F.col("x")), F.sum("x")).first()
+    assert products < 0.1 * wanted.count() * len(rows)
+    assert replicated < 0.1 * groups * len(rows)
+    got = sorted(tuple(r) for r in knn.top_k(df, asked).collect())
+    whole = np.floor(1024 * np.array([v for _, v in rows])).astype(np.int64)
+    want = []
+    for q in [i for i in range(len(rows)) if i % 20 == 0 or i % 37 == 0]:
+        scores = whole @ whole[q]
+        best = [j for j in np.lexsort((np.arange(len(rows)), -scores))[:11].tolist() if j != q][:10]
+        want += [(q, r + 1, j, int(scores[j])) for r, j in enumerate(best)]
+    assert got == want
+
+
+def test_groups_join_only_where_that_saves_work(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(knn, "PER_GROUP", 100)
+    sizes, asks = np.full(4, 1000.0), np.full(4, 50)
+    assert sorted(map(sorted, knn.grouped(np.eye(4, dtype=bool), sizes, asks))) == [[0], [1], [2], [3]]
+    assert len(knn.grouped(np.ones((4, 4), dtype=bool), sizes, asks)) == 1
