@@ -15,8 +15,8 @@ The products with the cells' listed members give each query a score that k other
 and each query cell the least of these. The bounds say, by the summaries alone, which pairs of
 cells can still meet, and then, by its distances to all pivots, which row of such a data cell.
 Query cells that need much the same data become one group as long as that saves more rows
-replicated than it adds products. Data are cut into blocks within their cells; a group's
-queries go to the blocks of the cells it needs, and the rows that can reach it too. A block is
+replicated than it adds products. A group's cells are cut into blocks; its
+queries go to all of them, and those rows of them that can reach it. A block is
 scored by one matrix product; the blocks' best are merged by a window of k rows a query and block.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part;
@@ -205,15 +205,16 @@ def deal(points: DataFrame, wanted: DataFrame, k: int, n_pivots: int = PIVOTS) -
     for g, own in enumerate(groups):
         of_cell[pivot[own]] = g
     chunks = np.array([-(-int(n[own].sum()) // QUERIES) for own in groups])
-    wants = [np.flatnonzero(need[own].any(axis=0)) for own in groups]  # data cells of a group
-    per_cell = np.maximum(1, -(-sizes.astype(np.int64) // BLOCK))
-    first = np.cumsum(per_cell) - per_cell
+    # A group's data cells stand one after another, a row at a place in its cell by hash; blocks
+    # are stretches of places.
+    whole = sizes.astype(np.int64)
+    upto = [np.cumsum(np.where(need[own].any(axis=0), whole, 0)) for own in groups]
 
     def deal_data(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             m, at, long = _unpack(pdf["v"], width).astype(np.float64), pdf["at"].to_numpy(), pdf["size"].to_numpy()
             away, slack = _distances(m, pivots), _slack(m, pivots, size)
-            block = first[at] + pdf["spread"].to_numpy() % per_cell[at]
+            within = pdf["spread"].to_numpy() % whole[at]
             for g, own in enumerate(groups):
                 reached = np.zeros(len(m), dtype=bool)
                 for q in own:
@@ -223,6 +224,7 @@ def deal(points: DataFrame, wanted: DataFrame, k: int, n_pivots: int = PIVOTS) -
                     gap = np.maximum(lo[q] - away[some], away[some] - hi[q]).max(axis=1, initial=0) - slack[0]
                     up = (size[q] ** 2 + long[some] ** 2 - np.maximum(gap, 0) ** 2) / 2
                     reached[some[up + slack[1] >= floor[q]]] = True
+                block = (upto[g][at] - whole[at] + within) // BLOCK
                 for chunk in range(chunks[g] if reached.any() else 0):
                     yield pd.DataFrame(
                         {
@@ -238,9 +240,8 @@ def deal(points: DataFrame, wanted: DataFrame, k: int, n_pivots: int = PIVOTS) -
             for g in np.unique(group).tolist():
                 own = group == g
                 told = pd.DataFrame({"cell": g, "chunk": chunk[own], "asks": True, "hash": pdf["hash"][own], "v": pdf["v"][own], "ids": None})
-                for c in wants[g].tolist():
-                    for block in range(first[c], first[c] + per_cell[c]):
-                        yield told.assign(block=block)
+                for block in range(-(-int(upto[g][-1]) // BLOCK)):
+                    yield told.assign(block=block)
 
     dealt = rows.select("v", "at", "size", "spread", "hash", "ids").mapInPandas(deal_data, schema)
     return dealt.unionByName(asked.select("v", "at", "hash").mapInPandas(deal_queries, schema))
