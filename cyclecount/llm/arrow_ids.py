@@ -149,6 +149,8 @@ def write_ids(
         part = TaskContext.get().partitionId()
         name, shard = f"shard-{part:07d}", None
         encoder = tokens.encoder(tokens.public(tokenizer))
+        if max(encoder.greatest(), end_id) >> bits:
+            raise ValueError(f"ids of {tokenizer} need more than {bits} bits")
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             if not batch.num_rows:

@@ -9,7 +9,7 @@ the solution over both halves.
 
 Labels come only from rows that aren't held out; label, language, source and key are no
 inputs. Defined cases: a null text is an empty text; null labels and labels of unknown
-documents are not used; without any label every score is 0.5; repeated documents and labels
+documents are not used; a null key isn't held out; without any label every score is 0.5; repeated documents and labels
 count as often as they stand there; an empty table gives an empty result. Other columns are
 not read.
 """
@@ -227,6 +227,8 @@ def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = document_statistics(table(spark, sf_dir, "documents"))
     model = fit(stats, table(spark, sf_dir, "labels"))
     out = stats.select(
-        "doc_id", (crc_of_id() % HOLD_OUT == 0).alias("held_out"), score_statistics(F.col("stats"), model).alias("score")
+        "doc_id",
+        F.coalesce(crc_of_id() % HOLD_OUT == 0, F.lit(False)).alias("held_out"),
+        score_statistics(F.col("stats"), model).alias("score"),
     )
     return out.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))

@@ -67,6 +67,10 @@ class Encoder:
             for p, short in zip(pieces, plain, strict=True)
         ]
 
+    def greatest(self) -> int:
+        """The greatest id of the vocabulary."""
+        return max(self.tokenizer.get_vocab().values())
+
     def raw(self, pieces: Sequence[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]

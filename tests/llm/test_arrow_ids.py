@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import types as T
 
 from cyclecount.llm import arrow_ids, tokens
@@ -55,3 +57,11 @@ def test_sequences_are_zero_copy_views_with_masks(spark, tmp_dir):
 def test_empty_table(spark, tmp_dir):
     manifest = arrow_ids.write_ids(spark.createDataFrame([], SCHEMA), f"{tmp_dir}/ids")
     assert arrow_ids.read_ids(manifest, f"{tmp_dir}/ids", T.LongType()).count() == 0
+
+
+def test_ids_that_do_not_fit_are_refused(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "alpha beta")], "doc_id long, text string")
+    with pytest.raises(PythonException, match="need more than 15 bits"):
+        arrow_ids.write_ids(df, f"{tmp_dir}/few", bits=15)
+    with pytest.raises(PythonException, match="need more than 16 bits"):
+        arrow_ids.write_ids(df, f"{tmp_dir}/end", end_id=70_000)

@@ -35,6 +35,7 @@ def test_held_out_accuracy_and_edge_rows(spark, tmp_dir):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
     held = [r for r in got if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert all(r.held_out for r in held)
+    assert all(r.held_out is not None for r in got)
     right = [r.predicted == truth[r.doc_id] for r in held if r.doc_id in truth]
     assert np.mean(right) > 0.95
     kept = quality.keep_good(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
