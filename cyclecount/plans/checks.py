@@ -7,6 +7,10 @@ that the main queries seldom reach decides the result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -410,30 +414,53 @@ def q_ytd_metrics_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/metrics").withColumn("MAPE", F.round("MAPE", 6))
 
 
+#: Bytes that a task holds of a file it copies.
+COPY_BYTES = 1 << 20
+
+
+def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a file or folder named as Hadoop does."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return (pafs.LocalFileSystem(), path) if "://" not in path else pafs.FileSystem.from_uri(path)
+
+
 def _truncated(spark: SparkSession, folder: str) -> str:
-    """A copy of the folder's one file that ends halfway."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(conf)
-    (file,) = [st for st in fs.listStatus(path) if st.getPath().getName().startswith("part-")]
-    target = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "truncated"), file.getPath().getName())
-    source, sink = fs.open(file.getPath()), fs.create(target)
-    sink.write(source.readNBytes(file.getLen() // 2))
-    source.close()
-    sink.close()
-    return target.toString()
+    """A copy of the folder in which each file ends halfway. The files are copied in tasks, a
+    buffer at a time."""
+    target = scratch_path(spark, "truncated")
+    files = spark.read.format("binaryFile").load(folder).select("path", "length")
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, out = _opened(target)
+        fs.create_dir(out, recursive=True)
+        for pdf in batches:
+            for path, length in zip(pdf["path"], pdf["length"], strict=True):
+                source_fs, source = _opened(path)
+                left = int(length) // 2
+                with source_fs.open_input_stream(source, compression=None) as file, fs.open_output_stream(
+                    f"{out}/{source.rpartition('/')[2]}", compression=None
+                ) as sink:
+                    while left and (part := file.read(min(left, COPY_BYTES))):
+                        sink.write(part)
+                        left -= len(part)
+            yield pdf[["length"]]
+
+    files.mapInPandas(copy, "length long").agg(F.sum("length")).collect()
+    return target
 
 
 @register("counts_report")
 def q_counts_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: two whole exports, one with short rows, a file that ends in the middle, and a missing
+    """S3: two whole exports, one with short rows, one whose files end in the middle, and a missing
     one: what was read of each, and the rows of the whole ones together."""
     raw = demo.counts(spark, sf_dir)
     odd = F.col("Compartimento").isin("1", "3", "5", "7")
     first = _csv(raw.where(odd), "counts", readers.COUNT_FILE_OPTIONS)
     other = _csv(raw.where(~odd).select(*reversed(raw.columns)), "counts", readers.COUNT_FILE_OPTIONS)
-    zipped = _csv(raw.coalesce(1), "counts", readers.COUNT_FILE_OPTIONS | {"compression": "gzip"})
+    zipped = _csv(raw, "counts", readers.COUNT_FILE_OPTIONS | {"compression": "gzip"})
     lines = raw.select(F.concat_ws(";", F.coalesce("NOK", F.lit("")), "Status", "Código").alias("value")).where(F.col("Código") == "7")
+    lines = Q.prefix.written(lines, "short")  # found side by side: only these rows go to one task
     header = spark.createDataFrame([(";".join(raw.columns),)], "value string")
     short = scratch_path(spark, "counts")
     header.unionAll(lines).coalesce(1).write.options(encoding="ISO-8859-1").csv(short, quote="", sep="\u0001")

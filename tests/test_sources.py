@@ -178,3 +178,18 @@ def test_parsed_columns_are_observed_by_the_write(spark, tmp_dir):
     daily(bad, raw.withColumn("Custo", F.lit("n/a"))).write.format("noop").mode("overwrite").save()
     with pytest.raises(ValueError, match="Custo"):
         counts.raise_if_unparsed(bad)
+
+
+def test_an_export_of_several_files_is_truncated_in_tasks(spark, tmp_dir):
+    from cyclecount.plans import checks
+
+    rows = spark.range(0, 30_000, 1, 3).select(*[F.concat(F.lit(c[0]), F.col("id").cast("string")).alias(c) for c in readers.COUNT_COLS])
+    whole = f"{tmp_dir}/whole"
+    rows.write.options(**readers.COUNT_FILE_OPTIONS, compression="gzip").csv(whole)
+    cut = checks._truncated(spark, whole)
+    size = lambda d: {f: os.path.getsize(f"{d}/{f}") for f in os.listdir(d) if f.startswith("part-")}
+    assert len(size(cut.removeprefix("file:"))) == 3
+    assert size(cut.removeprefix("file:")) == {f: n // 2 for f, n in size(whole).items()}
+    df, report = readers.read_counts_reported(spark, [whole, cut])
+    assert {(r["path"], r["status"], r["files"], r["rows"]) for r in report.collect()} == {(whole, "read", 3, 30_000), (cut, "broken", 0, 0)}
+    assert df.count() == 30_000
