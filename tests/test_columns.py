@@ -62,3 +62,16 @@ def test_rack_and_key(spark):
 def test_clip_nan(spark):
     got = one(spark, [(-1.0,), (float("nan"),), (3.0,)], "x double", C.clip_at_zero("x"))
     assert got == [0.0, 0.0, 3.0]
+
+
+def test_codes_and_money_need_no_regular_expressions(spark):
+    texts = [None, "", "0", "000", " 00120 ", "\t007\n", "1.234,56", "1,234.56", "0,5", "12", ".,", "00\n00", "a0b", "0 0", "1.2.3,4,5", "\xa00x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    trimmed = C.strip_ws("t")
+    zeros = F.regexp_replace(trimmed, r"^0+", "")
+    pt = F.regexp_replace(F.regexp_replace(trimmed, r"\.", ""), ",", ".").try_cast(C.COST)
+    en = F.regexp_replace(F.regexp_replace(trimmed, ",", ""), r"\.", ".").try_cast(C.COST)
+    new = df.select(C.standardize_code("t"), C.parse_money_ptbr("t"), C.parse_money_ptbr("t", locale="en"))
+    assert "regexp" not in new._jdf.queryExecution().optimizedPlan().toString()
+    old = df.select(F.when(zeros == "", F.lit("0")).otherwise(zeros), pt, en)
+    assert [tuple(r) for r in new.collect()] == [tuple(r) for r in old.collect()]
