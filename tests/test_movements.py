@@ -103,3 +103,14 @@ def test_shuffles_start_with_many_parts_unless_named(spark):
         assert spark.conf.get(INITIAL_CONF) == "7"
     finally:
         spark.conf.unset(INITIAL_CONF) if before is None else spark.conf.set(INITIAL_CONF, before)
+
+
+def test_code_of_a_row_does_not_grow_with_the_types(spark):
+    rows = [(2024, 1, "007", f"t{i}", 1.0, float(i)) for i in range(20)]
+    mov = spark.createDataFrame(rows, "Ano int, Mes int, CD_ARTICOLO string, Tipo_Movimento string, Qtd_Movimentos double, Total_Qtde double")
+    out = movements.movement_features(mov)
+    row = out.first()
+    assert [float(row[f"t{i}_Total_Qtde_Mensal"]) for i in range(20)] == [float(i) for i in range(20)]
+    assert (float(row["Total_Geral_Qtde_Mensal"]), row["Num_Tipos_Mov_Mensal"]) == (190.0, 20)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[0]
+    assert plan.count("CASE WHEN") <= 2  # one for any number of totals
