@@ -163,7 +163,7 @@ def q_valuation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("forecast_plan_fallback")
 def q_forecast_plan_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + P25 + C8: the plan of the items without recent history at their book quantity."""
-    curve, items, daily, counted, moved, _ = Q._history_inputs(spark, sf_dir, demo.SINCE)
+    curve, items, daily, counted, moved, _ = Q._history_inputs(spark, sf_dir, demo.SINCE, measures=["Lógica"])
     without = categories.items_without_history(items, counted, moved)
     eligible = items.where(F.col("Lógica_ABC") > 0).join(without, "Código", "left_semi")
     fc = forecasting.fallback_forecast(eligible, list(learning_models.MODEL_NAMES))

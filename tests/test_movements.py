@@ -114,3 +114,16 @@ def test_code_of_a_row_does_not_grow_with_the_types(spark):
     assert (float(row["Total_Geral_Qtde_Mensal"]), row["Num_Tipos_Mov_Mensal"]) == (190.0, 20)
     plan = out._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[0]
     assert plan.count("CASE WHEN") <= 2  # one for any number of totals
+
+
+def test_sums_joined_as_whole_numbers_make_the_same_features(spark):
+    mov = spark.createDataFrame(rows(), SCHEMA)
+    want = movements.movement_features(mov)
+    sums = movements.movement_sums(mov, movements.movement_types(mov))
+    assert {t for c, t in sums.rows.dtypes if c not in movements.KEYS} <= {"bigint", "int"}
+    missing = spark.createDataFrame([("none", 2024, 1)], want.select(*movements.KEYS).schema)
+    got = sums.of(want.select(*movements.KEYS).union(missing).join(sums.rows, movements.KEYS, "left")).select(*want.columns)
+    assert [t for _, t in got.dtypes] == [t for _, t in want.dtypes]
+    assert sorted(got.where("`Código` != 'none'").collect()) == sorted(want.collect())
+    (none,) = got.where("`Código` = 'none'").collect()
+    assert set(none[3:]) == {0}
