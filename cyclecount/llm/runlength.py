@@ -5,15 +5,16 @@ the substrings of ``ANCHOR`` bytes in it, so equal windows have equal anchors, a
 neighbouring windows share theirs: a run of them is one stretch of text. Copies of whole texts
 come first: only the one with the smallest key goes on. Of it, only anchors that stand in two
 texts matter; the stretches around these go to the bucket of the anchor, distinct ones of a
-part of the corpus once, with the smallest key that has them. An anchor with one stretch
-needs no comparison.
+part of the corpus once, with the smallest key that has them. An anchor with one stretch, or a
+stretch none of whose windows has a hash in common with another, needs no comparison.
 
-A bucket builds the run-length Burrows-Wheeler transform of its distinct stretches. Inside a
+A bucket builds the run-length Burrows-Wheeler transform of its other distinct stretches. Inside a
 run, the match with the preceding suffix is the one of the position before, less one; so
 matches are computed from the text at the sampled run ends alone and streamed over the rest.
 Suffixes that match in ``LENGTH`` bytes are one passage, whose smallest key says which
 stretches repeat an earlier document. The parts get this back as one bit a window, and mark,
-cut and digest their own texts, which never leave their part.
+cut and digest their own texts, which never leave their part: a part keeps beside them where its
+stretches stand, so that its texts are hashed twice and cut into stretches once.
 
 Defined cases: a null text is an empty text; texts shorter than a window keep all; equal keys
 don't count as earlier, so repeated rows keep what only they share; null keys come last; an
@@ -41,49 +42,89 @@ LENGTH, ANCHOR = 50, 16
 #: Most windows of a stretch (bits of a mask); bytes of corpus text for each bucket.
 WINDOWS, BUCKET = 48, 4 << 20
 LAST = np.iinfo(np.int64).max
+#: Symbols of 9 bits in a number.
+PACKED = 7
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_START = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: Windows that are hashed at a time, so that the steps stay in the processor's cache.
+SLICE = 1 << 14
 
 
 # --- windows, anchors and stretches ---------------------------------------------------
 
 
-def anchors(data: bytes) -> np.ndarray:
-    """The anchor (63 bits) of every window of a text, by the window's start."""
-    if len(data) < LENGTH:
-        return np.zeros(0, dtype=np.uint64)
-    h = np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-    h *= np.uint64(0x9E3779B97F4A7C15)
+def flat(bodies: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some texts side by side, and where each begins and the last one ends."""
+    if not len(bodies):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+    _, ends, data = bodies.buffers()
+    ends = np.frombuffer(ends, dtype=np.int32)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the ``length`` bytes (a power of two) that start at each place; and an array to use."""
+    h, other = _START[data], np.empty(len(data), dtype=np.uint64)
     size = 1
-    while size < ANCHOR:  # ANCHOR is a power of two
-        h = (h[:-size] * _A) ^ (h[size:] * _B)
-        h ^= h >> np.uint64(29)
-        size *= 2
-    h *= _A
-    h ^= h >> np.uint64(32)
+    while size < length:
+        x, y = h[:-size], other[: len(h) - size]
+        np.multiply(h[size:], _B, out=y)
+        np.multiply(x, _A, out=x)
+        np.bitwise_xor(x, y, out=x)
+        np.right_shift(x, np.uint64(29), out=y)
+        np.bitwise_xor(x, y, out=x)
+        h, size = x, size * 2
+    return h, other
+
+
+def _least(data: np.ndarray) -> np.ndarray:
+    """The least hash of the ``ANCHOR``-byte substrings of each window, by the window's start."""
+    h, other = _hashes(data, ANCHOR)
+    np.multiply(h, _A, out=h)
+    y = other[: len(h)]
+    np.right_shift(h, np.uint64(32), out=y)
+    np.bitwise_xor(h, y, out=h)
     span, size = LENGTH - ANCHOR + 1, 1
-    while size * 2 <= span:
-        h = np.minimum(h[:-size], h[size:])
-        size *= 2
-    h = np.minimum(h[: len(h) - (span - size)], h[span - size :]) if size < span else h
-    h = h * _B  # least hashes are small numbers; spread them again
-    h ^= h >> np.uint64(32)
-    return (h * _A) >> np.uint64(1)
-
-
-def stretches(found: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and window counts of the runs of windows whose anchor is among the sorted
-    ``wanted``, no run longer than ``WINDOWS``."""
-    if not len(found) or not len(wanted):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    start = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-    size = np.diff(np.append(start, len(found)))
-    there = np.minimum(np.searchsorted(wanted, found[start]), len(wanted) - 1)
-    keep = wanted[there] == found[start]
-    start, size = start[keep], size[keep]
+    while size < span:
+        step = min(size, span - size)
+        y = other[: len(h) - step]
+        np.minimum(h[:-step], h[step:], out=y)
+        h, other, size = y, h, size + step
+    return h
+
+
+def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of neighbouring windows of a text with the same anchor (63 bits): their first windows,
+    numbers of windows, anchors and texts. ``ends`` are the texts' bounds in ``data``."""
+    n = len(data) - LENGTH + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    least = np.empty(n, dtype=np.uint64)
+    for a in range(0, n, SLICE):
+        b = min(a + SLICE, n)
+        least[a:b] = _least(data[a : b + LENGTH - 1])
+    head = np.empty(n, dtype=bool)
+    head[0], head[1:] = True, least[1:] != least[:-1]
+    stop = np.maximum(ends[:-1], ends[1:] - LENGTH + 1)  # here windows begin to reach into the next text
+    for at in (ends[:-1], stop):
+        head[at[at < n]] = True
+    start = np.flatnonzero(head)
+    size = np.diff(np.append(start, n))
+    text = np.searchsorted(ends, start, side="right") - 1
+    inside = start < stop[text]
+    start, size, text = start[inside], size[inside], text[inside]
+    anchor = least[start] * _B  # least hashes are small numbers; spread them again
+    anchor ^= anchor >> np.uint64(32)
+    return start, size, (anchor * _A) >> np.uint64(1), text
+
+
+def pieces(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and window counts of the stretches that runs are cut into, no longer than ``WINDOWS``;
+    and the run of each."""
     parts = -(-size // WINDOWS)
     nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    return np.repeat(start, parts) + nth * WINDOWS, np.minimum(np.repeat(size, parts) - nth * WINDOWS, WINDOWS)
+    return np.repeat(start, parts) + nth * WINDOWS, np.minimum(np.repeat(size, parts) - nth * WINDOWS, WINDOWS), np.repeat(np.arange(len(start)), parts)
 
 
 def bucket_of(anchor: np.ndarray, buckets: int) -> np.ndarray:
@@ -106,7 +147,7 @@ class RunLengthIndex:
         self.text = flat
         n = len(flat)
         left = np.repeat(ends, sizes + 1) - np.arange(n)  # bytes up to the end mark
-        order, rank = self._sort(flat, left, int(sizes.max(initial=0)) + 1)
+        order, rank, self.packed = self._sort(flat, left, int(sizes.max(initial=0)) + 1)
         before = flat[order - 1]  # row 0's is the last end mark
         head = np.ones(n, dtype=bool)
         head[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
@@ -116,14 +157,21 @@ class RunLengthIndex:
         self.order, self.rank, self.left = order, rank, left
 
     @staticmethod
-    def _sort(flat: np.ndarray, left: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    def _sort(flat: np.ndarray, left: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Suffix order by doubling, only suffixes that still tie being sorted again; suffixes
-        equal up to their end marks stay in place order. Also each suffix's place."""
-        n, step = len(flat), 7
+        equal up to their end marks stay in place order. Also each suffix's place, and its first
+        ``PACKED`` symbols as a number."""
+        n, step = len(flat), PACKED
         padded = np.concatenate([flat, np.zeros(step, dtype=np.int64)])
-        key = np.zeros(n, dtype=np.int64)
+        packed = np.zeros(n, dtype=np.int64)
         for i in range(step):
-            key = (key << 9) | np.where(left >= i, padded[i : i + n], 0)
+            packed <<= 9
+            packed |= padded[i : i + n]
+        # no symbols from beyond the end mark
+        near = np.flatnonzero(left < step - 1)
+        beyond = 9 * (step - 1 - left[near])
+        packed[near] = packed[near] >> beyond << beyond
+        key = packed
         order = np.argsort(key)
         new = np.ones(n, dtype=bool)  # whether a place's suffix differs from the one before
         new[1:] = key[order[1:]] != key[order[:-1]]
@@ -146,7 +194,7 @@ class RunLengthIndex:
             rank[tied] = np.maximum.accumulate(np.where(new[place], place, 0))
             step *= 2
         rank[order] = np.arange(n)
-        return order, rank
+        return order, rank, packed
 
     def matches(self) -> np.ndarray:
         """For each text position, the bytes its suffix shares with the preceding suffix.
@@ -157,11 +205,13 @@ class RunLengthIndex:
         most = np.minimum(self.left[i], self.left[j])
         common = np.zeros(len(i), dtype=np.int64)
         live = np.flatnonzero(most > 0)
-        while len(live):
-            same = self.text[i[live] + common[live]] == self.text[j[live] + common[live]]
-            live = live[same]
-            common[live] += 1
-            live = live[common[live] < most[live]]
+        while len(live):  # ``PACKED`` symbols at a time; the first that differ tell how many are left
+            at = common[live]
+            apart = self.packed[i[live] + at] ^ self.packed[j[live] + at]
+            bits = np.frexp((apart >> 9).astype(np.float64))[1]  # the last symbol on its own: a double has 53 bits
+            same = np.where(apart >> 9, np.maximum(PACKED - 1 - -(-bits // 9), 0), np.where(apart, PACKED - 1, PACKED))
+            common[live] = np.minimum(at + same, most[live])
+            live = live[(same == PACKED) & (common[live] < most[live])]
         n = len(self.text)
         sampled = np.zeros(n, dtype=bool)
         value = np.zeros(n, dtype=np.int64)
@@ -177,11 +227,30 @@ class RunLengthIndex:
         shared = self.matches()[self.order]
         border = np.concatenate([[True], shared[1:] < length])
         start = np.flatnonzero(border)
-        string = np.searchsorted(self.starts, self.order, side="right") - 1
-        smallest = np.minimum.reduceat(keys[string], start)
+        string = np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, len(self.text))))
+        smallest = np.minimum.reduceat(keys[string[self.order]], start)
         return smallest[np.cumsum(border) - 1][self.rank]
 
 
+def repeated(strings: list[bytes]) -> np.ndarray:
+    """Whether a string has a window whose hash another window of the strings has too: only such can
+    be equal to another."""
+    data, n = np.frombuffer(b"".join(strings), dtype=np.uint8), np.array([len(s) for s in strings])
+    half = 1 << (LENGTH.bit_length() - 1)
+    part = np.concatenate([_hashes(data[a : a + SLICE + half - 1], half)[0] for a in range(0, len(data) - half + 1, SLICE)])
+    rest = LENGTH - half
+    h = (part[: len(part) - rest] * _A) ^ (part[rest:] * _B)
+    count = n - LENGTH + 1
+    of = np.repeat(np.arange(len(n)), count)
+    at = np.arange(len(of)) + np.repeat(np.cumsum(n) - n - (np.cumsum(count) - count), count)
+    h = h[at]
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    out = np.zeros(len(n), dtype=bool)
+    out[of[order[1:][same]]] = out[of[order[:-1][same]]] = True
+    return out
+
+
 def solve_bucket(
     strings: list[list[bytes]], keys: list[np.ndarray], marks: list[np.ndarray]
 ) -> list[np.ndarray]:
@@ -198,6 +267,8 @@ def solve_bucket(
         anchor[ids] = mark
     _, at, n = np.unique(anchor, return_inverse=True, return_counts=True)
     compared = np.flatnonzero(n[at] > 1)
+    if len(compared):
+        compared = compared[repeated([distinct[i] for i in compared.tolist()])]
     windows = np.array([len(s) for s in distinct]) - LENGTH + 1
     # A window's smallest key: its stretch's, or a smaller one among those with its anchor.
     starts = np.zeros(len(distinct), dtype=np.int64)
@@ -206,7 +277,8 @@ def solve_bucket(
         index = RunLengthIndex([distinct[i] for i in compared.tolist()])
         least = index.least(smallest[compared], LENGTH)
         starts[compared] = index.starts
-    alone, w = (n[at] == 1)[:, None], np.arange(WINDOWS)
+    alone, w = np.ones((len(distinct), 1), dtype=bool), np.arange(WINDOWS)
+    alone[compared] = False
     has = windows[:, None] > w
     found = np.where(alone, smallest[:, None], least[starts[:, None] + np.where(has & ~alone, w, 0)])
     found[~has] = LAST
@@ -222,41 +294,49 @@ def solve_bucket(
 
 
 class Stretches:
-    """The distinct stretches of a part's texts around the wanted anchors, numbered within
-    their bucket by first appearance, with the smallest key that has each and its anchor."""
-
-    def __init__(self, wanted: np.ndarray, buckets: int):
-        self.wanted, self.buckets = wanted, buckets
-        self.numbers: list[dict[bytes, int]] = [{} for _ in range(buckets)]
-        self.keys: list[list[int]] = [[] for _ in range(buckets)]
-        self.marks: list[list[int]] = [[] for _ in range(buckets)]
-
-    def of(self, data: bytes) -> tuple[list[int], list[int], list[int], list[int], list[bytes]]:
-        """Starts, window counts, buckets, anchors and bytes of a text's stretches."""
-        found = anchors(data)
-        start, size = stretches(found, self.wanted)
-        if not len(start):
-            return [], [], [], [], []
-        mark = found[start]
-        a, ends = start.tolist(), (start + size + (LENGTH - 1)).tolist()
-        bucket = bucket_of(mark, self.buckets).tolist()
-        return a, size.tolist(), bucket, mark.tolist(), [data[i:j] for i, j in zip(a, ends, strict=True)]
-
-    def add(self, key: int, data: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
-        """Take in a text's stretches: their starts, window counts, buckets and numbers."""
-        starts, counts, buckets, marks, parts = self.of(data)
-        found = []
-        for b, mark, s in zip(buckets, marks, parts, strict=True):
-            numbers = self.numbers[b]
-            i = numbers.get(s)
-            if i is None:
-                i = numbers[s] = len(numbers)
-                self.keys[b].append(key)
-                self.marks[b].append(mark)
-            elif key < self.keys[b][i]:
-                self.keys[b][i] = key
-            found.append(i)
-        return starts, counts, buckets, found
+    """The distinct stretches of a part's texts around the wanted anchors, numbered by first
+    appearance, and where they stand: rows, starts, window counts and numbers."""
+
+    def __init__(self, wanted: np.ndarray):
+        self.wanted = wanted
+        self.numbers: dict[bytes, int] = {}
+        self.found: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, bodies: pa.BinaryArray, rows: np.ndarray, orders: np.ndarray) -> None:
+        """Take in some texts of the part, with their rows and keys."""
+        data, ends = flat(bodies)
+        start, size, anchor, text = runs(data, ends)
+        if not len(start) or not len(self.wanted):
+            return
+        there = np.minimum(np.searchsorted(self.wanted, anchor), len(self.wanted) - 1)
+        keep = self.wanted[there] == anchor
+        start, size, run = pieces(start[keep], size[keep])
+        anchor, text = anchor[keep][run], text[keep][run]
+        blob, numbers = data.tobytes(), self.numbers
+        stop = (start + size + (LENGTH - 1)).tolist()
+        which = [numbers.setdefault(blob[i:j], len(numbers)) for i, j in zip(start.tolist(), stop, strict=True)]
+        self.found.append((rows[text], start - ends[text], size, np.array(which, dtype=np.int64), orders[text], anchor))
+
+    def columns(self) -> tuple[np.ndarray, ...]:
+        """Rows, starts, window counts and numbers of all; by number the smallest key and the anchor."""
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.int64, np.uint64)
+        row, start, size, which, order, anchor = (
+            np.concatenate([np.zeros(0, dtype=t), *c]) for t, c in zip(kinds, zip(*self.found) if self.found else [()] * 6, strict=True)
+        )
+        keys, marks = np.full(len(self.numbers), LAST), np.zeros(len(self.numbers), dtype=np.uint64)
+        np.minimum.at(keys, which, order)
+        marks[which] = anchor
+        return row, start, size, which, keys, marks
+
+
+def marked(n: int, start: np.ndarray, size: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Of ``n`` windows those whose bit is set in the masks of the stretches."""
+    gone = np.zeros(n, dtype=bool)
+    some = bits != 0
+    start, size, bits = start[some], size[some], bits[some]
+    nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    gone[np.repeat(start, size) + nth] = (np.repeat(bits, size) >> nth.astype(np.uint64)) & np.uint64(1)
+    return gone
 
 
 def cut(data: bytes, gone: np.ndarray) -> tuple[bytes, int, int]:
@@ -340,24 +420,32 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         rows = [np.frombuffer(b, dtype="<u4") for b in pdf.loc[pdf["kind"] == -2, "blob"]]
         return np.concatenate([np.zeros(0, dtype="<u4"), *rows])
 
-    def texts(part: int, left_out: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """Keys and texts of a part's rows that aren't copies."""
+    def texts(part: int, left_out: np.ndarray) -> Iterator[tuple[pa.BinaryArray, np.ndarray, np.ndarray]]:
+        """The texts of a part that aren't copies, with their rows and keys."""
         row = 0
         for batch in Part(folder, part).read():
-            orders, bodies = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            out = np.isin(np.arange(row, row + len(orders)), left_out)
-            row += len(orders)
-            for order, body, skip in zip(orders, bodies, out.tolist(), strict=True):
-                if not skip:
-                    yield order, body
+            rows = np.arange(row, row + batch.num_rows)
+            row += batch.num_rows
+            kept = np.flatnonzero(~np.isin(rows, left_out))
+            yield batch.column(2).take(pa.array(kept)), rows[kept], batch.column(1).to_numpy()[kept]
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         """A part's distinct anchors, by bucket, the lowest bit telling whether several of
         its texts have them."""
         part = int(pdf["part"].iloc[0])
-        found = [np.unique(anchors(body)) for _, body in texts(part, copied(pdf))]
-        hashes, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]), return_counts=True)
-        packed = (hashes << np.uint64(1)) | (n > 1).astype(np.uint64)
+        found, rows = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+        for bodies, row, _ in texts(part, copied(pdf)):
+            _, _, anchor, text = runs(*flat(bodies))
+            found.append(anchor)
+            rows.append(row[text])
+        found, rows = np.concatenate(found), np.concatenate(rows)
+        order = np.argsort(found)
+        found, rows = found[order], rows[order]
+        first = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, dtype=np.int64)
+        hashes, several = found[first], np.zeros(len(first), dtype=bool)
+        if len(first):
+            several = np.minimum.reduceat(rows, first) < np.maximum.reduceat(rows, first)
+        packed = (hashes << np.uint64(1)) | several.astype(np.uint64)
         return _send(part, packed.astype("<u8"), bucket_of(hashes, buckets), buckets).to_pandas()
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -378,21 +466,25 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     dups = materialize(gathered.groupBy("bucket").applyInPandas(shared, told), "repeat-anchors")
     known = again.unionByName(dups)
 
-    def extract(part: int, pdf: pd.DataFrame) -> tuple[Stretches, list[tuple]]:
-        """A part's stretches, and those of each of its texts that isn't a copy."""
-        wanted = [np.frombuffer(b, dtype="<u8") for b in pdf.loc[pdf["kind"] == -1, "blob"]]
-        held = Stretches(np.sort(np.concatenate([np.zeros(0, dtype="<u8"), *wanted])), buckets)
-        return held, [held.add(order, body) for order, body in texts(part, copied(pdf))]
-
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        """A part's distinct stretches, by bucket."""
+        """A part's distinct stretches, by bucket; where they stand stays with the part."""
         part = int(pdf["part"].iloc[0])
-        held, _ = extract(part, pdf)
-        rows = [
-            (b, part, b"".join(s), _blob([len(x) for x in s], "<u2"), _blob(k, "<i8"), _blob(m, "<u8"))
-            for b, (s, k, m) in enumerate(zip(held.numbers, held.keys, held.marks, strict=True))
-            if s
-        ]
+        wanted = [np.frombuffer(b, dtype="<u8") for b in pdf.loc[pdf["kind"] == -1, "blob"]]
+        held = Stretches(np.sort(np.concatenate([np.zeros(0, dtype="<u8"), *wanted])))
+        for some in texts(part, copied(pdf)):
+            held.add(*some)
+        row, start, size, which, keys, marks = held.columns()
+        bucket = bucket_of(marks, buckets)
+        places = [row.astype(np.uint32), start.astype(np.uint32), size.astype(np.uint8), which.astype(np.uint32)]
+        Part(folder, part, "places").write([pa.RecordBatch.from_arrays(list(map(pa.array, places)), ["row", "start", "size", "which"])], 1 << 20)
+        Part(folder, part, "keys").write([pa.RecordBatch.from_arrays([pa.array(keys), pa.array(bucket)], ["key", "bucket"])], 1 << 20)
+        order = np.argsort(bucket, kind="stable")
+        strings = list(held.numbers)
+        first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        rows = []
+        for ids in np.split(order, first[1:]) if len(order) else ():
+            mine = [strings[i] for i in ids.tolist()]
+            rows.append((int(bucket[ids[0]]), part, b"".join(mine), _blob([len(x) for x in mine], "<u2"), _blob(keys[ids], "<i8"), _blob(marks[ids], "<u8")))
         return pd.DataFrame(rows, columns=["bucket", "part", "strings", "sizes", "keys", "marks"])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -421,27 +513,33 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
         """Mark, cut and digest a part's texts."""
         pdf = table_.to_pandas()
         part = int(pdf["part"].iloc[0])
-        (held, found), left_out = extract(part, pdf), set(copied(pdf).tolist())
-        each = iter(found)
-        masks = {n: np.frombuffer(b, dtype="<u8").tolist() for n, b in zip(pdf["kind"], pdf["blob"], strict=True) if n >= 0}
+        left_out = copied(pdf)
+        kept = Part(folder, part, "keys").whole()
+        keys, masks = kept["key"].to_numpy(), np.zeros(len(kept), dtype="<u8")
+        solved = pdf[pdf["kind"] >= 0].sort_values("kind")["blob"]
+        masks[np.argsort(kept["bucket"].to_numpy(), kind="stable")] = np.frombuffer(b"".join(solved), dtype="<u8")
+        places = Part(folder, part, "places").whole()
+        rows, start, size, which = (places[c].to_numpy().astype(np.int64) for c in ("row", "start", "size", "which"))
         out, row = [], 0
         for batch in Part(folder, part).read():
-            rows = []
-            for order, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                gone = np.zeros(max(0, len(body) - LENGTH + 1), dtype=bool)
-                if row in left_out:
-                    gone[:] = True
-                else:
-                    for a, n, b, i in zip(*next(each), strict=True):
-                        if held.keys[b][i] < order:
-                            gone[a : a + n] = True
-                        elif bits := masks[b][i]:
-                            gone[a : a + n] = [bits >> w & 1 for w in range(n)]
-                row += 1
-                left, removed, spans = cut(body, gone)
-                rows.append((len(body), removed, spans, hashlib.sha256(left).hexdigest(), *([left] if keep_text else [])))
+            orders, bodies = batch.column(1).to_numpy(), batch.column(2)
+            data, ends = flat(bodies)
+            a, b = np.searchsorted(rows, [row, row + batch.num_rows])
+            text = rows[a:b] - row
+            # a smaller key of the part itself has the whole stretch
+            bits = np.where(keys[which[a:b]] < orders[text], ~np.uint64(0), masks[which[a:b]])
+            gone = marked(len(data), start[a:b] + ends[text], size[a:b], bits)
+            copy = np.isin(np.arange(row, row + batch.num_rows), left_out).tolist()
+            row += batch.num_rows
+            told = []
+            for i, j, whole in zip(ends[:-1].tolist(), ends[1:].tolist(), copy, strict=True):
+                mine = gone[i : max(i, j - LENGTH + 1)]
+                if whole:
+                    mine[:] = True
+                left, removed, spans = cut(data[i:j].tobytes(), mine)
+                told.append((j - i, removed, spans, hashlib.sha256(left).hexdigest(), *([left] if keep_text else [])))
             kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=False)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*told, strict=True), kinds, strict=False)]
             out.append(pa.RecordBatch.from_arrays([batch.column(0), *columns], schema.names))
         return pa.Table.from_batches(out)
 

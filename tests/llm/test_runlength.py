@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -85,3 +86,48 @@ def test_kept_text(spark):
     df = spark.createDataFrame([(1, "x " + long), (2, long + " y")], "doc_id long, text string")
     got = {r.doc_id: bytes(r.kept) for r in runlength.remove_repeats(df, keep_text=True).collect()}
     assert got == {1: ("x " + long).encode(), 2: b" y"}
+
+
+def test_runs_are_those_of_each_text():
+    rng = random.Random(5)
+    bodies = [bytes(rng.choice(b"abc") for _ in range(n)) for n in (0, 70, 49, 50, 0, 400, 51, 3, 130)] + [b"a" * 90, b"a" * 90, b"\xff" * 60]
+    arr = pa.array([b"left out", *bodies], pa.binary())[1:]
+    data, ends = runlength.flat(arr)
+    assert data.tobytes() == b"".join(bodies) and np.diff(ends).tolist() == list(map(len, bodies))
+    start, size, anchor, text = runlength.runs(data, ends)
+    one = [runlength.runs(*runlength.flat(pa.array([b], pa.binary()))) for b in bodies]
+    assert [(t, s - ends[t], n, a) for s, n, a, t in zip(start, size, anchor, text)] == [(t, s, n, a) for t, o in enumerate(one) for s, n, a, _ in zip(*o)]
+    assert [size[text == t].sum() for t in range(len(bodies))] == [max(0, len(b) - 49) for b in bodies]
+    # equal windows have equal anchors, wherever they stand
+    seen = {}
+    for s, n, a, t in zip(start, size, anchor, text):
+        for p in range(s, s + n):
+            assert seen.setdefault(data[p : p + 50].tobytes(), a) == a
+    a, n, run = runlength.pieces(np.array([5, 200]), np.array([100, 48]))
+    assert (a.tolist(), n.tolist(), run.tolist()) == ([5, 53, 101, 200], [48, 48, 4, 48], [0, 0, 0, 1])
+
+
+def test_only_stretches_with_a_common_window_are_compared(monkeypatch):
+    rng = random.Random(6)
+    made = [bytes(rng.choice(b"ab ") for _ in range(rng.randint(50, 97))) for _ in range(40)]
+    made += [made[0][5:60] + b"?" * 20, made[1][:55], b"z" * 60]  # the last one repeats itself
+    windows = [[s[k : k + 50] for k in range(len(s) - 49)] for s in made]
+    every = [w for mine in windows for w in mine]
+    assert runlength.repeated(made).tolist() == [any(every.count(w) > 1 for w in mine) for mine in windows]
+    keys, marks = np.arange(len(made))[::-1].copy(), np.zeros(len(made), dtype=np.uint64)
+    least = {}
+    for key, mine in zip(keys.tolist(), windows):
+        for w in mine:
+            least[w] = min(key, least.get(w, key))
+    want = [sum((least[w] < key) << i for i, w in enumerate(mine[:48])) for key, mine in zip(keys.tolist(), windows)]
+    built = []
+    plain = runlength.RunLengthIndex
+    monkeypatch.setattr(runlength, "RunLengthIndex", lambda strings: built.append(len(strings)) or plain(strings))
+    got = runlength.solve_bucket([made], [keys], [marks])[0]
+    assert got.tolist() == want and built == [5]
+
+
+def test_matches_over_many_symbols():
+    long = bytes(range(256)) + b"\xff" * 8
+    strings = [long, long[:-1] + b"\0", b"\xfe" + long[1:], b"\xff\xfe" * 9, b"\0" * 30, b"\0" * 31]
+    test_matches_equal_direct_comparison.hypothesis.inner_test(strings)
